@@ -195,3 +195,21 @@ def twin_position(names: Column, base: str, which: int) -> Column:
 
 def cell(cells: Column, at: Column) -> Column:
     return F.get(cells, at - 1)
+
+
+def named_rows(rows: DataFrame, header: DataFrame, positions: Mapping[str, Column], keep: Mapping[str, Column] = {}) -> DataFrame:
+    """Rows below each file's header as named text columns; ``keep`` adds columns of the row.
+
+    ``positions`` are expressions over ``names``, evaluated once per file.  The
+    header table is settled, so it is broadcast only at its true size.
+    """
+    table = settle(
+        header.select(
+            "_file", "_header_row", F.size("names").alias("_width"),
+            *[p.alias(f"_at_{n}") for n, p in positions.items()],
+        ),
+        "headers",
+    )
+    below = rows.join(table, "_file").where(F.col("_row") > F.col("_header_row"))
+    values = {n: cell(F.col("cells"), F.col(f"_at_{n}")) for n in positions}
+    return below.select("_file", "_row", *[c.alias(n) for n, c in {**keep, **values}.items()])

@@ -64,23 +64,17 @@ def extract_cells(scanned: DataFrame, contract: Contract) -> tuple[DataFrame, di
     header = headers.header_table(scanned, promoted=contract.promoted_header)
     positions = {f.name: p for f in contract.fields if (p := _field_position(f)) is not None}
     money = {f"_money_{c}": headers.position(F.col("names"), c) for c in contract.total_decimals}
-    table = settle(
-        header.select(
-            "_file", "_header_row", F.size("names").alias("_width"),
-            *[p.alias(f"_at_{n}") for n, p in {**positions, **money}.items()],
-        ),
-        "headers",
-    )
-    body = scanned.join(table, "_file").where(F.col("_row") > F.col("_header_row"))
     cells = F.col("cells")
-    values = {n: headers.cell(cells, F.col(f"_at_{n}")) for n in (*positions, *money)}
     spoken = F.exists(cells, lambda c: F.coalesce(F.lower(c).rlike("|".join(rows.FOOTER_WORDS)), F.lit(False)))
-    filled = F.size(F.filter(cells, lambda c: ~rows.is_nullish(c)))
-    named = body.select(
-        "_file", "_row", "_width", filled.alias("_filled"), spoken.alias("_spoken"),
-        *[v.alias(n) for n, v in values.items()],
-        # A missing column stays null; a blank cell of a present column becomes "".
-        *[F.col(f"_at_{n}").isNotNull().alias(f"_has_{n}") for n in positions],
+    named = headers.named_rows(
+        scanned, header, {**positions, **money},
+        keep={
+            "_width": F.col("_width"),
+            "_filled": F.size(F.filter(cells, lambda c: ~rows.is_nullish(c))),
+            "_spoken": spoken,
+            # A missing column stays null; a blank cell of a present column becomes "".
+            **{f"_has_{n}": F.col(f"_at_{n}").isNotNull() for n in positions},
+        },
     )
     cleaned = {n: F.when(F.col(f"_has_{n}"), clean_cell(F.col(n))) for n in positions}
     result = named.withColumns(cleaned).drop(*[f"_has_{n}" for n in positions])

@@ -10,6 +10,7 @@ from rosterflow.plans import oficio as rep
 from rosterflow.plans.consolidation import BROKERS, TOTAL_COLUMNS, consolidate, consolidated, final_table
 from rosterflow.queries import fixtures as fx
 from rosterflow.queries.registry import cents, cents_sql, query
+from rosterflow.session import settle
 
 
 def total(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -124,8 +125,11 @@ def oficio_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _oficio(spark: SparkSession, sf_dir: str) -> DataFrame:
-    premiums = total(spark, sf_dir)
-    detail = monitoring(spark, sf_dir, kinds=(mon.DETAIL,))
+    # The consolidated table is read twice, by monitoring and by the report: write it once.
+    premiums = settle(total(spark, sf_dir), "total")
+    detail = mon.monitoring(
+        premiums, fx.emitted(spark, sf_dir), fx.period_map(spark, sf_dir), fx.fx_daily(spark, sf_dir), kinds=(mon.DETAIL,)
+    )
     return rep.oficio(detail, premiums, fx.PERIOD, fx.REPORTER)
 
 
