@@ -166,9 +166,11 @@ def write_upsert(target_path: str, stage: DataFrame, keys: Sequence[str], new_pa
 # ------------------------------------------------------------- derived tables
 
 
-def rebuild_table(df: DataFrame, name: str) -> None:
-    """Drop and recreate a derived table from a query."""
-    df.write.mode("overwrite").saveAsTable(name)
+def rebuild_table(df: DataFrame, name: str, path: str | None = None) -> None:
+    """Drop and recreate a derived table from a query; at ``path`` when given."""
+    df.sparkSession.sql(f"DROP TABLE IF EXISTS {name}")
+    writer = df.write.format("parquet").mode("overwrite")
+    (writer.option("path", path) if path else writer).saveAsTable(name)
 
 
 def insert_select(df: DataFrame, name: str) -> None:
