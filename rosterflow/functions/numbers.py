@@ -35,14 +35,13 @@ PLAN_CODES = {
 }
 
 
-def _plain(text: Column) -> Column:
-    return text.try_cast("double")
-
-
 def to_number(c: Column) -> Column:
     """Text to double: trimmed, spelled-out nulls and anything unreadable become null."""
-    text = strip(c.cast("string"))
-    return F.when(text.rlike(PLAIN_NUMBER), _plain(text))
+    text = c.cast("string")
+    trimmed = strip(text)
+    return F.when(text.rlike(PLAIN_NUMBER), text.try_cast("double")).when(
+        trimmed.rlike(PLAIN_NUMBER), trimmed.try_cast("double")
+    )
 
 
 def round_half_even(x: Column, digits: int = 0) -> Column:
@@ -63,17 +62,21 @@ def to_whole(c: Column, fractional: str = "fail") -> Column:
     ``fractional`` says what a value such as 10.5 does: ``round`` (half-even),
     ``null``, or ``fail`` (stop the job, the safest default for identifiers).
     """
-    x = to_number(c)
+    if fractional not in ("round", "null", "fail"):
+        raise ValueError(f"fractional must be round, null or fail, not {fractional!r}")
+    text = c.cast("string")
+    trimmed = strip(text)
+    x = trimmed.try_cast("double")
     whole = F.bround(x, 0)
     if fractional == "round":
-        return whole.try_cast("bigint")
-    exact = F.when(x == whole, whole.try_cast("bigint"))
-    if fractional == "null":
-        return exact
-    if fractional != "fail":
-        raise ValueError(f"fractional must be round, null or fail, not {fractional!r}")
-    message = F.concat(F.lit("not a whole number: "), c.cast("string"))
-    return F.when(x != whole, F.raise_error(message).cast("bigint")).otherwise(exact)
+        other = whole.try_cast("bigint")
+    else:
+        other = F.when(x == whole, whole.try_cast("bigint"))
+        if fractional == "fail":
+            message = F.concat(F.lit("not a whole number: "), trimmed)
+            other = other.when(x != whole, F.raise_error(message).cast("bigint"))
+    # Plain digits, the usual case, are cast directly: exact at any size, and one pass.
+    return F.when(text.rlike(r"^[+-]?\d+$"), text.try_cast("bigint")).when(trimmed.rlike(PLAIN_NUMBER), other)
 
 
 def has_fraction(c: Column) -> Column:

@@ -20,13 +20,24 @@ BLANKED_CELLS = ("None", "none", "nan", "NaN")
 WHITESPACE = "".join(chr(i) for i in range(0x3001) if chr(i).isspace())
 
 
+_ASCII_WHITESPACE = "".join(ch for ch in WHITESPACE if ch.isascii())
+
+
+def is_ascii(c: Column) -> Column:
+    """One byte per character."""
+    return F.octet_length(c) == F.char_length(c)
+
+
 def strip(c: Column) -> Column:
-    return F.trim(c, F.lit(WHITESPACE))
+    """Trimming costs by the size of the set, so plain ASCII text gets the short one."""
+    return F.when(is_ascii(c), F.trim(c, F.lit(_ASCII_WHITESPACE))).otherwise(F.trim(c, F.lit(WHITESPACE)))
 
 
 def is_nullish(c: Column, words: Iterable[str] = NULL_WORDS) -> Column:
     """True for null and for text that trims and lowers to one of ``words``. Never null."""
-    return c.isNull() | F.lower(strip(c.cast("string"))).isin(*words)
+    # Anchored at both ends: a real value fails at its first character, untrimmed.
+    spelled = "|".join(w for w in words if w)
+    return c.isNull() | c.cast("string").rlike(f"(?i)^[{WHITESPACE}]*(?:{spelled})?[{WHITESPACE}]*\\z")
 
 
 def null_if_nullish(c: Column, words: Iterable[str] = NULL_WORDS) -> Column:
@@ -94,7 +105,8 @@ def strip_accents(c: Column) -> Column:
     expanded = c
     for ch, folded in _FOLD_SEVERAL.items():
         expanded = F.replace(expanded, F.lit(ch), F.lit(folded))
-    return F.translate(F.when(c.rlike(_SEVERAL_CLASS), expanded).otherwise(c), _FOLD_FROM, _FOLD_TO)
+    folded = F.translate(F.when(c.rlike(_SEVERAL_CLASS), expanded).otherwise(c), _FOLD_FROM, _FOLD_TO)
+    return F.when(is_ascii(c), c).otherwise(folded)
 
 
 @F.pandas_udf(T.StringType())

@@ -149,9 +149,9 @@ def fill_if_all_blank(df: DataFrame, name: str, value: Column, per: str | None =
     if per is None:
         filled = bool(df.agg(has_text.alias("f")).first()["f"])
         return df if filled else df.withColumn(name, value)
-    flags = settle(df.groupBy(per).agg(has_text.alias("_filled")), "filled")
+    flags = settle(df.groupBy(per).agg(has_text.alias("_has_text")), "filled")
     joined = df.join(flags.withColumnRenamed(per, "_per"), F.col(per).eqNullSafe(F.col("_per")), "left")
-    return joined.withColumn(name, F.when(F.col("_filled"), F.col(name)).otherwise(value)).drop("_filled", "_per")
+    return joined.withColumn(name, F.when(F.col("_has_text"), F.col(name)).otherwise(value)).drop("_has_text", "_per")
 
 
 # ---------------------------------------------------------- workbook row arrays
@@ -197,19 +197,29 @@ def cell(cells: Column, at: Column) -> Column:
     return F.get(cells, at - 1)
 
 
-def named_rows(rows: DataFrame, header: DataFrame, positions: Mapping[str, Column], keep: Mapping[str, Column] = {}) -> DataFrame:
-    """Rows below each file's header as named text columns; ``keep`` adds columns of the row.
-
-    ``positions`` are expressions over ``names``, evaluated once per file.  The
-    header table is settled, so it is broadcast only at its true size.
+def named_rows(
+    rows: DataFrame,
+    header: DataFrame,
+    positions: Mapping[str, Column],
+    *,
+    per_file: Mapping[str, Column] = {},
+    per_row: Mapping[str, Column] = {},
+) -> DataFrame:
+    """Rows below each file's header as named text columns.
+
+    ``positions`` and ``per_file`` are expressions over ``_file`` and ``names``,
+    evaluated once per file; ``per_row`` are further columns, which may use the
+    file's ``_width`` and ``_at_<name>``.  The header table is settled, so it is
+    broadcast only at its true size.
     """
     table = settle(
         header.select(
             "_file", "_header_row", F.size("names").alias("_width"),
+            *[c.alias(n) for n, c in per_file.items()],
             *[p.alias(f"_at_{n}") for n, p in positions.items()],
         ),
         "headers",
     )
     below = rows.join(table, "_file").where(F.col("_row") > F.col("_header_row"))
     values = {n: cell(F.col("cells"), F.col(f"_at_{n}")) for n in positions}
-    return below.select("_file", "_row", *[c.alias(n) for n, c in {**keep, **values}.items()])
+    return below.select("_file", "_row", *per_file, *[c.alias(n) for n, c in {**per_row, **values}.items()])

@@ -42,10 +42,20 @@ def row_ratio(df: DataFrame, exclude: Iterable[str] = ()) -> Column:
     return nullish_ratio(_data_columns(df, exclude))
 
 
-def array_ratio(cells: Column, width: Column) -> Column:
-    """:func:`nullish_ratio` of a cell array padded with nulls to ``width``."""
-    filled = F.size(F.filter(F.coalesce(cells, F.array().cast("array<string>")), lambda c: ~is_nullish(c)))
-    return F.when(width == 0, 1.0).otherwise((width - filled) / width)
+def filled_cells(cells: Column) -> Column:
+    """How many cells of an array hold something."""
+    return F.coalesce(F.size(F.filter(cells, lambda c: ~is_nullish(c))), F.lit(0))
+
+
+def has_footer_word(cells: Column) -> Column:
+    """Does any cell of an array read total or suma? Never null."""
+    spoken = F.exists(cells, lambda c: F.coalesce(F.lower(c).rlike("|".join(FOOTER_WORDS)), F.lit(False)))
+    return F.coalesce(spoken, F.lit(False))
+
+
+def width_ratio(filled: Column, width: Column) -> Column:
+    """:func:`nullish_ratio` of a row with ``filled`` of ``width`` cells."""
+    return F.when(width <= 0, 1.0).otherwise((width - filled) / width)
 
 
 # ----------------------------------------------------------------- leading rows

@@ -17,6 +17,7 @@ from rosterflow.functions.numbers import to_whole
 from rosterflow.functions.text import clean_cell
 from rosterflow.operators import headers, rows
 from rosterflow.operators.quality import null_report
+from rosterflow.operators.relational import join_dimension
 from rosterflow.session import settle
 from rosterflow.sinks import history
 from rosterflow.sources.contracts import WHOLE, Contract, Field
@@ -50,44 +51,57 @@ def _field_position(f: Field) -> Column | None:
     return headers.position(names, *f.synonyms) if f.synonyms else None
 
 
+def _per_file(contract: Contract) -> dict[str, Column]:
+    """What depends on the file alone, its key above all: computed once per file, not per row."""
+    columns = {f"_path_{n}": of_path(F.col("_file")) for n, of_path in contract.extra.items()}
+    if contract.canonical is not None:
+        columns["_name"] = contract.canonical(F.col("_file"))
+    return columns
+
+
+def prepare_cells(scanned: DataFrame, contract: Contract) -> DataFrame:
+    """Workbook rows cut to the contract's columns, with what the cleaning rules ask of a whole row."""
+    cells = F.slice("cells", 1, contract.columns) if contract.columns else F.col("cells")
+    rows_of = scanned.select("_file", "_row", cells.alias("cells"))
+    filled = rows_of.withColumn("_filled", rows.filled_cells(F.col("cells")))
+    return filled.withColumn("_spoken", rows.has_footer_word(F.col("cells"))) if contract.footer else filled
+
+
 def extract_cells(scanned: DataFrame, contract: Contract) -> tuple[DataFrame, dict[str, DataFrame]]:
-    """Workbook rows (``_file, _row, cells``) to named text columns, one per contract field."""
+    """Prepared workbook rows to named text columns, one per contract field."""
     removed: dict[str, DataFrame] = {}
-    if contract.columns:
-        scanned = scanned.withColumn("cells", F.slice("cells", 1, contract.columns))
     if contract.drop_leading:
         # Short arrays end in blanks: a file's width is that of its longest row.
         width = scanned.groupBy("_file").agg(F.max(F.size("cells")).alias("_w"))
         wide = scanned.join(settle(width, "widths"), "_file")
-        kept, gone = rows.split_leading(wide, rows.array_ratio(F.col("cells"), F.col("_w")))
+        kept, gone = rows.split_leading(wide, rows.width_ratio(F.col("_filled"), F.col("_w")))
         scanned, removed["leading"] = kept.drop("_w"), gone.drop("_w")
     header = headers.header_table(scanned, promoted=contract.promoted_header)
     positions = {f.name: p for f in contract.fields if (p := _field_position(f)) is not None}
     money = {f"_money_{c}": headers.position(F.col("names"), c) for c in contract.total_decimals}
-    cells = F.col("cells")
-    spoken = F.exists(cells, lambda c: F.coalesce(F.lower(c).rlike("|".join(rows.FOOTER_WORDS)), F.lit(False)))
+    per_file = _per_file(contract)
+    helpers = {n: F.col(n) for n in ("_width", "_filled", "_spoken") if n == "_width" or n in scanned.columns}
+    # A missing column stays null; a blank cell of a present column becomes "".
+    present = {f"_has_{n}": F.col(f"_at_{n}").isNotNull() for n in positions}
     named = headers.named_rows(
-        scanned, header, {**positions, **money},
-        keep={
-            "_width": F.col("_width"),
-            "_filled": F.size(F.filter(cells, lambda c: ~rows.is_nullish(c))),
-            "_spoken": spoken,
-            # A missing column stays null; a blank cell of a present column becomes "".
-            **{f"_has_{n}": F.col(f"_at_{n}").isNotNull() for n in positions},
-        },
+        scanned, header, {**positions, **money}, per_file=per_file, per_row={**helpers, **present}
     )
-    cleaned = {n: F.when(F.col(f"_has_{n}"), clean_cell(F.col(n))) for n in positions}
-    result = named.withColumns(cleaned).drop(*[f"_has_{n}" for n in positions])
-    for n, of_path in contract.extra.items():
-        target = next(f.name for f in contract.fields if n in f.synonyms)
-        result = result.withColumn(target, of_path(F.col("_file")))
-    return result, removed
+    texts = {n: F.when(F.col(f"_has_{n}"), clean_cell(F.col(n))) for n in positions}
+    for n in contract.extra:
+        texts[next(f.name for f in contract.fields if n in f.synonyms)] = F.col(f"_path_{n}")
+    kept = ["_file", "_row", *helpers, *[n for n in per_file if n == "_name"], *money]
+    return named.select(*kept, *[c.alias(n) for n, c in texts.items()]), removed
 
 
 def extract_named(scanned: DataFrame, contract: Contract) -> DataFrame:
     """A frame with technical column names, ``_file`` and ``_row`` to the contract's text columns."""
     picked = {f.name: headers.pick(scanned, *f.synonyms).cast("string") for f in contract.fields if f.synonyms}
-    return scanned.select("_file", "_row", *[c.alias(n) for n, c in picked.items()])
+    df = scanned.select("_file", "_row", *[c.alias(n) for n, c in picked.items()])
+    per_file = _per_file(contract)
+    if not per_file:
+        return df
+    files = scanned.select("_file").distinct().select("_file", *[c.alias(n) for n, c in per_file.items()])
+    return join_dimension(df, files, "_file")
 
 
 # --------------------------------------------------------------------- cleaning
@@ -99,8 +113,7 @@ def _clean(df: DataFrame, contract: Contract, removed: dict[str, DataFrame]) ->
     if contract.total_decimals and "_filled" in df.columns:
         money = [f"_money_{c}" for c in contract.total_decimals]
         full = sum(((~rows.is_nullish(F.col(m), rows.STRICT_NULL_WORDS)).cast("int") for m in money), F.lit(0))
-        others = F.col("_width") - len(money)
-        ratio = F.when(others <= 0, 1.0).otherwise((others - (F.col("_filled") - full)) / others)
+        ratio = rows.width_ratio(F.col("_filled") - full, F.col("_width") - len(money))
         digits = {f"_money_{c}": d for c, d in contract.total_decimals.items()}
         df, removed["total"] = rows.split_total(df, digits, ratio=ratio)
     if contract.footer:
@@ -113,8 +126,7 @@ def _clean(df: DataFrame, contract: Contract, removed: dict[str, DataFrame]) ->
         counted = [c for c in own if c not in contract.money and c != contract.key]
         df, removed["trailing"] = rows.split_trailing(df, rows.nullish_ratio(counted))
     elif contract.drop_trailing == "raw":
-        ratio = F.when(F.col("_width") == 0, 1.0).otherwise((F.col("_width") - F.col("_filled")) / F.col("_width"))
-        df, removed["trailing"] = rows.split_trailing(df, ratio)
+        df, removed["trailing"] = rows.split_trailing(df, rows.width_ratio(F.col("_filled"), F.col("_width")))
     return df, audit
 
 
@@ -141,7 +153,6 @@ def _named(df: DataFrame, contract: Contract) -> DataFrame:
     """The load key from the file name, unless the file itself carries it."""
     if contract.canonical is None:
         return df
-    df = df.withColumn("_name", contract.canonical(F.col("_file")))
     if not contract.fill_blank:
         return df.withColumn(contract.key, F.col("_name"))
     for name, value in contract.fill_blank.items():
@@ -149,14 +160,22 @@ def _named(df: DataFrame, contract: Contract) -> DataFrame:
     return df
 
 
-def load_roster(scanned: DataFrame, contract: Contract, *, strict: bool = True) -> RosterLoad:
+def load_roster(
+    scanned: DataFrame, contract: Contract, *, strict: bool = True, settled: bool = False
+) -> RosterLoad:
     """Scanned rows to the contract's load columns.
 
     ``scanned`` has ``_file``, ``_row`` and either ``cells`` (workbooks) or named
-    columns (CSV).  ``strict`` stops the job at an identifier with a fraction;
-    otherwise it becomes null.
+    columns (CSV).  The header, the cleaning rules and the load each pass over
+    it, so it is written once (files parsed once) unless it is ``settled``
+    already.  ``strict`` stops the job at an identifier with a fraction; otherwise
+    it becomes null.
     """
     removed: dict[str, DataFrame] = {}
+    if "cells" in scanned.columns:
+        scanned = prepare_cells(scanned, contract)
+    if not settled:
+        scanned = settle(scanned, "scanned")
     if "cells" in scanned.columns:
         df, removed = extract_cells(scanned, contract)
     else:

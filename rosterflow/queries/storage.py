@@ -305,9 +305,10 @@ def changed_count(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("""
-SELECT * FROM (VALUES ('r_regionkey', 'int'), ('r_name', 'string')) v(columna, tipo), (SELECT count(*) AS filas FROM region)""")
+SELECT * FROM (VALUES ('c_custkey', 'bigint'), ('c_name', 'string'), ('c_nationkey', 'int'), ('c_acctbal', 'double'),
+  ('c_mktsegment', 'string')) v(columna, tipo), (SELECT count(*) AS filas FROM customer)""")
 def preview_shape(spark: SparkSession, sf_dir: str) -> DataFrame:
-    _, shape = quality.preview(table(spark, sf_dir, "region"))
+    _, shape = quality.preview(table(spark, sf_dir, "customer"))
     return shape
 
 
