@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from rosterflow.functions.text import strip_accents
+from rosterflow.functions.text import bind, match_form
 
 # Spanish month words and abbreviations.
 MONTHS = {
@@ -77,15 +77,14 @@ def _month_from_words(text: Column, words: dict[str, str]) -> Column:
 
 def period_from_name(name: Column, *, extra_words: bool = False) -> Column:
     """``YYYYMM`` from a file name: digits together, year-month, month-year, year with a month word."""
-    text = F.upper(strip_accents(stem(name)))
     month_first = MONTH + SEPARATOR + YEAR
     words = {**MONTHS, **EXTRA_MONTHS} if extra_words else MONTHS
-    return F.coalesce(
+    return bind(match_form(stem(name)), lambda text: F.coalesce(
         plain_period(text),
         _found(F.regexp_replace(F.regexp_extract(text, YEAR + SEPARATOR + MONTH, 0), r"\D", "")),
         _found(F.concat(F.regexp_extract(text, month_first, 2), F.regexp_extract(text, month_first, 1))),
         F.concat(_found(F.regexp_extract(text, YEAR, 1)), _month_from_words(text, words)),
-    )
+    ))
 
 
 def canonical_name(period: Column, source: str) -> Column:
@@ -98,23 +97,26 @@ def canonical_name(period: Column, source: str) -> Column:
 
 def canonical_in_place(name: Column) -> Column:
     """Put ``YYYYMM`` where "month year" stands, or append it; names that have it stay as they are."""
-    original, ext = stem(name), extension(name)
-    upper = F.upper(strip_accents(original))
     # Here a month counts even inside a longer word, so the abbreviations suffice; the
     # look-ahead lets neighbouring hits overlap.
     short = {word: number for word, number in MONTHS.items() if len(word) == 3}
     table = F.create_map(*[F.lit(x) for pair in short.items() for x in pair])
-    hits = F.regexp_extract_all(upper, F.lit("(?=(" + "|".join(short) + "))"), F.lit(1))
-    month = F.array_min(F.transform(hits, lambda w: F.element_at(table, w)))
-    period = F.concat(_found(F.regexp_extract(upper, YEAR, 1)), month)
     spoken = "(?i)(" + "|".join(sorted(MONTHS, key=len, reverse=True)) + r")\s*[-_/.,]*\s*(20\d{2})"
-    rewritten = F.when(original.rlike(spoken), F.regexp_replace(original, F.lit(spoken), period)).otherwise(
-        F.concat_ws(" ", original, period)
-    )
-    return (
-        F.when(plain_period(original).isNotNull() | period.isNull(), F.concat(original, ext))
-        .otherwise(F.concat(rewritten, ext))
-    )
+
+    def spoken_period(text: Column) -> Column:
+        hits = F.regexp_extract_all(text, F.lit("(?=(" + "|".join(short) + "))"), F.lit(1))
+        month = F.array_min(F.transform(hits, lambda w: F.element_at(table, w)))
+        return F.concat(_found(F.regexp_extract(text, YEAR, 1)), month)
+
+    def rewrite(original: Column) -> Column:
+        period = bind(match_form(original), spoken_period)
+        return F.when(plain_period(original).isNotNull(), original).otherwise(
+            bind(period, lambda p: F.when(p.isNull(), original)
+                 .when(original.rlike(spoken), F.regexp_replace(original, F.lit(spoken), p))
+                 .otherwise(F.concat_ws(" ", original, p)))
+        )
+
+    return F.concat(bind(stem(name), rewrite), extension(name))
 
 
 def policy_from_name(name: Column) -> Column:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import re
 import unicodedata
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable
 
 import pandas as pd
 from pyspark.sql import Column
@@ -118,6 +118,16 @@ def strip_accents_unicode(s: pd.Series) -> pd.Series:
 # ------------------------------------------------------------- technical names
 
 
+def bind(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use`` applied to a value that is computed once, however often ``use`` mentions it."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
+def match_form(c: Column) -> Column:
+    """Upper case without accents, one character for one, for pattern matching in short names."""
+    return F.upper(F.translate(c, _FOLD_FROM, _FOLD_TO))
+
+
 def normalize_name(c: Column) -> Column:
     """Technical name: folded, lower case, ``°`` dropped, anything else non-word as single ``_``."""
     lowered = F.replace(F.lower(strip_accents(c)), F.lit("°"), F.lit(""))

@@ -33,8 +33,8 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 # Sums of products often end exactly half way between two cents, where engines differ by how
-# they round; the shift moves the boundary to a place no such product reaches.
-_HALF = 0.5000003
+# they round; the shift moves the boundary well away from where such sums fall.
+_HALF = 0.5034567
 
 
 def cents(x: Column, digits: int = 2) -> Column:

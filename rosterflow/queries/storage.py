@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rosterflow.operators import quality, relational
-from rosterflow.queries.registry import cents, query, table
+from rosterflow.queries.registry import cents, cents_sql, query, table
 from rosterflow.session import fresh_path
 from rosterflow.sinks import history
 from rosterflow.sources import csv, tables, workbook
@@ -192,8 +192,8 @@ def workbook_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-@query("""
-SELECT n_name, count(*) AS clientes, floor(sum(c_acctbal) * 100.0::DOUBLE + 0.5000003::DOUBLE) / 100.0::DOUBLE AS saldo
+@query(f"""
+SELECT n_name, count(*) AS clientes, {cents_sql("sum(c_acctbal)")} AS saldo
 FROM customer JOIN nation ON c_nationkey = n_nationkey GROUP BY n_name""")
 def table_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = tables.query(

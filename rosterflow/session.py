@@ -20,6 +20,8 @@ DEFAULTS = {
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # Methods above this size are never compiled by the JVM: wide rosters use split code instead.
+    "spark.sql.codegen.hugeMethodLimit": "8000",
 }
 
 
