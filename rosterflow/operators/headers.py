@@ -170,11 +170,12 @@ def _promoted_header(cells: pd.Series) -> pd.Series:
 def header_table(rows: DataFrame, *, promoted: bool = False) -> DataFrame:
     """``_file, _header_row, names``: the first remaining row of every file as technical names.
 
-    The row found by a map-side minimum; the naming UDF sees one row per file.
+    Its number is a map-side minimum over two narrow columns and its cells are
+    then looked up, so the cells are never sorted or shuffled; the naming UDF
+    sees one row per file.
     """
-    first = rows.groupBy("_file").agg(
-        F.min("_row").alias("_header_row"), F.min_by("cells", "_row").alias("cells")
-    )
+    numbers = settle(rows.groupBy("_file").agg(F.min("_row").alias("_header_row")), "first-rows")
+    first = rows.join(numbers, "_file").where(F.col("_row") == F.col("_header_row"))
     naming = _promoted_header if promoted else _sheet_header
     return first.select("_file", "_header_row", naming("cells").alias("names"))
 

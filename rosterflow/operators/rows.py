@@ -101,16 +101,24 @@ def _split_at(df: DataFrame, cut: DataFrame, gone: Column) -> tuple[DataFrame, D
 
 
 def _file_totals(df: DataFrame, sums: Mapping[str, Column], flag: Column) -> DataFrame:
-    """Per file: row count, last row's key, amounts and ``flag``, and the sums of everything before it."""
-    end = F.struct(flag.alias("_flag"), *[v.alias(f"_v_{c}") for c, v in sums.items()])
-    stats = df.groupBy(FILE).agg(
-        F.count("*").alias("_rows"),
-        F.max(ROW).alias("_last"),
-        F.max_by(end, ROW).alias("_end"),
-        *[F.coalesce(F.sum(v), F.lit(0.0)).alias(f"_s_{c}") for c, v in sums.items()],
+    """Per file: row count, last row's key, amounts and ``flag``, and the sums of everything before it.
+
+    Sums and the last key are one hash aggregate; the last row's own values are
+    looked up afterwards, because carrying them through the aggregate would make
+    Spark sort every row.
+    """
+    stats = settle(
+        df.groupBy(FILE).agg(
+            F.count("*").alias("_rows"),
+            F.max(ROW).alias("_last"),
+            *[F.coalesce(F.sum(v), F.lit(0.0)).alias(f"_s_{c}") for c, v in sums.items()],
+        ),
+        "totals",
     )
-    body = {f"_p_{c}": F.col(f"_s_{c}") - F.coalesce(F.col(f"_end._v_{c}"), F.lit(0.0)) for c in sums}
-    return stats.withColumns(body) if body else stats
+    own = df.select(FILE, ROW, flag.alias("_flag"), *[v.alias(f"_v_{c}") for c, v in sums.items()])
+    ends = own.join(stats, FILE).where(F.col(ROW) == F.col("_last")).drop(ROW)
+    body = {f"_p_{c}": F.col(f"_s_{c}") - F.coalesce(F.col(f"_v_{c}"), F.lit(0.0)) for c in sums}
+    return ends.withColumns(body) if body else ends
 
 
 def split_total(
@@ -135,9 +143,9 @@ def split_total(
     if ratio is None:
         ratio = nullish_ratio(_data_columns(df, (*decimals, *exclude)), STRICT_NULL_WORDS)
     totals = _file_totals(df, money, ratio >= threshold)
-    flag = (F.col("_rows") >= 2) & F.col("_end._flag")
+    flag = (F.col("_rows") >= 2) & F.col("_flag")
     for c, digits in decimals.items():
-        last, body = F.col(f"_end._v_{c}"), F.col(f"_p_{c}")
+        last, body = F.col(f"_v_{c}"), F.col(f"_p_{c}")
         same = round_half_even(last, digits) == round_half_even(body, digits)
         near = F.abs(last - body) <= F.lit(atol) + F.lit(rtol) * F.abs(body)
         flag = flag & F.coalesce(same | near, F.lit(False))
@@ -166,10 +174,10 @@ def split_footer(
     totals = _file_totals(df, sums, spoken)
     summed = F.col("_rows") >= 2 if sums else F.lit(False)
     for c in sums:
-        last, body = F.col(f"_end._v_{c}"), F.col(f"_p_{c}")
+        last, body = F.col(f"_v_{c}"), F.col(f"_p_{c}")
         slack = F.greatest(F.lit(tolerance), F.lit(tolerance) * F.greatest(F.abs(last), F.abs(body)))
         summed = summed & F.coalesce(F.abs(last - body) <= slack, F.lit(False))
-    reason = F.when(F.col("_end._flag"), "keyword_match").when(summed, "numeric_sum_match")
+    reason = F.when(F.col("_flag"), "keyword_match").when(summed, "numeric_sum_match")
     audit = settle(totals.select(FILE, "_last", reason.alias("_reason")), "footers")
     kept, removed = _split_at(df, audit.where(F.col("_reason").isNotNull()), F.col(ROW) == F.col("_last"))
     report = audit.select(

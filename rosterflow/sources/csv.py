@@ -9,6 +9,7 @@ files, and every scan is splittable.
 from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
+from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -25,6 +26,12 @@ SEPARATORS = (";", ",", "\t")
 OTHER_ENCODING = "ISO-8859-1"
 
 
+def _order() -> Column:
+    """Orders the rows of a file: block offset, then position in the block, as one number."""
+    block = F.col("_metadata.file_block_start").cast("decimal(18,0)") * F.lit(Decimal(10**19)).cast("decimal(20,0)")
+    return (block + F.monotonically_increasing_id().cast("decimal(19,0)")).cast("decimal(38,0)")
+
+
 def _pieces(line: Column, separator: str) -> Column:
     """Columns of a header line; separators inside quotes do not count."""
     return F.size(F.split(F.regexp_replace(line, '"[^"]*"', ""), F.lit(separator.replace("\t", "\\t")), -1))
@@ -33,21 +40,24 @@ def _pieces(line: Column, separator: str) -> Column:
 def probe(spark: SparkSession, paths: str | list[str], separators: Sequence[str] = SEPARATORS) -> DataFrame:
     """One row per file: ``path, encoding, separator, header`` (the header line's text)."""
     lines = spark.read.text(paths).select(
-        F.col("_metadata.file_path").alias("path"),
-        F.struct(F.col("_metadata.file_block_start"), F.monotonically_increasing_id()).alias("at"),
-        "value",
+        F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("block"),
+        _order().alias("at"), "value",
     )
-    files = lines.groupBy("path").agg(
-        F.min(F.is_valid_utf8("value")).alias("utf8"),
-        F.min_by(F.when(F.length(F.trim("value")) > 0, F.col("value").cast("binary")), F.when(F.length(F.trim("value")) > 0, F.col("at"))).alias("first"),
+    valid = lines.groupBy("path").agg(F.min(F.is_valid_utf8("value")).alias("utf8"))
+    # A header stands in a file's first block, whatever the file's size.
+    heads = (
+        lines.where((F.col("block") == 0) & (F.length(F.trim("value")) > 0))
+        .groupBy("path")
+        .agg(F.min_by(F.col("value").cast("binary"), "at").alias("first"))
     )
+    files = valid.join(heads, "path")
     encoding = F.when(F.col("utf8"), "UTF-8").otherwise(OTHER_ENCODING)
     header = F.when(F.col("utf8"), F.decode("first", "UTF-8")).otherwise(F.decode("first", OTHER_ENCODING))
     known = files.select("path", encoding.alias("encoding"), F.ltrim(header, F.lit("﻿")).alias("header"))
     # The separator that yields most columns; the earlier one on a tie.
     ranked = F.array_max(F.array(*[F.struct(_pieces(F.col("header"), s).alias("n"), F.lit(-i).alias("i")) for i, s in enumerate(separators)]))
     chosen = F.element_at(F.array(*[F.lit(s) for s in separators]), 1 - ranked["i"])
-    return known.where(F.col("header").isNotNull()).select("path", "encoding", chosen.alias("separator"), "header")
+    return known.select("path", "encoding", chosen.alias("separator"), "header")
 
 
 def _header_names(header: str, separator: str) -> list[str]:
@@ -109,9 +119,7 @@ def _read_layout(spark: SparkSession, layout, multiline: bool) -> DataFrame:
     )
     placed = raw.select(
         F.col("_metadata.file_path").alias("_file"),
-        F.struct(
-            F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("line")
-        ).alias("_row"),
+        _order().alias("_row"),
         *[F.coalesce(F.col(n), F.lit("")).alias(n) for n in names],
     )
     return unquote_text(placed)
