@@ -92,7 +92,9 @@ def _fold_tables() -> tuple[str, str, dict[str, str]]:
 
 
 _FOLD_FROM, _FOLD_TO, _FOLD_SEVERAL = _fold_tables()
-_SEVERAL_CLASS = "[" + "".join(_FOLD_SEVERAL) + "]"
+# Two ranges that hold all of the latter (and more): a long list of single characters is slow to match.
+_LATIN_1, _BEYOND = ([ch for ch in sorted(_FOLD_SEVERAL) if (ch <= "\xff") is low] for low in (True, False))
+_SEVERAL_CLASS = f"[{_LATIN_1[0]}-{_LATIN_1[-1]}{_BEYOND[0]}-\uffff]"
 
 
 def strip_accents(c: Column) -> Column:
@@ -131,7 +133,12 @@ def match_form(c: Column) -> Column:
 def normalize_name(c: Column) -> Column:
     """Technical name: folded, lower case, ``°`` dropped, anything else non-word as single ``_``."""
     lowered = F.replace(F.lower(strip_accents(c)), F.lit("°"), F.lit(""))
-    return F.trim(F.regexp_replace(lowered, r"(?U)[\W_]+", "_"), F.lit("_"))
+    # The ASCII pattern is several times faster than the Unicode one and equal on ASCII text.
+    return bind(lowered, lambda text: F.trim(
+        F.when(is_ascii(text), F.regexp_replace(text, "[^a-z0-9]+", "_")).otherwise(
+            F.regexp_replace(text, r"(?U)[\W_]+", "_")
+        ), F.lit("_"),
+    ))
 
 
 def header_name(text: object) -> str:

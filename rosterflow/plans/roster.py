@@ -63,8 +63,11 @@ def prepare_cells(scanned: DataFrame, contract: Contract) -> DataFrame:
     """Workbook rows cut to the contract's columns, with what the cleaning rules ask of a whole row."""
     cells = F.slice("cells", 1, contract.columns) if contract.columns else F.col("cells")
     rows_of = scanned.select("_file", "_row", cells.alias("cells"))
-    filled = rows_of.withColumn("_filled", rows.filled_cells(F.col("cells")))
-    return filled.withColumn("_spoken", rows.has_footer_word(F.col("cells"))) if contract.footer else filled
+    if contract.drop_leading or contract.drop_trailing == "raw" or contract.total_decimals or contract.footer:
+        rows_of = rows_of.withColumn("_filled", rows.filled_cells(F.col("cells")))
+    if contract.footer:
+        rows_of = rows_of.withColumn("_spoken", rows.has_footer_word(F.col("cells")))
+    return rows_of
 
 
 def extract_cells(scanned: DataFrame, contract: Contract) -> tuple[DataFrame, dict[str, DataFrame]]:
