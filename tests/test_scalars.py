@@ -82,7 +82,7 @@ def test_whole_numbers(column):
     values = ["10.5", "11.5", "7", " 8 ", "9.0", "x", None, "12345678901234567"]
     assert column(lambda c: numbers.to_whole(c, "round"), values) == [10, 12, 7, 8, 9, None, None, 12345678901234567]
     assert column(lambda c: numbers.to_whole(c, "null"), values)[:5] == [None, None, 7, 8, 9]
-    with pytest.raises(Exception, match="not a whole number: 10.5"):
+    with pytest.raises(Exception, match="not a whole number: 1[01].5"):
         column(numbers.to_whole, values)
 
 
