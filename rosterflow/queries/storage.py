@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from rosterflow.operators import quality, relational
 from rosterflow.queries.registry import cents, cents_sql, query, table
 from rosterflow.session import fresh_path
-from rosterflow.sinks import history
+from rosterflow.sinks import export, history
 from rosterflow.sources import csv, tables, workbook
 from rosterflow.streaming.landing import land_and_wait
 
@@ -223,6 +223,15 @@ def stream_landing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return history.read_history(spark, path).select(KEY, "o_orderkey", "o_totalprice")
 
 
+@query("SELECT CAST(o_orderkey AS VARCHAR) AS o_orderkey, o_orderpriority FROM orders ORDER BY o_totalprice DESC, o_orderkey LIMIT 25")
+def export_shown(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The rows a preview shows, exported as CSV and read back."""
+    path = fresh_path(spark, "export")
+    shown = table(spark, sf_dir, "orders").orderBy(F.desc("o_totalprice"), "o_orderkey").select("o_orderkey", "o_orderpriority")
+    export.export_shown(shown, path, "csv", 25)
+    return spark.read.option("header", True).csv(path)
+
+
 # ---------------------------------------------------------------------- quality
 
 
