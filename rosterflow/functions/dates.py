@@ -12,7 +12,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from rosterflow.functions.numbers import to_number
-from rosterflow.functions.text import strip
+from rosterflow.functions.text import bind, strip
 
 # The two workbook calendars and the serial ranges read as dates.
 CALENDAR_1900 = "1899-12-30"
@@ -51,9 +51,9 @@ def compact(text: Column) -> Column:
 
 def text_date(c: Column, *, dayfirst: bool = False) -> Column:
     """Year-first, then day- or month-first (the other order if that is no date), then compact."""
-    text = strip(c.cast("string"))
-    either = (day_first(text), month_first(text)) if dayfirst else (month_first(text), day_first(text))
-    return F.coalesce(year_first(text), *either, compact(text))
+    orders = (day_first, month_first) if dayfirst else (month_first, day_first)
+    readers = (year_first, *orders, compact)
+    return bind(strip(c.cast("string")), lambda text: F.coalesce(*[read(text) for read in readers]))
 
 
 def from_serial(days: Column, base: str = CALENDAR_1900) -> Column:
@@ -62,8 +62,12 @@ def from_serial(days: Column, base: str = CALENDAR_1900) -> Column:
 
 def serial_date(c: Column, low: int = 1, high: int = MAX_SERIAL) -> Column:
     """Workbook serial (fraction cut) as a date; other values give null."""
-    x = to_number(c)
-    return F.when(x.between(low, high), from_serial(F.when(x.between(low, high), x)))
+
+    def read(x: Column) -> Column:
+        inside = (x >= low) & (x <= high)
+        return F.when(inside, from_serial(F.when(inside, x)))
+
+    return bind(to_number(c), read)
 
 
 def as_int(d: Column) -> Column:
@@ -78,11 +82,16 @@ def date_number(c: Column) -> Column:
 
 def mixed_date(c: Column, *, base: str = CALENDAR_1900, high: int = MAX_SERIAL) -> Column:
     """Day-first text, then ``YYYYMMDD`` or ``YYYYMMDD.0``, then a rounded serial from zero."""
-    text = strip(c.cast("string"))
-    number = to_number(F.replace(text, F.lit(","), F.lit(".")))
-    inside = number.between(0, high)
-    serial = F.when(inside, from_serial(F.bround(F.when(inside, number), 0), base))
-    return F.coalesce(text_date(text, dayfirst=True), compact(F.regexp_replace(text, r"\.0$", "")), serial)
+
+    def serial(number: Column) -> Column:
+        inside = (number >= 0) & (number <= high)
+        return F.when(inside, from_serial(F.bround(F.when(inside, number), 0), base))
+
+    return bind(strip(c.cast("string")), lambda text: F.coalesce(
+        text_date(text, dayfirst=True),
+        compact(F.regexp_replace(text, r"\.0$", "")),
+        bind(to_number(F.replace(text, F.lit(","), F.lit("."))), serial),
+    ))
 
 
 def mixed_date_failed(c: Column, **options) -> Column:
