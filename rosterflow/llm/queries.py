@@ -1,4 +1,4 @@
 """All queries of the text operators; importing the modules registers them."""
 
-from rosterflow.llm import quality_rules, sentencepiece_codec, source_mixing, warc_archive  # noqa: F401
+from rosterflow.llm import language_id, quality_rules, sentencepiece_codec, source_mixing, warc_archive  # noqa: F401
 from rosterflow.llm.common import ORACLES, QUERIES  # noqa: F401
