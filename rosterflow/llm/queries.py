@@ -1,4 +1,6 @@
 """All queries of the text operators; importing the modules registers them."""
 
-from rosterflow.llm import language_id, near_dedup, quality_rules, sentencepiece_codec, source_mixing, warc_archive  # noqa: F401
+from rosterflow.llm import (  # noqa: F401
+    language_id, near_dedup, quality_rules, sentencepiece_codec, source_mixing, substring_dedup, warc_archive,
+)
 from rosterflow.llm.common import ORACLES, QUERIES  # noqa: F401
