@@ -8,8 +8,6 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rosterflow.session import shared_dir
-
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
@@ -84,7 +82,44 @@ class WordHash(dict):
         return np.fromiter(map(self.__getitem__, words), dtype=np.uint64, count=len(words))
 
 
-__all__ = [
-    "ORACLES", "QUERIES", "SPACE_CLASS", "WORD_CLASS", "WordHash", "ascii_lower", "fold_held_out", "mix64", "parts_for",
-    "register", "shared_dir", "table", "text_bytes",
-]
+def byte_slices(batch, column: int, most: int = 4 << 20):
+    """A record batch in pieces of about ``most`` bytes of text, so that memory does not follow the batch size."""
+    import pyarrow.compute as pc
+
+    sizes = np.asarray(pc.fill_null(pc.binary_length(batch.column(column)), 0), np.int64)
+    part = np.cumsum(sizes) // most
+    cuts = [0, *(np.flatnonzero(np.diff(part)) + 1).tolist(), batch.num_rows]
+    for a, b in zip(cuts, cuts[1:]):
+        if b > a:
+            yield batch.slice(a, b - a)
+
+
+def squeeze(values: np.ndarray) -> bytes:
+    """Numbers of one width, byte plane by byte plane, compressed."""
+    import zstandard
+
+    planes = np.ascontiguousarray(np.ascontiguousarray(values).view(np.uint8).reshape(-1, values.dtype.itemsize).T)
+    return zstandard.ZstdCompressor(level=1).compress(planes.tobytes())
+
+
+def unsqueeze(blob: bytes, kind) -> np.ndarray:
+    import zstandard
+
+    width = np.dtype(kind).itemsize
+    planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(blob), np.uint8)
+    return np.ascontiguousarray(planes.reshape(width, -1).T).view(kind).ravel()
+
+
+def rows_table(rows: list[tuple], schema):
+    """A table of row tuples, empty ones included."""
+    import pyarrow as pa
+
+    columns = list(zip(*rows)) if rows else [[] for _ in schema]
+    return pa.table([pa.array(c, f.type) for c, f in zip(columns, schema)], schema=schema)
+
+
+def prefix_ranges(values: np.ndarray, shift: int) -> list[tuple[int, int, int]]:
+    """Ranges of ascending 64-bit ``values`` with a common prefix: prefix, start, end."""
+    cuts = np.flatnonzero(np.diff(values >> np.uint64(shift))) + 1
+    bounds = [0, *cuts.tolist(), len(values)]
+    return [(int(values[a] >> np.uint64(shift)), a, b) for a, b in zip(bounds, bounds[1:]) if b > a]
