@@ -1,4 +1,4 @@
-"""Links between similar sets from candidate buckets, and the components they form.
+"""Links between similar contents from candidate buckets, and the components they form.
 
 Both are built so that neither a bucket nor a component is ever held by one
 task: buckets are tested against their smallest member first, components are
@@ -11,7 +11,7 @@ from collections.abc import Callable
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rosterflow.session import scratch, settle
@@ -47,21 +47,36 @@ def components(links: DataFrame) -> DataFrame:
     return found.unionByName(edges.select(F.col("b").alias("id"), F.col("b").alias("component")).distinct())
 
 
-def alike(shared: Column, left: Column, right: Column, percent: int) -> Column:
-    """Jaccard similarity of at least ``percent`` hundredths, in whole numbers."""
-    return 100 * shared >= percent * (left + right - shared)
+class Jaccard:
+    """Sets (arrays of distinct longs, not empty) whose Jaccard similarity is at least ``percent`` hundredths."""
 
+    def __init__(self, percent: int = 80):
+        self.percent = percent
 
-def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    left = sets.select(F.col("id").alias("a"), F.col("items").alias("_left"))
-    right = sets.select(F.col("id").alias("b"), F.col("items").alias("_right"))
-    n, m = F.size("_left"), F.size("_right")
-    # Sizes far apart cannot reach the threshold; the intersection is only taken where they can.
-    near = pairs.join(left, "a").join(right, "b").where(100 * F.least(n, m) >= percent * F.greatest(n, m))
-    return near.where(alike(F.size(F.array_intersect("_left", "_right")), n, m, percent)).select("a", "b").distinct()
+    def confirm(self, pairs: DataFrame) -> DataFrame:
+        """Those of ``pairs (a, b, _left, _right)`` that are similar; integers only."""
+        n, m = F.size("_left"), F.size("_right")
+        # Sizes far apart cannot reach the threshold; the intersection is only taken where they can.
+        near = pairs.where(100 * F.least(n, m) >= self.percent * F.greatest(n, m))
+        shared = F.size(F.array_intersect("_left", "_right"))
+        return near.where(100 * shared >= self.percent * (n + m - shared))
 
+    def close(self, one: list, many: list[list]) -> np.ndarray:
+        """Which of ``many`` are similar to ``one``."""
+        x, flat = np.sort(np.array(one, np.int64)), np.concatenate([np.array(y, np.int64) for y in many])
+        sizes = np.fromiter(map(len, many), np.int64, len(many))
+        place = np.minimum(np.searchsorted(x, flat), len(x) - 1)
+        shared = np.add.reduceat((x[place] == flat).astype(np.int64), np.cumsum(sizes) - sizes)
+        return 100 * shared >= self.percent * (sizes + len(x) - shared)
 
-def _open_blocks(members: DataFrame, found: DataFrame, sets: DataFrame, percent: int) -> DataFrame | None:
+
+def _verified(pairs: DataFrame, contents: DataFrame, measure) -> DataFrame:
+    left = contents.select(F.col("id").alias("a"), F.col("items").alias("_left"))
+    right = contents.select(F.col("id").alias("b"), F.col("items").alias("_right"))
+    return measure.confirm(pairs.join(left, "a").join(right, "b")).select("a", "b").distinct()
+
+
+def _open_blocks(members: DataFrame, found: DataFrame, contents: DataFrame, measure) -> DataFrame | None:
     """Links between members of different components in buckets that the test against the smallest member left open."""
     of = members.where("n > 2").join(found, "id", "left").select("bucket", "id", F.coalesce("component", "id").alias("component"))
     sizes = of.groupBy("bucket", "component").agg(F.count("*").alias("k"))
@@ -73,7 +88,7 @@ def _open_blocks(members: DataFrame, found: DataFrame, sets: DataFrame, percent:
         return None
     stray = F.col("component") != F.col("main")
     blocks, others = (F.ceil(F.col("n") / BLOCK)).cast("int"), (F.ceil((F.col("n") - F.col("most")) / BLOCK)).cast("int")
-    rest = rest.join(sets, "id")
+    rest = rest.join(contents, "id")
     own = rest.select(
         "bucket", F.pmod(F.xxhash64("id"), blocks).cast("int").alias("i"), F.explode(F.sequence(F.lit(0), others - 1)).alias("j"),
         "id", "component", "items", F.lit(False).alias("stray"),
@@ -85,43 +100,37 @@ def _open_blocks(members: DataFrame, found: DataFrame, sets: DataFrame, percent:
 
     def test(group: pa.Table) -> pa.Table:
         ids, parts = group.column("id").to_pylist(), group.column("component").to_pylist()
-        items = [np.sort(np.array(x, np.int64)) for x in group.column("items").to_pylist()]
-        is_stray = group.column("stray").to_pylist()
-        mine = [i for i, s in enumerate(is_stray) if not s]
+        items, is_stray = group.column("items").to_pylist(), group.column("stray").to_pylist()
+        mine = [i for i, x in enumerate(is_stray) if not x]
         links = []
-        if mine:
-            flat = np.concatenate([items[i] for i in mine])
-            sizes = np.array([len(items[i]) for i in mine])
-            starts = np.concatenate([[0], np.cumsum(sizes)[:-1]])
-            for s in (i for i, x in enumerate(is_stray) if x):
-                place = np.minimum(np.searchsorted(items[s], flat), len(items[s]) - 1)
-                shared = np.add.reduceat((items[s][place] == flat).astype(np.int64), starts)
-                close = 100 * shared >= percent * (sizes + len(items[s]) - shared)
-                links += [(ids[mine[k]], ids[s]) for k in np.flatnonzero(close) if parts[mine[k]] != parts[s]]
+        for s in (i for i, x in enumerate(is_stray) if x):
+            rest_ = [i for i in mine if parts[i] != parts[s]]
+            if rest_:
+                links += [(ids[i], ids[s]) for i, near in zip(rest_, measure.close(items[s], [items[i] for i in rest_])) if near]
         return pa.table({"a": pa.array([x for x, _ in links], pa.int64()), "b": pa.array([y for _, y in links], pa.int64())})
 
     return own.unionByName(strays).groupBy("bucket", "i", "j").applyInArrow(test, "a long, b long")
 
 
-def link(buckets: DataFrame, sets_of: Callable[[DataFrame], DataFrame], percent: int = 80) -> DataFrame:
+def link(buckets: DataFrame, contents_of: Callable[[DataFrame], DataFrame], measure) -> DataFrame:
     """``id, component`` of all ids that are linked, from ``buckets (bucket, id)``.
 
-    ``sets_of`` turns a table of candidate ids into ``id, items`` (distinct longs,
-    not empty).  Two ids of one bucket are linked if the Jaccard similarity of
-    their sets is at least ``percent`` hundredths.  Every member is tested against
-    the bucket's smallest id; buckets whose members then still lie in several
-    components are tested member against member, in blocks, so that no link is
-    lost and a group of copies costs one test per member.
+    ``contents_of`` turns a table of candidate ids into ``id, items``, what
+    ``measure`` compares.  Two ids of one bucket are linked if it finds them
+    similar.  Every member is tested against the bucket's smallest id; buckets
+    whose members then still lie in several components are tested member against
+    member, in blocks, so that no link is lost and a group of copies costs one test
+    per member.
     """
     with scratch():
         smallest = buckets.groupBy("bucket").agg(F.min("id").alias("pivot"), F.count("*").alias("n")).where("n > 1")
         members = settle(buckets.join(smallest, "bucket").where("id <> pivot"), "members")
         pairs = settle(members.select(F.col("pivot").alias("a"), F.col("id").alias("b")).distinct(), "pairs")
         candidates = pairs.select(F.col("a").alias("id")).unionByName(pairs.select(F.col("b").alias("id"))).distinct()
-        sets = settle(sets_of(settle(candidates, "candidates")), "sets")
-        links = settle(_verified(pairs, sets, percent), "links")
+        contents = settle(contents_of(settle(candidates, "candidates")), "contents")
+        links = settle(_verified(pairs, contents, measure), "links")
         found = settle(components(links), "components")
-        more = _open_blocks(members, found, sets, percent)
+        more = _open_blocks(members, found, contents, measure)
         if more is not None:
             more = settle(more, "more-links")
             if not more.isEmpty():

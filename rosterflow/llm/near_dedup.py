@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rosterflow.llm.common import WordHash, mix64, register, table
-from rosterflow.llm.linking import link
+from rosterflow.llm.linking import Jaccard, link
 from rosterflow.session import scratch, settle
 
 BANDS = 32
@@ -136,7 +136,7 @@ def near_duplicates(
         equal = settle(equal, "equal-sets", outlives=True)
         first = nodes.join(equal.select(F.col("first").alias(key), "set_digest"), [key, "set_digest"], "left_semi")
         buckets = first.select(F.explode("keys").alias("bucket"), F.col(key).cast("long").alias("id")).distinct()
-        linked = link(buckets, lambda ids: full_sets(docs, ids, key, text, width), percent)
+        linked = link(buckets, lambda ids: full_sets(docs, ids, key, text, width), Jaccard(percent))
         groups = equal.join(linked, F.col("first") == F.col("id"), "left").where("copies > 1 or component is not null")
         groups = settle(groups.select("set_digest", F.coalesce("component", "first").alias("_component")), "groups", outlives=True)
         found = marks.join(groups, "set_digest", "left")

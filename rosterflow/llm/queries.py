@@ -1,6 +1,6 @@
 """All queries of the text operators; importing the modules registers them."""
 
 from rosterflow.llm import (  # noqa: F401
-    class_lm, language_id, line_dedup, near_dedup, quality_rules, sentencepiece_codec, source_mixing, substring_dedup, warc_archive,
+    class_lm, edit_fingerprint, language_id, line_dedup, near_dedup, quality_rules, sentencepiece_codec, source_mixing, substring_dedup, warc_archive,
 )
 from rosterflow.llm.common import ORACLES, QUERIES  # noqa: F401
