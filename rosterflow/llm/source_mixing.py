@@ -97,11 +97,27 @@ def uniform(key: str, seed: str = SEED) -> Column:
     return F.conv(digits, 16, 10).cast("double") / F.lit(float(1 << 52))
 
 
+def _drawn(
+    docs: DataFrame, key: str, text: str, topic: str | None, targets: dict[str, DataFrame] | None, power: float, rate: float, sweeps: int, seed: str
+) -> DataFrame:
+    """``docs`` with ``_mix_topic``, ``_mix_words``, ``_mix_chance`` and ``_mix_kept``."""
+    df = _described(docs, text, topic)
+    with scratch():
+        keys = [f"_mix_{d}" for d in DIMENSIONS]
+        cells = settle(df.where("_mix_words > 0").groupBy(*keys).agg(F.sum("_mix_words").alias("tokens")), "token-sums")
+        wanted = {d: (targets or {}).get(d) for d in DIMENSIONS}
+        wanted = {d: tempered_targets(cells, d, power) if t is None else t for d, t in wanted.items()}
+        chances = probabilities(fit(cells, wanted, sweeps), rate).select(*keys, F.col("probability").alias("_mix_p"))
+        chances = settle(chances, "probabilities", outlives=True)
+    chance = F.when(F.col("_mix_words") > 0, F.coalesce("_mix_p", F.lit(0.0))).otherwise(F.lit(0.0))
+    return df.join(chances, keys, "left").withColumn("_mix_chance", chance).withColumn("_mix_kept", uniform(key, seed) < F.col("_mix_chance"))
+
+
 def mix(
     docs: DataFrame, key: str = "doc_id", text: str = "text", topic: str | None = None, targets: dict[str, DataFrame] | None = None,
     power: float = POWER, rate: float = RATE, sweeps: int = SWEEPS, seed: str = SEED,
 ) -> DataFrame:
-    """``docs`` with ``topic, n_words, probability, kept``; rows that are not drawn stay, with ``kept`` false.
+    """``key, topic, n_words, probability, kept`` of every row.
 
     ``targets`` gives the wanted shares per dimension (a DataFrame of
     ``_mix_<dimension>, share``); by default they are the present ones, tempered.
@@ -109,21 +125,21 @@ def mix(
     tokens: they have probability 0.  The draw depends on the key alone, so
     repeated rows share their fate; a null key is drawn like an empty text of it.
     """
-    df = _described(docs, text, topic)
-    with scratch():
-        keys = [f"_mix_{d}" for d in DIMENSIONS]
-        cells = settle(df.where("_mix_words > 0").groupBy(*keys).agg(F.sum("_mix_words").alias("tokens")), "token-sums")
-        wanted = {d: (targets or {}).get(d) for d in DIMENSIONS}
-        wanted = {d: tempered_targets(cells, d, power) if t is None else t for d, t in wanted.items()}
-        drawn = settle(probabilities(fit(cells, wanted, sweeps), rate).select(*keys, "probability"), "probabilities", outlives=True)
-    joined = df.join(drawn, keys, "left")
-    chance = F.when(F.col("_mix_words") > 0, F.coalesce("probability", F.lit(0.0))).otherwise(F.lit(0.0))
-    return joined.select(
-        *(F.col(c) for c in docs.columns if c not in ("topic", "n_words", "probability", "kept")), F.col("_mix_topic").alias("topic"),
-        F.col("_mix_words").alias("n_words"), chance.alias("probability"), (uniform(key, seed) < chance).alias("kept"),
+    drawn = _drawn(docs, key, text, topic, targets, power, rate, sweeps, seed)
+    return drawn.select(
+        key, F.col("_mix_topic").alias("topic"), F.col("_mix_words").alias("n_words"), F.col("_mix_chance").alias("probability"),
+        F.col("_mix_kept").alias("kept"),
     )
 
 
+def sample(
+    docs: DataFrame, key: str = "doc_id", text: str = "text", topic: str | None = None, targets: dict[str, DataFrame] | None = None,
+    power: float = POWER, rate: float = RATE, sweeps: int = SWEEPS, seed: str = SEED,
+) -> DataFrame:
+    """The rows of ``docs`` that ``mix`` draws, with their own columns."""
+    return _drawn(docs, key, text, topic, targets, power, rate, sweeps, seed).where("_mix_kept").select(*docs.columns)
+
+
 def _oracle() -> str:
     count = "(length(t) - length(regexp_replace(t, '{}', '', 'g')))"
     steps = []
