@@ -57,7 +57,9 @@ class ChunkTable:
         self.ids = np.zeros(0, np.uint32)
 
     def _learn(self, chunks: list[str]) -> None:
-        found = self.library.encode([c[1:] for c in chunks], num_threads=1)
+        # A chunk that is one marker alone, at the end of a text, would be handed over as nothing.
+        lone = [self.library.piece_to_id(MARKER)]
+        found = [lone if c == " " else ids for c, ids in zip(chunks, self.library.encode([c[1:] for c in chunks], num_threads=1))]
         length = np.fromiter(map(len, found), np.int64, len(found))
         flat = np.fromiter((i for ids in found for i in ids), np.uint32, int(length.sum()))
         self.row.update(zip(chunks, range(len(self.row), len(self.row) + len(chunks))))
