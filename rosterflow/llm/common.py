@@ -123,3 +123,20 @@ def prefix_ranges(values: np.ndarray, shift: int) -> list[tuple[int, int, int]]:
     cuts = np.flatnonzero(np.diff(values >> np.uint64(shift))) + 1
     bounds = [0, *cuts.tolist(), len(values)]
     return [(int(values[a] >> np.uint64(shift)), a, b) for a, b in zip(bounds, bounds[1:]) if b > a]
+
+
+def pack_batch(batch) -> bytes:
+    """A record batch as compressed bytes."""
+    import pyarrow as pa
+
+    sink = pa.BufferOutputStream()
+    with pa.ipc.new_stream(sink, batch.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as out:
+        out.write_batch(batch)
+    return sink.getvalue().to_pybytes()
+
+
+def unpack_batch(blob: bytes):
+    import pyarrow as pa
+
+    with pa.ipc.open_stream(blob) as source:
+        return source.read_all()

@@ -7,16 +7,89 @@ found by joins, and what a bucket leaves open is tested in blocks.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from rosterflow.llm.common import prefix_ranges, rows_table, squeeze, unsqueeze
 from rosterflow.session import scratch, settle
 
 BLOCK = 64
+# Candidate ids up to this many (some 100 MB as a hash table) are sent to the scan; beyond, the texts are shuffled to them.
+BROADCAST_IDS = 4_000_000
+
+BUCKET = pa.schema([("bucket", pa.int64()), ("id", pa.int64())])
+PACKED = pa.schema([("slice", pa.int64()), ("a", pa.binary()), ("b", pa.binary())])
+WITHIN = -1
+
+
+def pack_keys(keys: np.ndarray, owner: np.ndarray, shift: int) -> list[tuple[int, bytes, bytes]]:
+    """Keys and owners by ranges of the key, each key once with its smallest owner.
+
+    A key that several owners of this batch hold is written out with all of them
+    under ``WITHIN``, so that a range only has to say whether other batches hold it.
+    """
+    order = np.lexsort((owner, keys))
+    keys, owner = keys[order], owner[order]
+    fresh = np.ones(len(keys), bool)
+    fresh[1:] = keys[1:] != keys[:-1]
+    shared = ~fresh
+    shared[:-1] |= ~fresh[1:]
+    out = [(WITHIN, squeeze(keys[shared]), squeeze(owner[shared]))] if shared.any() else []
+    keys, owner = keys[fresh], owner[fresh]
+    return out + [
+        (part, squeeze(np.diff(keys[a:b], prepend=np.uint64(0))), squeeze(owner[a:b])) for part, a, b in prefix_ranges(keys, shift)
+    ]
+
+
+def _met_twice(group: pa.Table) -> pa.Table:
+    """Owners of the keys of a range that several batches hold."""
+    keys = np.concatenate([np.cumsum(unsqueeze(b, np.uint64), dtype=np.uint64) for b in group.column("a").to_pylist()])
+    owner = np.concatenate([unsqueeze(b, np.uint64) for b in group.column("b").to_pylist()])
+    order = np.lexsort((owner, keys))
+    keys, owner = keys[order], owner[order]
+    other = np.ones(len(keys), bool)
+    other[1:] = (keys[1:] != keys[:-1]) | (owner[1:] != owner[:-1])
+    keys, owner = keys[other], owner[other]
+    shared = np.zeros(len(keys), bool)
+    shared[1:] = keys[1:] == keys[:-1]
+    shared[:-1] |= shared[1:]
+    return pa.table([pa.array(keys[shared].view(np.int64)), pa.array(owner[shared].view(np.int64))], schema=BUCKET)
+
+
+def buckets_of(packed: DataFrame) -> DataFrame:
+    """``bucket, id`` of all keys with more than one owner, from rows of ``pack_keys``."""
+
+    def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for a, b in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                yield pa.RecordBatch.from_arrays([pa.array(unsqueeze(a, np.int64)), pa.array(unsqueeze(b, np.int64))], schema=BUCKET)
+
+    across = packed.where(F.col("slice") != WITHIN).groupBy("slice").applyInArrow(_met_twice, "bucket long, id long")
+    within = packed.where(F.col("slice") == WITHIN).select("a", "b").mapInArrow(spread, "bucket long, id long")
+    return across.unionByName(within).distinct()
+
+
+def shared_buckets(keyed: DataFrame, expected: int, per_slice: int = 1 << 22) -> DataFrame:
+    """``bucket, id`` of the keys that more than one id holds, from ``keyed (id, keys)`` with about ``expected`` keys in all."""
+    shift = 64 - max(3, (expected // per_slice).bit_length())
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            lists = batch.column(1)
+            owner = np.repeat(np.asarray(batch.column(0)).view(np.uint64), np.asarray(lists.value_lengths(), np.int64))
+            if len(owner):
+                yield from rows_table(pack_keys(np.asarray(lists.flatten()).view(np.uint64), owner, shift), PACKED).to_batches()
+
+    return buckets_of(settle(keyed.where("id is not null and keys is not null").select("id", "keys").mapInArrow(run, "slice long, a binary, b binary"), "keys"))
+
+
+def among(docs: DataFrame, ids: DataFrame) -> DataFrame:
+    """The rows of ``docs`` whose ``id`` is in the settled table ``ids``."""
+    return docs.join(F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids, "id", "left_semi")
 
 
 def components(links: DataFrame) -> DataFrame:

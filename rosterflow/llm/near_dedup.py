@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rosterflow.llm.common import WordHash, mix64, register, table
-from rosterflow.llm.linking import Jaccard, link
+from rosterflow.llm.linking import Jaccard, among, link
 from rosterflow.session import scratch, settle
 
 BANDS = 32
@@ -112,7 +112,7 @@ def full_sets(docs: DataFrame, ids: DataFrame, key: str, text: str, width: int)
                     [batch.column(0), pa.array([s.view(np.int64) for s in sets], pa.list_(pa.int64()))], ["id", "items"]
                 )
 
-    wanted = docs.select(F.col(key).cast("long").alias("id"), text).join(ids, "id", "left_semi")
+    wanted = among(docs.select(F.col(key).cast("long").alias("id"), text), ids)
     return wanted.mapInArrow(run, "id long, items array<long>").where(F.size("items") > 0)
 
 
