@@ -174,10 +174,14 @@ def header_table(rows: DataFrame, *, promoted: bool = False) -> DataFrame:
     then looked up, so the cells are never sorted or shuffled; the naming UDF
     sees one row per file.
     """
-    numbers = settle(rows.groupBy("_file").agg(F.min("_row").alias("_header_row")), "first-rows")
+    numbers = settle(
+        rows.groupBy("_file").agg(F.min("_row").alias("_header_row"), F.max(F.size("cells")).alias("_widest")), "first-rows"
+    )
     first = rows.join(numbers, "_file").where(F.col("_row") == F.col("_header_row"))
     naming = _promoted_header if promoted else _sheet_header
-    return first.select("_file", "_header_row", naming("cells").alias("names"))
+    # Blank cells at a row's end are not stored; a column without a header has a name all the same.
+    missing = F.array_repeat(F.lit(None).cast("string"), F.greatest(F.col("_widest") - F.size("cells"), F.lit(0)))
+    return first.select("_file", "_header_row", naming(F.concat("cells", missing)).alias("names"))
 
 
 def position(names: Column, *synonyms: str) -> Column:

@@ -16,9 +16,14 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rosterflow.plans.roster import load_roster
+from rosterflow.plans.roster import load_into_history, load_roster
 from rosterflow.queries.registry import cents, cents_sql, query, table
+from rosterflow.queries.xlsx import cells_to_workbooks, write_files
+from rosterflow.session import fresh_path
+from rosterflow.sinks.history import read_history
 from rosterflow.sources.contracts import CONTRACTS
+from rosterflow.sources.csv import read_csv
+from rosterflow.sources.workbook import read_workbooks
 
 _VIEW_SQL = """o AS (
   SELECT o_orderkey AS k, o_custkey AS c, o_totalprice AS x, o_orderstatus AS s, o_orderpriority AS pr,
@@ -247,9 +252,7 @@ SELECT f AS "Nombre_de_archivo", n AS filas, CASE WHEN f < 'Base cesantia SURA S
 FROM files""")
 def roster_history_load(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Scan to history, twice: the first load brings the early files, the second all of them."""
-    from rosterflow.plans.roster import RosterLoad, load_into_history
-    from rosterflow.session import fresh_path
-    from rosterflow.sinks.history import read_history
+    from rosterflow.plans.roster import RosterLoad
 
     stock = next(c for c in CASES if c.source == "stock")
     scanned, path = stock.scanned(spark, sf_dir), fresh_path(spark, "history")
@@ -259,3 +262,69 @@ def roster_history_load(spark: SparkSession, sf_dir: str) -> DataFrame:
     summary = load_into_history(load, path)
     stored = read_history(spark, path).groupBy("Nombre_de_archivo").agg(F.count("*").alias("en_historia"))
     return summary.join(stored, "Nombre_de_archivo")
+
+
+# ------------------------------------------------- from files to the history
+
+
+def _from_files(case: Case, spark: SparkSession, sf_dir: str, folder: str) -> DataFrame:
+    """The case's rows written as real workbooks, then scanned as its contract says."""
+    contract = CONTRACTS[case.source]
+    scanned = case.scanned(spark, sf_dir)
+    # A preferred sheet is found by its name, whatever its case and place; else the place counts.
+    sheet = f" {contract.sheets[-1].upper()} " if contract.sheets else "Hoja"
+    moved = scanned.withColumn("_file", F.concat(F.lit(folder), F.substring("_file", 4, 1000)))
+    write_files(cells_to_workbooks(moved, sheet, contract.sheet_index)).collect()
+    return read_workbooks(spark, folder, preferred=contract.sheets, fallback=contract.sheet_index, recursive=True)
+
+
+def _through_history(load, spark: SparkSession, path: str) -> DataFrame:
+    """Loaded twice, which must change nothing, and read back in the load's types."""
+    for _ in range(2):
+        summary = load_into_history(load, path)
+    wrong = summary.where("filas <> filas_previas or accion <> 'reemplazo'").count()
+    if wrong:
+        raise AssertionError(f"{wrong} files are not replaced by themselves")
+    stored, want = read_history(spark, path), load.rows.schema
+    return stored.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in want])
+
+
+def _file_query(case: Case):
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        folder, path = fresh_path(spark, f"in-{case.source}"), fresh_path(spark, case.source)
+        loaded = load_roster(_from_files(case, spark, sf_dir, folder), CONTRACTS[case.source])
+        rows = _through_history(loaded, spark, path)
+        return rows.withColumns({n: cents(F.col(n), 4) for n in case.rounded})
+
+    run.__doc__ = f"Files of {case.source}, as sent, to the history table and back."
+    return run
+
+
+for _case in CASES:
+    if _case.source in ("marsh", "conosur", "unidad_leasing", "los_heroes"):
+        query(_case.sql(), name=f"file_{_case.source}")(_file_query(_case))
+
+
+_REMITTANCE_SQL = f"""WITH {_VIEW_SQL}
+SELECT CAST(k AS STRING) AS "PROPUESTA", dmy AS "FECHA_PAGO", {_RUT} AS "RUTAFILIADO", nm AS "NOMBREAFILIADO", NULL AS "CUOTA",
+  CAST(x AS STRING) AS "VALOR_CUOTA_BRUTO_CLP", 'remesa_' || strftime(CAST(d - INTERVAL 1 MONTH AS DATE), '%Y%m') || '.csv' AS "NOMBRE_ARCHIVO"
+FROM o"""
+
+
+@query(_REMITTANCE_SQL)
+def file_banigualdad(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """CSV files with a space, ``%``, ``+`` and ``[`` in their names, to the history table and back."""
+    columns = {
+        "Número Propuesta": F.col("k").cast("string"), "Fecha de Pago": F.col("dmy"), "RUT Afiliado": F.expr(_RUT), "Nombre Afiliado": F.col("nm"),
+        "Cuota": F.lit(""), "Valor Cuota Bruto Pesos": F.col("x").cast("string"),
+    }
+    folder, path = fresh_path(spark, "in-banigualdad"), fresh_path(spark, "banigualdad")
+    lines = _view(spark, sf_dir).select(
+        F.concat(F.lit(f"{folder}/100%20 [a+b]/remesa "), "p", F.lit("15.csv")).alias("path"), F.col("k"),
+        F.concat_ws(";", *columns.values()).alias("line"),
+    )
+    head = F.lit(";".join(columns) + "\n")
+    files = lines.groupBy("path").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("k", "line"))), lambda x: x["line"]), "\n").alias("body"))
+    write_files(files.select("path", F.encode(F.concat(head, "body"), "UTF-8").alias("content"))).collect()
+    loaded = load_roster(read_csv(spark, folder), CONTRACTS["banigualdad"])
+    return _through_history(loaded, spark, path)

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from rosterflow.operators import quality, relational
 from rosterflow.queries.registry import cents, cents_sql, query, table
-from rosterflow.session import fresh_path
+from rosterflow.session import fresh_path, settle
 from rosterflow.sinks import export, history
 from rosterflow.sources import csv, tables, workbook
 from rosterflow.streaming.landing import land_and_wait
@@ -95,9 +95,30 @@ def upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     keyless = customers.where("c_mktsegment = 'HOUSEHOLD'").select(
         F.lit(None).cast("bigint").alias("clave"), F.col("c_acctbal").alias("saldo")
     )
-    path, merged = fresh_path(spark, "upsert"), fresh_path(spark, "upserted")
-    history.append(target, path)
-    return history.write_upsert(path, changed.unionByName(keyless), ["clave"], merged)
+    name = "rosterflow_" + fresh_path(spark, "u").rsplit("-", 1)[1]
+    history.rebuild_table(target, name, fresh_path(spark, "upsert"))
+    return history.upsert_table(name, changed.unionByName(keyless), ["clave"], fresh_path(spark, "upserted"))
+
+
+_KEYS_SQL = """k AS (SELECT o_orderkey, o_totalprice, CASE o_orderstatus WHEN 'F' THEN lpad(CAST(o_orderkey % 12 AS VARCHAR), 3, '0')
+  WHEN 'O' THEN strftime(o_orderdate, '%Y-%m-%d') ELSE 'abc ' || (o_orderkey % 3) END AS archivo FROM orders)"""
+
+
+@query(f"""WITH {_KEYS_SQL}, n AS (SELECT archivo, count(*) AS filas FROM k GROUP BY ALL)
+SELECT k.archivo, o_orderkey, o_totalprice, filas, filas AS filas_previas, 'reemplazo' AS accion FROM k JOIN n USING (archivo)""")
+def keys_as_written(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Keys that look like numbers or dates (``007``, ``2025-01-01``) beside plain ones, loaded twice."""
+    status = F.col("o_orderstatus")
+    key = (
+        F.when(status == "F", F.lpad((F.col("o_orderkey") % 12).cast("string"), 3, "0"))
+        .when(status == "O", F.date_format("o_orderdate", "yyyy-MM-dd")).otherwise(F.concat(F.lit("abc "), F.col("o_orderkey") % 3))
+    )
+    rows, path = table(spark, sf_dir, "orders").select("o_orderkey", "o_totalprice", key.alias(KEY)), fresh_path(spark, "keys")
+    history.replace_partition(rows, path, KEY)
+    # What the load replaces is counted before it is gone.
+    summary = settle(history.load_summary(rows, KEY, history.read_history(spark, path)), "summary")
+    history.replace_partition(rows, path, KEY)
+    return history.read_history(spark, path).join(summary, KEY)
 
 
 @query(f"""WITH {_ORDERS_SQL}, prior AS (SELECT archivo, count(*) AS n FROM o WHERE archivo < 'remesa_1998' GROUP BY archivo)
@@ -143,28 +164,30 @@ def delete_where(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("""
 SELECT o_orderkey, CAST(o_totalprice AS DOUBLE) AS precio, strftime(o_orderdate, '%Y-%m-%d') AS fecha,
-  CASE WHEN o_orderstatus = 'F' THEN 'Año ñandú' ELSE 'x;"y", z' END AS nota, o_orderstatus AS estado
+  CASE WHEN o_orderstatus = 'F' THEN 'Año ñandú' ELSE 'x;"y",' || chr(10) || 'z' END AS nota, o_orderstatus AS estado,
+  CASE o_orderstatus WHEN 'O' THEN 'O 100%20' WHEN 'P' THEN 'P+1' ELSE 'F [a]' END AS carpeta
 FROM orders""")
 def csv_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Three layouts (separator, encoding, header) written and read back without being told which."""
+    """Three layouts (separator, encoding, header) with line breaks in cells, in folders whose names need escaping, read back without being told."""
     orders = table(spark, sf_dir, "orders").select(
         "o_orderkey", F.translate(F.format_number("o_totalprice", 2), ",.", ".,").alias("precio"),
         F.date_format("o_orderdate", "dd/MM/yyyy").alias("fecha"),
-        F.when(F.col("o_orderstatus") == "F", "Año ñandú").otherwise('x;"y", z').alias("nota"), F.col("o_orderstatus").alias("estado"),
+        F.when(F.col("o_orderstatus") == "F", "Año ñandú").otherwise('x;"y",\nz').alias("nota"), F.col("o_orderstatus").alias("estado"),
     )
     path = fresh_path(spark, "csv")
     layouts = {
-        "O": (";", "UTF-8", ["N° Operación", "Precio", "Fecha", "Nota", "Estado"]),
-        "P": (",", "UTF-8", ["n operacion", "PRECIO", "fecha", "nota", "estado"]),
-        "F": ("\t", "ISO-8859-1", ["n_operacion", "precio", "fecha ", "nota", "ESTADO"]),
+        "O 100%20": (";", "UTF-8", ["N° Operación", "Precio", "Fecha", "Nota", "Estado"]),
+        "P+1": (",", "UTF-8", ["n operacion", "PRECIO", "fecha", "nota", "estado"]),
+        "F [a]": ("\t", "ISO-8859-1", ["n_operacion", "precio", "fecha ", "nota", "ESTADO"]),
     }
-    for status, (sep, encoding, names) in layouts.items():
-        orders.where(F.col("estado") == status).toDF(*names).write.option("header", True).option("sep", sep).option(
+    for folder, (sep, encoding, names) in layouts.items():
+        orders.where(F.col("estado") == folder[0]).toDF(*names).write.option("header", True).option("sep", sep).option(
             "encoding", encoding
-        ).option("escape", '"').csv(f"{path}/{status}")
-    read = csv.read_csv(spark, [f"{path}/{s}" for s in layouts], dates=["fecha"], numbers=["precio"], wholes=["n_operacion"])
+        ).option("escape", '"').csv(f"{path}/{folder}")
+    read = csv.read_csv(spark, path, dates=["fecha"], numbers=["precio"], wholes=["n_operacion"])
     return read.select(
-        F.col("n_operacion").alias("o_orderkey"), "precio", F.date_format("fecha", "yyyy-MM-dd").alias("fecha"), "nota", "estado"
+        F.col("n_operacion").alias("o_orderkey"), "precio", F.date_format("fecha", "yyyy-MM-dd").alias("fecha"), "nota", "estado",
+        F.element_at(F.split("_file", "/"), -2).alias("carpeta"),
     )
 
 
@@ -223,6 +246,40 @@ def stream_landing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return history.read_history(spark, path).select(KEY, "o_orderkey", "o_totalprice")
 
 
+@query("""
+SELECT o_orderstatus AS archivo, o_orderkey, o_totalprice * 2 AS o_totalprice, lote
+FROM orders, (VALUES ('uno'), ('muchos')) l(lote) WHERE o_orderkey % 2 = 0""")
+def stream_newest_file(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A key sent in two files keeps the newer one, whether they come one by one or together."""
+    folder, orders = fresh_path(spark, "sent"), table(spark, sf_dir, "orders").select(
+        F.col("o_orderstatus").alias(KEY), "o_orderkey", "o_totalprice"
+    )
+    orders.coalesce(1).write.parquet(folder)
+    again = orders.where("o_orderkey % 2 = 0").withColumn("o_totalprice", F.col("o_totalprice") * 2)
+    again.coalesce(1).write.mode("append").parquet(folder)
+    found = []
+    for name, files in (("uno", 1), ("muchos", 10)):
+        path = fresh_path(spark, "newest")
+        land_and_wait(
+            spark, folder, path, KEY, lambda batch: batch, schema=orders.schema, checkpoint=fresh_path(spark, "newest-checkpoint"),
+            files_per_batch=files,
+        )
+        found.append(history.read_history(spark, path).select(KEY, "o_orderkey", "o_totalprice", F.lit(name).alias("lote")))
+    return found[0].unionByName(found[1])
+
+
+@query("SELECT 'SELECT' AS orden, true AS bien UNION ALL SELECT 'RAISE', false")
+def timed_statement(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A statement is run to its end: one that fails only on its rows is reported as failed."""
+    name = "rosterflow_orders"
+    table(spark, sf_dir, "orders").createOrReplaceTempView(name)
+    done = {
+        "SELECT": export.run_statement(spark, f"SELECT sum(o_totalprice) FROM {name}"),
+        "RAISE": export.run_statement(spark, f"SELECT raise_error('x') FROM {name}"),
+    }
+    return spark.createDataFrame([(k, v["ok"]) for k, v in done.items()], "orden string, bien boolean")
+
+
 @query("SELECT CAST(o_orderkey AS VARCHAR) AS o_orderkey, o_orderpriority FROM orders ORDER BY o_totalprice DESC, o_orderkey LIMIT 25")
 def export_shown(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The rows a preview shows, exported as CSV and read back."""
@@ -321,6 +378,13 @@ def preview_shape(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shape
 
 
+@query("SELECT n_nationkey, n_name, n_regionkey FROM nation")
+def preview_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The rows of a preview, which holds the whole of a table this small."""
+    rows, _ = quality.preview(table(spark, sf_dir, "nation"), 25)
+    return rows
+
+
 @query("""
 SELECT o_orderkey, o_custkey, NULL AS extra FROM orders UNION ALL SELECT c_custkey, NULL, c_name FROM customer""")
 def union_files(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import io
 import zipfile
+from collections.abc import Iterator
 from datetime import date
 from xml.sax.saxutils import escape
 
@@ -63,6 +64,36 @@ def write_workbook(sheets: dict[str, dict[int, list]]) -> bytes:
     return buffer.getvalue()
 
 
+def write_files(df: DataFrame) -> DataFrame:
+    """Write each row's ``content`` to its ``path`` in the shared folder, from the tasks; returns the paths."""
+
+    def write(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        from pyarrow import fs
+
+        for batch in batches:
+            for path, content in zip(batch["path"], batch["content"]):
+                # A URI would read % and + as escapes; below its scheme the path is taken as it is.
+                scheme, _, place = path.partition("://")
+                store, place = (fs.FileSystem.from_uri(f"{scheme}:///")[0], place) if place else (fs.LocalFileSystem(), path)
+                store.create_dir(place.rpartition("/")[0], recursive=True)
+                with store.open_output_stream(place) as out:
+                    out.write(content)
+            yield batch[["path"]]
+
+    return df.select("path", "content").mapInPandas(write, "path string")
+
+
+def cells_to_workbooks(scanned: DataFrame, sheet: str, sheet_index: int) -> DataFrame:
+    """``path, content``: one workbook per ``_file`` with its rows in order, behind ``sheet_index`` other sheets."""
+
+    def pack(rows: pd.DataFrame) -> pd.DataFrame:
+        body = {i: list(cells) for i, cells in enumerate(rows.sort_values("_row")["cells"])}
+        others = {f"Notas {i}": {0: ["nada"]} for i in range(sheet_index)}
+        return pd.DataFrame({"path": [rows["_file"].iloc[0]], "content": [write_workbook({**others, sheet: body})]})
+
+    return scanned.groupBy("_file").applyInPandas(pack, "path string, content binary")
+
+
 def pack_workbooks(df: DataFrame) -> DataFrame:
     """One workbook per ``path`` from columns o_orderkey, o_totalprice, day, prioridad (bounded groups)."""
 

@@ -49,7 +49,9 @@ def shared_dir(spark: SparkSession) -> str:
     configured = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get(
         "spark.checkpoint.dir"
     )
-    return (configured or spark.conf.get("spark.sql.warehouse.dir")).rstrip("/")
+    root = (configured or spark.conf.get("spark.sql.warehouse.dir")).rstrip("/")
+    # One spelling for every reader: file:/x and file:///x are one place.
+    return f"file://{root[5:]}" if root.startswith("file:/") and not root.startswith("file://") else root
 
 
 def fresh_path(spark: SparkSession, label: str, owned: bool = True) -> str:

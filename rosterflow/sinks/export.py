@@ -19,11 +19,16 @@ def export_shown(df: DataFrame, path: str, fmt: str = "csv", n: int = 100) -> No
 
 
 def run_statement(spark: SparkSession, sql: str) -> dict[str, object]:
-    """Run one statement; seconds (3 decimals) and the error text instead of an exception."""
+    """Run one statement to its end; seconds (3 decimals) and the error text instead of an exception.
+
+    A statement that yields rows is run in full, its rows are not kept.
+    """
     started = time.perf_counter()
     error = None
     try:
-        spark.sql(sql)
+        found = spark.sql(sql)
+        if found.columns:
+            found.write.format("noop").mode("overwrite").save()
     except Exception as problem:  # reported, as the caller asked for a result and not a raise
         error = str(problem)
     return {"ok": error is None, "seconds": round(time.perf_counter() - started, 3), "error": error}

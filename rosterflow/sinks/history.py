@@ -10,16 +10,18 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rosterflow.functions.text import strip
-from rosterflow.session import settle
+from rosterflow.session import fresh_path, scratch, settle
 
 # What a load did to a key.
 REPLACED = "reemplazo"
 INSERTED = "inserción nueva"
 
+LISTED_KEYS = 10_000
+
 
 def _filesystem(spark: SparkSession, path: str):
     jvm_path = spark._jvm.org.apache.hadoop.fs.Path(path)
@@ -31,10 +33,19 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(target)
 
 
+_GUESS = "spark.sql.sources.partitionColumnTypeInference.enabled"
+
+
 def read_history(spark: SparkSession, path: str, schema=None) -> DataFrame:
-    """The table; partition keys stay text (no type guessing on file names)."""
-    reader = spark.read.schema(schema) if schema is not None else spark.read
-    return reader.parquet(path)
+    """The table; partition keys are text as they were written (``007`` and ``2025-01-01`` stay so)."""
+    if schema is not None:
+        return spark.read.schema(schema).parquet(path)
+    before = spark.conf.get(_GUESS)
+    spark.conf.set(_GUESS, "false")
+    try:
+        return spark.read.parquet(path)
+    finally:
+        spark.conf.set(_GUESS, before)
 
 
 def usable_keys(df: DataFrame, key: str) -> DataFrame:
@@ -69,13 +80,18 @@ def replace_partition(df: DataFrame, path: str, key: str, values: Iterable[objec
     if values is None:
         _write(rows, path, key, "overwrite")
         return
-    listed = list(values)
-    named = F.col(key).isin(*listed) if listed else F.lit(False)
-    drop_partitions(df.sparkSession, path, key, listed)
-    _write(rows.where(named), path, key, "overwrite")
-    others = rows.where(~named)
-    if not others.isEmpty():
-        _write(others, path, key, "append")
+    spark, listed = df.sparkSession, list(values)
+    # Written first, the rows are computed once and may come from the table itself.
+    with scratch():
+        rows = settle(rows, "replacement")
+        named = F.col(key).isin(*listed) if listed else F.lit(False)
+        _write(rows.where(named), path, key, "overwrite")
+        others = rows.where(~named)
+        if not others.isEmpty():
+            _write(others, path, key, "append")
+        sent = {r[0] for r in rows.where(named).select(key).distinct().collect()}
+    # Last, so that a failed write leaves every listed partition as it was.
+    drop_partitions(spark, path, key, [v for v in listed if v not in sent])
 
 
 def drop_partitions(spark: SparkSession, path: str, key: str, values: Iterable[object]) -> int:
@@ -107,12 +123,22 @@ def truncate_and_load(df: DataFrame, path: str, key: str | None = None) -> None:
 
 
 def load_summary(df: DataFrame, key: str, history: DataFrame | None) -> DataFrame:
-    """Per key of the load: its rows, the rows it replaces, and which of the two happened."""
-    loaded = usable_keys(df, key).groupBy(key).agg(F.count("*").alias("filas"))
+    """Per key of the load: its rows, the rows it replaces, and which of the two happened.
+
+    Of the history only the loaded keys are counted: its partitions are pruned by
+    the list of keys up to ``LISTED_KEYS`` of them, beyond by a join.  A history read
+    as text is compared in the type of the load's key.
+    """
+    loaded = settle(usable_keys(df, key).groupBy(key).agg(F.count("*").alias("filas")), "loaded", outlives=True)
     if history is None:
         before = loaded.select(key, F.lit(0).cast("bigint").alias("filas_previas")).limit(0)
     else:
-        before = history.groupBy(key).agg(F.count("*").alias("filas_previas"))
+        sent = [r[0] for r in loaded.select(F.col(key).cast(history.schema[key].dataType)).limit(LISTED_KEYS + 1).collect()]
+        if len(sent) <= LISTED_KEYS:
+            history = history.where(F.col(key).isin(*sent))
+        else:
+            history = history.join(loaded.select(F.col(key).cast(history.schema[key].dataType)), key, "left_semi")
+        before = history.groupBy(F.col(key).try_cast(loaded.schema[key].dataType).alias(key)).agg(F.count("*").alias("filas_previas"))
     joined = loaded.join(before, key, "left")
     previous = F.coalesce("filas_previas", F.lit(0)).cast("bigint")
     return joined.select(
@@ -128,31 +154,32 @@ def upsert(target: DataFrame, stage: DataFrame, keys: Sequence[str]) -> DataFram
 
     Matched target rows take the stage's other columns (a stage of keys only
     changes nothing), unmatched stage rows are inserted, null keys never match.
-    A key repeated in the stage is an error.  The result must be written to a new
-    place and then swapped in; :func:`write_upsert` does the first half.
+    A key repeated in the stage is an error.  One full outer join reads the target
+    once.
     """
     keys = list(keys)
-    stage = settle(stage, "stage")
+    stage = settle(stage, "stage", outlives=True)
     known = F.lit(True)
     for k in keys:
         known = known & F.col(k).isNotNull()
     repeated = stage.where(known).groupBy(*keys).count().where("count > 1")
     if not repeated.isEmpty():
         raise ValueError(f"the stage repeats a key of {keys}")
-    changes = [c for c in stage.columns if c not in keys]
-    # Rows without a full key take no part in any join.
-    keyed, keyless = target.where(known), target.where(~known)
-    if changes:
-        incoming = stage.where(known).select(*keys, *[F.col(c).alias(f"_new_{c}") for c in changes], F.lit(True).alias("_hit"))
-        merged = keyed.join(incoming, keys, "left").select(
-            *[F.when(F.col("_hit"), F.col(f"_new_{c}")).otherwise(F.col(c)).alias(c) if c in changes else F.col(c) for c in target.columns]
-        )
-    else:
-        merged = keyed
-    # Only keys of the stage can match, so this stays as small as the stage.
-    matched = keyed.select(*keys).join(stage.select(*keys), keys, "left_semi").distinct()
-    fresh = stage.join(matched, keys, "left_anti")
-    return merged.unionByName(keyless).unionByName(fresh, allowMissingColumns=True)
+    incoming = stage.select(*[F.col(c).alias(f"_new_{c}") for c in stage.columns], F.lit(True).alias("_hit"))
+    # Null keys equal nothing, so their rows come out of the join as they are, from either side.
+    same = F.lit(True)
+    for k in keys:
+        same = same & (F.col(k) == F.col(f"_new_{k}"))
+    joined = target.withColumn("_old", F.lit(True)).join(incoming, same, "full_outer")
+
+    def merged(c: str) -> Column:
+        if c not in stage.columns:
+            return F.col(c)
+        if c in keys:
+            return F.when(F.col("_old"), F.col(c)).otherwise(F.col(f"_new_{c}")).alias(c)
+        return F.when(F.col("_hit"), F.col(f"_new_{c}")).otherwise(F.col(c)).alias(c)
+
+    return joined.select(*[merged(c) for c in target.columns])
 
 
 def write_upsert(target_path: str, stage: DataFrame, keys: Sequence[str], new_path: str) -> DataFrame:
@@ -163,6 +190,22 @@ def write_upsert(target_path: str, stage: DataFrame, keys: Sequence[str], new_pa
     return spark.read.parquet(new_path)
 
 
+def upsert_table(name: str, stage: DataFrame, keys: Sequence[str], place: str | None = None) -> DataFrame:
+    """Merge ``stage`` into a catalogued table, which then holds the merged rows under its own name.
+
+    The new rows are written beside the old ones and the catalogue is pointed to
+    them in one step: a reader sees the table before or after, and a failed write
+    leaves it as it was.  The old files stay where they are, for readers that have
+    begun.
+    """
+    spark = stage.sparkSession
+    place = place or fresh_path(spark, name, owned=False)
+    upsert(spark.table(name), stage, keys).write.mode("error").parquet(place)
+    spark.sql(f"ALTER TABLE {name} SET LOCATION '{place}'")
+    spark.catalog.refreshTable(name)
+    return spark.table(name)
+
+
 # ------------------------------------------------------------- derived tables
 
 

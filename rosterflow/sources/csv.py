@@ -1,70 +1,111 @@
 """CSV scan that finds each file's encoding, separator and header by itself.
 
-The probe is one distributed pass over whole files (a byte sequence that is not
-UTF-8 may stand anywhere); it leaves one row per file.  Files of the same layout
-are then read together, so the number of scans is the number of layouts, not of
-files, and every scan is splittable.
+A task reads a whole file once: whether its bytes are UTF-8, and where a quoted
+line break ends, is only known then.  Files are spread over tasks; a file must
+fit into one, as a workbook must.  Rows are written once with their file's
+header, and columns are picked from there, so no list of files ever reaches the
+driver, only the distinct headers.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Sequence
-from decimal import Decimal
+import csv as parser
+import io
+from collections.abc import Iterable, Iterator, Sequence
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from rosterflow.functions.dates import text_date
 from rosterflow.functions.numbers import local_number
-from rosterflow.operators.headers import make_unique, unquote_text
 from rosterflow.functions.text import header_name
+from rosterflow.operators.headers import make_unique, unquote_text
 from rosterflow.session import settle
 
 # Separators in order of preference, and the encoding of files that are not UTF-8.
 SEPARATORS = (";", ",", "\t")
 OTHER_ENCODING = "ISO-8859-1"
 
+SCHEMA = "_file string, _row bigint, names array<string>, cells array<string>, extra array<string>"
+BATCH_ROWS = 5000
+
+
+def _text(content: bytes) -> str:
+    try:
+        return content.decode("utf-8-sig")
+    except UnicodeDecodeError:
+        return content.decode(OTHER_ENCODING)
+
 
-def _order() -> Column:
-    """Orders the rows of a file: block offset, then position in the block, as one number."""
-    block = F.col("_metadata.file_block_start").cast("decimal(18,0)") * F.lit(Decimal(10**19)).cast("decimal(20,0)")
-    return (block + F.monotonically_increasing_id().cast("decimal(19,0)")).cast("decimal(38,0)")
-
-
-def _pieces(line: Column, separator: str) -> Column:
-    """Columns of a header line; separators inside quotes do not count."""
-    return F.size(F.split(F.regexp_replace(line, '"[^"]*"', ""), F.lit(separator.replace("\t", "\\t")), -1))
-
-
-def probe(spark: SparkSession, paths: str | list[str], separators: Sequence[str] = SEPARATORS) -> DataFrame:
-    """One row per file: ``path, encoding, separator, header`` (the header line's text)."""
-    lines = spark.read.text(paths).select(
-        F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("block"),
-        _order().alias("at"), "value",
-    )
-    valid = lines.groupBy("path").agg(F.min(F.is_valid_utf8("value")).alias("utf8"))
-    # A header stands in a file's first block, whatever the file's size.
-    heads = (
-        lines.where((F.col("block") == 0) & (F.length(F.trim("value")) > 0))
-        .groupBy("path")
-        .agg(F.min_by(F.col("value").cast("binary"), "at").alias("first"))
-    )
-    files = valid.join(heads, "path")
-    encoding = F.when(F.col("utf8"), "UTF-8").otherwise(OTHER_ENCODING)
-    header = F.when(F.col("utf8"), F.decode("first", "UTF-8")).otherwise(F.decode("first", OTHER_ENCODING))
-    known = files.select("path", encoding.alias("encoding"), F.ltrim(header, F.lit("﻿")).alias("header"))
+def _cells(line: str, separator: str) -> list[str]:
+    return next(parser.reader([line], delimiter=separator), [])
+
+
+def file_rows(content: bytes, separators: Sequence[str] = SEPARATORS) -> Iterator[tuple[int, list[str], list[str], list[str]]]:
+    """``(row number, header names, cells, cells beyond the header)`` of a file's rows; blank lines are none."""
+    parser.field_size_limit((1 << 31) - 1)
+    text = _text(content).lstrip("\r\n")
+    if not text.strip():
+        return
+    head = text.split("\n", 1)[0].rstrip("\r")
     # The separator that yields most columns; the earlier one on a tie.
-    ranked = F.array_max(F.array(*[F.struct(_pieces(F.col("header"), s).alias("n"), F.lit(-i).alias("i")) for i, s in enumerate(separators)]))
-    chosen = F.element_at(F.array(*[F.lit(s) for s in separators]), 1 - ranked["i"])
-    return known.select("path", "encoding", chosen.alias("separator"), "header")
+    separator = max(separators, key=lambda s: len(_cells(head, s)))
+    reader = parser.reader(io.StringIO(text, newline=""), delimiter=separator)
+    names = make_unique(header_name(c.strip().strip('"')) for c in next(reader))
+    for number, cells in enumerate((row for row in reader if row), 1):
+        extra = cells[len(names):]
+        yield number, names, cells[:len(names)], extra if any(c.strip() for c in extra) else []
+
+
+def scan_csv(spark: SparkSession, paths: str | list[str], *, separators: Sequence[str] = SEPARATORS, recursive: bool = True) -> DataFrame:
+    """Every row of the ``.csv`` files at ``paths``: ``_file, _row, names, cells, extra``.
+
+    ``_file`` is the path as it is, with nothing escaped.  ``extra`` holds cells
+    beyond the header, null where there are none or only blank ones.
+    """
+    known = tuple(separators)
+
+    def parse(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            for path, content in zip(batch["path"], batch["content"]):
+                rows, waiting = file_rows(content, known), []
+                for number, names, cells, extra in rows:
+                    waiting.append((path, number, names, cells, extra or None))
+                    if len(waiting) == BATCH_ROWS:
+                        yield pd.DataFrame(waiting, columns=["_file", "_row", "names", "cells", "extra"])
+                        waiting = []
+                if waiting:
+                    yield pd.DataFrame(waiting, columns=["_file", "_row", "names", "cells", "extra"])
+
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.[cC][sS][vV]").option("recursiveFileLookup", str(recursive).lower())
+    return files.load(paths).select("path", "content").mapInPandas(parse, SCHEMA)
 
 
-def _header_names(header: str, separator: str) -> list[str]:
-    import csv as parser
+def overlong_rows(scanned: DataFrame) -> DataFrame:
+    """The rows of a scan with more cells than their header: ``_file, _row, extra``."""
+    return scanned.where(F.size("extra") > 0).select("_file", "_row", "extra")
 
-    cells = next(parser.reader([header], delimiter=separator))
-    return make_unique(header_name(c.strip().strip('"')) for c in cells)
+
+def _named(scanned: DataFrame, strict: bool) -> DataFrame:
+    layouts = [r["names"] for r in scanned.select("names").distinct().collect()]
+    if not layouts:
+        raise FileNotFoundError("no CSV file with a header and rows")
+    # Names in the order in which they stand in the headers.
+    names = sorted({n for layout in layouts for n in layout}, key=lambda n: (min(x.index(n) for x in layouts if n in x), n))
+
+    def cell(name: str) -> Column:
+        if len(layouts) == 1:
+            return F.coalesce(F.get("cells", F.lit(names.index(name))), F.lit(""))
+        at = F.array_position("names", name).cast("int")
+        return F.when(at > 0, F.coalesce(F.get("cells", at - 1), F.lit("")))
+
+    row = F.col("_row")
+    if strict:
+        told = F.concat(F.lit("more cells than columns in "), "_file", F.lit(", row "), F.col("_row").cast("string"))
+        row = F.when(F.size("extra") > 0, F.raise_error(told).cast("bigint")).otherwise(row).alias("_row")
+    placed = scanned.select("_file", row, *[cell(n).alias(n) for n in names], *([] if strict else [F.col("extra").alias("_extra")]))
+    return unquote_text(placed)
 
 
 def read_csv(
@@ -76,28 +117,17 @@ def read_csv(
     numbers: Iterable[str] = (),
     wholes: Iterable[str] = (),
     dayfirst: bool = True,
-    multiline: bool = False,
+    strict: bool = True,
 ) -> DataFrame:
     """All CSV files at ``paths`` as text columns with technical names, ``_file`` and ``_row``.
 
-    Blank cells are empty strings.  Columns listed in ``dates``, ``numbers``
-    (local number format) and ``wholes`` are converted.  ``_row`` orders the rows
-    of a file; settle the frame before using it in more than one pass.
-    ``multiline`` allows line breaks inside quotes, at the price of one task per
-    file.
+    Blank cells are empty strings; a column that a file lacks is null in its rows.
+    Columns listed in ``dates``, ``numbers`` (local number format) and ``wholes`` are
+    converted.  A row with more cells than its header stops the job; without
+    ``strict`` they stand in ``_extra``.  The rows are settled: ``_row`` means the same
+    in every later pass.
     """
-    layouts = (
-        probe(spark, paths, separators)
-        .groupBy("encoding", "separator", "header")
-        .agg(F.collect_list("path").alias("paths"))
-        .collect()
-    )
-    if not layouts:
-        raise FileNotFoundError(f"no CSV file with a header in {paths}")
-    parts = [_read_layout(spark, row, multiline) for row in layouts]
-    df = parts[0]
-    for part in parts[1:]:
-        df = df.unionByName(part, allowMissingColumns=True)
+    df = _named(settle(scan_csv(spark, paths, separators=separators), "csv", outlives=True), strict)
     names = set(df.columns)
     changes = {c: text_date(F.col(c), dayfirst=dayfirst) for c in dates if c in names}
     changes |= {c: local_number(F.col(c)) for c in numbers if c in names}
@@ -105,26 +135,4 @@ def read_csv(
     return df.withColumns(changes) if changes else df
 
 
-def _read_layout(spark: SparkSession, layout, multiline: bool) -> DataFrame:
-    names = _header_names(layout["header"], layout["separator"])
-    schema = T.StructType([T.StructField(n, T.StringType()) for n in names])
-    raw = (
-        spark.read.schema(schema)
-        .option("header", True)
-        .option("sep", layout["separator"])
-        .option("encoding", layout["encoding"])
-        .option("escape", '"')
-        .option("multiLine", multiline)
-        .csv(layout["paths"])
-    )
-    placed = raw.select(
-        F.col("_metadata.file_path").alias("_file"),
-        _order().alias("_row"),
-        *[F.coalesce(F.col(n), F.lit("")).alias(n) for n in names],
-    )
-    return unquote_text(placed)
-
-
-def ordered_csv(spark: SparkSession, paths: str | list[str], **options) -> DataFrame:
-    """:func:`read_csv`, settled, so that ``_row`` means the same in every later pass."""
-    return settle(read_csv(spark, paths, **options), "csv")
+ordered_csv = read_csv

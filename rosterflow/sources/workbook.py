@@ -17,7 +17,9 @@ from xml.etree import ElementTree
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from rosterflow.functions.periods import extension
 from rosterflow.sources.files import latest_file
 
 SCHEMA = "_file string, _sheet string, _row bigint, cells array<string>"
@@ -78,14 +80,19 @@ def _date_styles(book: zipfile.ZipFile) -> set[int]:
     return {i for i, f in enumerate(formats) if f in DATE_FORMATS or f in custom}
 
 
-def _number_text(raw: str, is_date: bool) -> str | None:
+# Day 0 of the two calendars a workbook may use.
+EPOCH = datetime(1899, 12, 30)
+EPOCH_1904 = datetime(1904, 1, 1)
+
+
+def _number_text(raw: str, is_date: bool, epoch: datetime = EPOCH) -> str | None:
     try:
         value = float(raw)
     except ValueError:
         return raw
     if is_date:
         try:
-            moment = datetime(1899, 12, 30) + timedelta(days=value)
+            moment = epoch + timedelta(days=value)
         except OverflowError:
             return None
         return str((moment + timedelta(milliseconds=0.5)).replace(microsecond=0))
@@ -111,6 +118,8 @@ def sheet_rows(content: bytes, preferred: Sequence[str], fallback: int) -> Itera
         part = target.lstrip("/") if target.startswith("/") else f"xl/{target}"
         shared = [_texts(si) for si in _children(book, "xl/sharedStrings.xml", "si")]
         dated = _date_styles(book)
+        late = any(e.get("date1904") in ("1", "true") for e in _children(book, "xl/workbook.xml", "workbookPr"))
+        epoch = EPOCH_1904 if late else EPOCH
         expected = 0
         with book.open(part) as stream:
             for _, row in ElementTree.iterparse(stream):
@@ -121,7 +130,7 @@ def sheet_rows(content: bytes, preferred: Sequence[str], fallback: int) -> Itera
                 for c in row:
                     at = _column(c.get("r")) if c.get("r") else len(cells)
                     cells.extend([None] * (at - len(cells)))
-                    cells.append(_cell_text(c, shared, dated))
+                    cells.append(_cell_text(c, shared, dated, epoch))
                 row.clear()
                 while cells and cells[-1] is None:
                     cells.pop()
@@ -133,7 +142,7 @@ def sheet_rows(content: bytes, preferred: Sequence[str], fallback: int) -> Itera
                 expected = number + 1
 
 
-def _cell_text(c, shared: Sequence[str], dated: set[int]) -> str | None:
+def _cell_text(c, shared: Sequence[str], dated: set[int], epoch: datetime = EPOCH) -> str | None:
     kind = c.get("t", "n")
     value = next((e for e in c if _local(e) in ("v", "is")), None)
     if value is None:
@@ -145,7 +154,7 @@ def _cell_text(c, shared: Sequence[str], dated: set[int]) -> str | None:
     elif kind == "b":
         text = str(value.text == "1")
     elif kind == "n":
-        text = _number_text(value.text, int(c.get("s", 0)) in dated) if value.text else None
+        text = _number_text(value.text, int(c.get("s", 0)) in dated, epoch) if value.text else None
     else:
         text = value.text
     return None if text is None or text in MISSING_TEXTS else text
@@ -176,12 +185,23 @@ def read_workbooks(
     *,
     preferred: Sequence[str] = (),
     fallback: int = 0,
-    pattern: str = "*.[xX][lL][sS][xX]",
+    pattern: str | None = None,
+    extensions: Sequence[str] = (".xlsx",),
     recursive: bool = False,
 ) -> DataFrame:
-    """All workbooks at ``paths`` in one job, see :func:`parse_workbooks`."""
-    reader = spark.read.format("binaryFile").option("pathGlobFilter", pattern)
+    """All workbooks at ``paths`` in one job, see :func:`parse_workbooks`.
+
+    Files are taken by ``extensions`` (any case; an empty one takes files without
+    any) or, when given, by ``pattern``.
+    """
+    reader = spark.read.format("binaryFile")
+    if pattern is None and not any(e == "" for e in extensions):
+        pattern = "{" + ",".join("*" + "".join(f"[{c.lower()}{c.upper()}]" if c.isalpha() else c for c in e) for e in extensions) + "}"
+    if pattern is not None:
+        reader = reader.option("pathGlobFilter", pattern)
     files = reader.option("recursiveFileLookup", str(recursive).lower()).load(paths)
+    if pattern is None:
+        files = files.where(F.lower(extension(F.col("path"))).isin(*(e.lower() for e in extensions)))
     return parse_workbooks(files, preferred=preferred, fallback=fallback)
 
 

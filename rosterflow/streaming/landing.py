@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from rosterflow.session import fresh_path
@@ -33,19 +34,31 @@ def land(
     The stream's checkpoint remembers the files already taken; a batch that is
     retried replaces the same partitions, so the load is idempotent.
     ``clean_source`` is ``off``, ``archive`` or ``delete`` and acts after the
-    batch is committed.  A key must arrive whole within one batch.
+    batch is committed.
+
+    The newest file of a key is the one that counts, whatever the batches: files
+    come one by one in the order of their times unless ``prepare`` keeps the columns
+    ``_file`` and ``_time`` that its batch has; then a batch may hold several files
+    (``files_per_batch``), and of a key's rows those of its newest file are loaded.
     """
     reader = spark.readStream.format(fmt).schema(schema).option("cleanSource", clean_source).options(**options)
     if archive:
         reader = reader.option("sourceArchiveDir", archive)
-    if files_per_batch:
-        reader = reader.option("maxFilesPerTrigger", files_per_batch)
+    reader = reader.option("maxFilesPerTrigger", files_per_batch or 1)
 
     def load(batch: DataFrame, _: int) -> None:
-        replace_partition(prepare(batch), history_path, key)
+        rows = prepare(batch)
+        if {"_file", "_time"} <= set(rows.columns):
+            newest = rows.groupBy(key).agg(F.max(F.struct("_time", "_file")).alias("_newest"))
+            of_newest = F.struct("_time", "_file") == F.col("_newest")
+            rows = rows.join(newest, key).where(of_newest).drop("_newest", "_file", "_time")
+        elif (files_per_batch or 1) > 1:
+            raise ValueError("several files in a batch need the columns _file and _time")
+        replace_partition(rows, history_path, key)
 
     return (
         reader.load(folder)
+        .select("*", F.col("_metadata.file_path").alias("_file"), F.col("_metadata.file_modification_time").alias("_time"))
         .writeStream.foreachBatch(load)
         .option("checkpointLocation", checkpoint or fresh_path(spark, "landing"))
         .trigger(availableNow=True)

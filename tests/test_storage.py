@@ -1,7 +1,10 @@
 """Sinks, scans and the incremental load, each in a fresh folder."""
 
+import io
 import os
 import time
+import zipfile
+from datetime import date
 
 import pytest
 from pyspark.sql import functions as F
@@ -145,3 +148,75 @@ def test_landing_takes_each_file_once(spark, tmp_path):
     send("2", [("b", 3)])
     run()
     assert _rows(history.read_history(spark, out).select("k", "v")) == [("a", 1), ("b", 3)]
+
+
+def test_csv_names_line_breaks_and_long_rows(spark, tmp_path):
+    folder = tmp_path / "a b%20+[x]"
+    folder.mkdir()
+    (folder / "remesa 20251104.csv").write_bytes('a;b\n1;"x\ny"\n2;z;;\n'.encode())
+    df = csv.read_csv(spark, str(tmp_path))
+    assert [(r["a"], r["b"]) for r in df.orderBy("_row").collect()] == [("1", "x\ny"), ("2", "z")]
+    assert df.first()["_file"].endswith("/a b%20+[x]/remesa 20251104.csv")
+    (folder / "long.csv").write_bytes(b"a;b\n3;4;5\n")
+    assert [r["extra"] for r in csv.overlong_rows(csv.scan_csv(spark, str(tmp_path))).collect()] == [["5"]]
+    assert csv.read_csv(spark, str(tmp_path), strict=False).where("a = 3").first()["_extra"] == ["5"]
+    with pytest.raises(Exception, match="more cells than columns"):
+        csv.read_csv(spark, str(tmp_path)).collect()
+
+
+def test_workbook_calendar_and_missing_extension(spark, tmp_path):
+    content = write_workbook({"Base": {0: ["Día"], 1: [date(2025, 9, 5)]}})
+    source, moved = io.BytesIO(content), io.BytesIO()
+    with zipfile.ZipFile(source) as old, zipfile.ZipFile(moved, "w") as new:
+        for name in old.namelist():
+            text = old.read(name).decode()
+            new.writestr(name, text.replace("<sheets>", '<workbookPr date1904="1"/><sheets>') if name == "xl/workbook.xml" else text)
+    (tmp_path / "sin extension").write_bytes(moved.getvalue())
+    (tmp_path / "otro.txt").write_bytes(b"x")
+    got = workbook.read_workbooks(spark, str(tmp_path), extensions=(".xlsx", "")).where("_row = 1").collect()
+    assert [r["cells"] for r in got] == [["2029-09-06 00:00:00"]]
+    assert workbook.read_workbooks(spark, str(tmp_path)).count() == 0
+
+
+def test_keys_stay_as_written(spark, tmp_path):
+    path = str(tmp_path / "h")
+    df = spark.createDataFrame([("007", 1), ("2025-01-01", 2), ("abc", 3)], "k string, v int")
+    history.replace_partition(df, path, "k")
+    stored = history.read_history(spark, path)
+    assert {r["k"] for r in stored.collect()} == {"007", "2025-01-01", "abc"}
+    assert {r["accion"] for r in history.load_summary(df, "k", stored).collect()} == {history.REPLACED}
+    plan = stored.where(F.col("k").isin("007"))._jdf.queryExecution().toString()
+    assert "PartitionFilters: [" in plan and "PartitionFilters: []" not in plan
+    whole = spark.createDataFrame([(202503, 1)], "k long, v int")
+    assert history.load_summary(whole, "k", stored).first()["accion"] == history.INSERTED
+
+
+def test_listed_replace_may_read_the_table_itself(spark, tmp_path):
+    path = str(tmp_path / "h")
+    history.replace_partition(spark.createDataFrame([("a", 1), ("b", 2), ("c", 3)], "k string, v int"), path, "k")
+    more = history.read_history(spark, path).where("k <> 'c'").withColumn("v", F.col("v") + 10)
+    history.replace_partition(more, path, "k", ["a", "c"])
+    assert _rows(history.read_history(spark, path).select("k", "v")) == [("a", 11), ("b", 12), ("b", 2)]
+
+
+def test_statements_run_to_their_end(spark):
+    assert export.run_statement(spark, "SELECT 1")["ok"]
+    assert not export.run_statement(spark, "SELECT raise_error('x') FROM range(3)")["ok"]
+
+
+def test_settled_data_is_deleted_by_its_owner(spark):
+    from rosterflow.session import scratch, settle, shared_dir
+
+    def places():
+        root = f"{shared_dir(spark)}/rosterflow"
+        return set(os.listdir(root)) if os.path.isdir(root) else set()
+
+    before = places()
+    with scratch():
+        settle(spark.range(3), "gone")
+        with scratch():
+            settle(spark.range(3), "gone-too")
+            kept = settle(spark.range(3), "kept", outlives=True)
+        assert kept.count() == 3
+        assert len(places() - before) == 2
+    assert places() == before
