@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Sequence
+from collections.abc import Callable, Iterable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -79,3 +79,10 @@ def preview(df: DataFrame, n: int = 10) -> tuple[DataFrame, DataFrame]:
         "filas",
     )
     return df.limit(n), shape.select("c.columna", "c.tipo", "filas")
+
+
+def suspects(df: DataFrame, column: str, valid: Callable[[Column], Column]) -> DataFrame:
+    """Texts of a column that are not blank and not valid, with their rows: ``columna, valor, filas``."""
+    text = strip(F.col(column).cast("string"))
+    wrong = df.select(text.alias("valor")).where((F.length("valor") > 0) & ~F.coalesce(valid(F.col("valor")), F.lit(False)))
+    return wrong.groupBy("valor").agg(F.count("*").alias("filas")).select(F.lit(column).alias("columna"), "valor", "filas")

@@ -102,6 +102,11 @@ def unmapped_keys(df: DataFrame, key: str, target: str) -> DataFrame:
     return df.where(F.col(target).isNull()).select(key).distinct()
 
 
+def unmapped_counts(df: DataFrame, key: str, target: str) -> DataFrame:
+    """The keys that a lookup left without a value, null included, with their rows."""
+    return df.where(F.col(target).isNull()).groupBy(key).agg(F.count("*").alias("filas"))
+
+
 # -------------------------------------------------------------------- listings
 
 

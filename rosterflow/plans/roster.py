@@ -13,11 +13,12 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from rosterflow.functions.identity import has_valid_shape
 from rosterflow.functions.numbers import to_whole
 from rosterflow.functions.text import clean_cell
 from rosterflow.operators import headers, rows
-from rosterflow.operators.quality import null_report
-from rosterflow.operators.relational import join_dimension
+from rosterflow.operators.quality import null_report, suspects
+from rosterflow.operators.relational import join_dimension, unmapped_counts
 from rosterflow.session import settle
 from rosterflow.sinks import history
 from rosterflow.sources.contracts import WHOLE, Contract, Field
@@ -39,6 +40,14 @@ class RosterLoad:
         """Null counts of the critical columns."""
         return null_report(self.rows, self.contract.critical)
 
+    def suspects(self, column: str) -> DataFrame:
+        """Identifiers without the shape of one, with their rows."""
+        return suspects(self.rows, column, has_valid_shape)
+
+    def unmapped(self, key: str, target: str) -> DataFrame:
+        """Keys that the contract's table does not know, with their rows."""
+        return unmapped_counts(self.rows, key, target)
+
 
 # ------------------------------------------------------------------- extraction
 

@@ -11,12 +11,13 @@ ahead), ymd (that day as a number), iso and dmy (as text), serial, nm (a name).
 from __future__ import annotations
 
 from collections.abc import Mapping
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rosterflow.plans.roster import load_into_history, load_roster
+from rosterflow.operators.relational import map_lookup
+from rosterflow.plans.roster import RosterLoad, load_into_history, load_roster
 from rosterflow.queries.registry import cents, cents_sql, query, table
 from rosterflow.queries.xlsx import cells_to_workbooks, write_files
 from rosterflow.session import fresh_path
@@ -252,8 +253,6 @@ SELECT f AS "Nombre_de_archivo", n AS filas, CASE WHEN f < 'Base cesantia SURA S
 FROM files""")
 def roster_history_load(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Scan to history, twice: the first load brings the early files, the second all of them."""
-    from rosterflow.plans.roster import RosterLoad
-
     stock = next(c for c in CASES if c.source == "stock")
     scanned, path = stock.scanned(spark, sf_dir), fresh_path(spark, "history")
     load = load_roster(scanned, CONTRACTS["stock"])
@@ -290,6 +289,9 @@ def _through_history(load, spark: SparkSession, path: str) -> DataFrame:
 
 
 def _file_query(case: Case):
+    # A header that reads "NaN" is a blank cell in a file.
+    case = replace(case, cells={"Prima Neta" if h == "NaN" else h: v for h, v in case.cells.items()})
+
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         folder, path = fresh_path(spark, f"in-{case.source}"), fresh_path(spark, case.source)
         loaded = load_roster(_from_files(case, spark, sf_dir, folder), CONTRACTS[case.source])
@@ -328,3 +330,17 @@ def file_banigualdad(spark: SparkSession, sf_dir: str) -> DataFrame:
     write_files(files.select("path", F.encode(F.concat(head, "body"), "UTF-8").alias("content"))).collect()
     loaded = load_roster(read_csv(spark, folder), CONTRACTS["banigualdad"])
     return _through_history(loaded, spark, path)
+
+
+@query(f"""WITH {_VIEW_SQL}
+SELECT 'rut' AS tabla, CAST(c + 1000000 AS STRING) || 'x' AS clave, count(*) AS filas FROM o WHERE s = 'P' GROUP BY 2
+UNION ALL SELECT 'producto', CAST(k % 3 + 80 AS STRING), count(*) FROM o WHERE s = 'O' GROUP BY 2""")
+def roster_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What a load's audit lists: identifiers of no valid shape, and products that the table of policies lacks."""
+    view = _view(spark, sf_dir)
+    rut = F.when(F.col("s") == "P", F.concat(F.col("c") + 1000000, F.lit("x"))).otherwise((F.col("c") + 1000000).cast("string"))
+    product = F.when(F.col("s") == "O", F.col("k") % 3 + 80).otherwise(69)
+    rows = map_lookup(view.select(rut.alias("RUT"), product.alias("ID")), "ID", "Poliza", {"69": 7391284})
+    load = RosterLoad(CONTRACTS["colmena"], rows)
+    wrong = load.suspects("RUT").select(F.lit("rut").alias("tabla"), F.col("valor").alias("clave"), "filas")
+    return wrong.unionByName(load.unmapped("ID", "Poliza").select(F.lit("producto").alias("tabla"), F.col("ID").cast("string").alias("clave"), "filas"))

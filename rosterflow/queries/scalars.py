@@ -93,6 +93,16 @@ def period_from_filename(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query("""
+SELECT o_orderkey, strftime(o_orderdate + INTERVAL 120 MONTH, '%Y%m') AS period FROM orders""")
+def period_from_short_names(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Abbreviated months with a dot, ``SEPT.`` among them."""
+    words = F.array(*[F.lit(w) for w in ("ENE", "FEB", "MAR", "ABR", "MAY", "JUN", "JUL", "AGO", "SEPT", "OCT", "NOV", "DIC")])
+    day = F.add_months(F.col("o_orderdate").cast("date"), 120)
+    name = F.concat(F.lit("Vida "), F.element_at(words, F.month(day)), F.lit(". "), F.year(day), F.lit(".xlsx"))
+    return table(spark, sf_dir, "orders").select("o_orderkey", periods.period_from_name(name, extra_words=True).alias("period"))
+
+
 @query(f"""WITH {_NAMES_SQL}, known AS (SELECT *, CASE WHEN kind <> '5-LOW' THEN p END AS q FROM named)
 SELECT o_orderkey, 'Facturacion_Cesantia_' || q || '.xlsx' AS planes, q || ' Cesantia Plus.xlsx' AS colmena,
   'UNIDAD LEASING - Cesantia - ' || coalesce(q, '000000') || '.xlsx' AS unidad_leasing,
