@@ -37,7 +37,7 @@ def form_topic(text: str, words: str) -> Column:
     t, n = F.coalesce(F.col(text), F.lit("")), F.col(words)
 
     def count(characters: str) -> Column:
-        return F.length(t) - F.length(F.translate(t, characters, ""))
+        return F.regexp_count(t, F.lit(f"[{characters}]"))
 
     return (
         F.when(n == 0, "empty").when(10 * count("#*$%&|<>") >= n, "markup").when(10 * count("!") >= n, "exclaim")
