@@ -142,6 +142,10 @@ class Jaccard:
         shared = np.add.reduceat((x[place] == flat).astype(np.int64), np.cumsum(sizes) - sizes)
         return 100 * shared >= self.percent * (sizes + len(x) - shared)
 
+    def block(self, some: list[list], many: list[list], ask: np.ndarray) -> np.ndarray:
+        """Which of ``many`` are similar to which of ``some``; pairs that are not asked for may stay out."""
+        return np.stack([self.close(x, many) for x in some])
+
 
 def _verified(pairs: DataFrame, contents: DataFrame, measure) -> DataFrame:
     left = contents.select(F.col("id").alias("a"), F.col("items").alias("_left"))
@@ -149,8 +153,23 @@ def _verified(pairs: DataFrame, contents: DataFrame, measure) -> DataFrame:
     return measure.confirm(pairs.join(left, "a").join(right, "b")).select("a", "b").distinct()
 
 
-def _open_blocks(members: DataFrame, found: DataFrame, contents: DataFrame, measure) -> DataFrame | None:
-    """Links between members of different components in buckets that the test against the smallest member left open."""
+def _first_shared(bucket: int, some: list, many: list) -> np.ndarray:
+    """Which pairs have ``bucket`` as the smallest of the keys they share, or do not have it among their keys at all."""
+    out = np.ones((len(some), len(many)), bool)
+    sets = [set(x or ()) for x in many]
+    for i, keys in enumerate(some):
+        mine = set(keys or ())
+        for j, other in enumerate(sets):
+            shared = mine & other
+            out[i, j] = bucket not in shared or min(shared) == bucket
+    return out
+
+
+def _open_blocks(members: DataFrame, found: DataFrame, contents: DataFrame, measure, keys: DataFrame | None) -> DataFrame | None:
+    """Links between members of different components in buckets that the test against the smallest member left open.
+
+    With ``keys`` (id, keys) a pair that several buckets hold is tested in one of them.
+    """
     of = members.where("n > 2").join(found, "id", "left").select("bucket", "id", F.coalesce("component", "id").alias("component"))
     sizes = of.groupBy("bucket", "component").agg(F.count("*").alias("k"))
     main = sizes.groupBy("bucket").agg(
@@ -162,30 +181,37 @@ def _open_blocks(members: DataFrame, found: DataFrame, contents: DataFrame, meas
     stray = F.col("component") != F.col("main")
     blocks, others = (F.ceil(F.col("n") / BLOCK)).cast("int"), (F.ceil((F.col("n") - F.col("most")) / BLOCK)).cast("int")
     rest = rest.join(contents, "id")
+    rest = rest.join(keys, "id", "left") if keys is not None else rest.withColumn("keys", F.lit(None).cast("array<bigint>"))
     own = rest.select(
         "bucket", F.pmod(F.xxhash64("id"), blocks).cast("int").alias("i"), F.explode(F.sequence(F.lit(0), others - 1)).alias("j"),
-        "id", "component", "items", F.lit(False).alias("stray"),
+        "id", "component", "items", "keys", F.lit(False).alias("stray"),
     )
     strays = rest.where(stray).select(
         "bucket", F.explode(F.sequence(F.lit(0), blocks - 1)).alias("i"), F.pmod(F.xxhash64("id"), others).cast("int").alias("j"),
-        "id", "component", "items", F.lit(True).alias("stray"),
+        "id", "component", "items", "keys", F.lit(True).alias("stray"),
     )
 
+    once = keys is not None
+
     def test(group: pa.Table) -> pa.Table:
         ids, parts = group.column("id").to_pylist(), group.column("component").to_pylist()
         items, is_stray = group.column("items").to_pylist(), group.column("stray").to_pylist()
         mine = [i for i, x in enumerate(is_stray) if not x]
-        links = []
-        for s in (i for i, x in enumerate(is_stray) if x):
-            rest_ = [i for i in mine if parts[i] != parts[s]]
-            if rest_:
-                links += [(ids[i], ids[s]) for i, near in zip(rest_, measure.close(items[s], [items[i] for i in rest_])) if near]
+        strays = [i for i, x in enumerate(is_stray) if x]
+        if not strays or not mine:
+            return pa.table({"a": pa.array([], pa.int64()), "b": pa.array([], pa.int64())})
+        ask = np.array([[parts[i] != parts[j] for j in mine] for i in strays])
+        if once:
+            own_keys = group.column("keys").to_pylist()
+            ask &= _first_shared(group.column("bucket")[0].as_py(), [own_keys[i] for i in strays], [own_keys[j] for j in mine])
+        near = measure.block([items[i] for i in strays], [items[j] for j in mine], ask)
+        links = [(ids[mine[j]], ids[strays[i]]) for i, j in np.argwhere(near & ask).tolist()]
         return pa.table({"a": pa.array([x for x, _ in links], pa.int64()), "b": pa.array([y for _, y in links], pa.int64())})
 
     return own.unionByName(strays).groupBy("bucket", "i", "j").applyInArrow(test, "a long, b long")
 
 
-def link(buckets: DataFrame, contents_of: Callable[[DataFrame], DataFrame], measure) -> DataFrame:
+def link(buckets: DataFrame, contents_of: Callable[[DataFrame], DataFrame], measure, keys: DataFrame | None = None) -> DataFrame:
     """``id, component`` of all ids that are linked, from ``buckets (bucket, id)``.
 
     ``contents_of`` turns a table of candidate ids into ``id, items``, what
@@ -193,7 +219,8 @@ def link(buckets: DataFrame, contents_of: Callable[[DataFrame], DataFrame], meas
     similar.  Every member is tested against the bucket's smallest id; buckets
     whose members then still lie in several components are tested member against
     member, in blocks, so that no link is lost and a group of copies costs one test
-    per member.
+    per member.  ``keys`` (id, keys), the buckets of each id, spares pairs that meet
+    in several buckets all tests but one.
     """
     with scratch():
         smallest = buckets.groupBy("bucket").agg(F.min("id").alias("pivot"), F.count("*").alias("n")).where("n > 1")
@@ -203,7 +230,7 @@ def link(buckets: DataFrame, contents_of: Callable[[DataFrame], DataFrame], meas
         contents = settle(contents_of(settle(candidates, "candidates")), "contents")
         links = settle(_verified(pairs, contents, measure), "links")
         found = settle(components(links), "components")
-        more = _open_blocks(members, found, contents, measure)
+        more = _open_blocks(members, found, contents, measure, keys)
         if more is not None:
             more = settle(more, "more-links")
             if not more.isEmpty():
