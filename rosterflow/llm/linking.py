@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rosterflow.llm.common import prefix_ranges, rows_table, squeeze, unsqueeze
+from rosterflow.llm.common import give_back, prefix_ranges, rows_table, squeeze, unsqueeze
 from rosterflow.session import scratch, settle
 
 BLOCK = 64
@@ -57,6 +57,7 @@ def _met_twice(group: pa.Table) -> pa.Table:
     shared = np.zeros(len(keys), bool)
     shared[1:] = keys[1:] == keys[:-1]
     shared[:-1] |= shared[1:]
+    give_back()
     return pa.table([pa.array(keys[shared].view(np.int64)), pa.array(owner[shared].view(np.int64))], schema=BUCKET)
 
 
