@@ -93,6 +93,26 @@ def test_fingerprint_components_hold_similar_texts(spark, documents, texts):
     assert right >= 0.97 * len(text)
 
 
+def test_the_fingerprint_query_links_texts_with_a_tenth_of_edits(spark, tmp_path):
+    draw = np.random.default_rng(11)
+    rows = []
+    for i in range(20):
+        text = "".join(draw.choice(list("abcdefghijklmnop "), 2000))
+        at = int(draw.integers(0, 1800))
+        # 140 characters in one place: 7 of 100, none of them the same.
+        rows += [(2 * i, text), (2 * i + 1, text[:at] + "Z" * 140 + text[at + 140:])]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    found = {r["doc_id"]: r["component_id"] for r in entry.queries()["op2_fingerprint"](spark, str(tmp_path)).collect()}
+    assert all(found[k] == k - k % 2 for k in found)
+
+
+def test_bands_sample_bits_of_the_fingerprint():
+    walks = edit_fingerprint.Walks()
+    _, keys = walks.read(["a text of some length " * 9, "another one of these " * 9, "a text of some length " * 9], 2, 3)
+    bits = keys[:, 2 * walks.walks:]
+    assert bits.shape == (3, edit_fingerprint.BIT_BANDS) and (bits[0] == bits[2]).all() and not (bits[0] == bits[1]).any()
+
+
 @pytest.mark.parametrize("which", ["edge", "repeated"])
 def test_fingerprint_edges(request, which):
     rows = edit_fingerprint.fingerprint_documents(request.getfixturevalue(which)).collect()
