@@ -106,6 +106,19 @@ def test_the_fingerprint_query_links_texts_with_a_tenth_of_edits(spark, tmp_path
     assert all(found[k] == k - k % 2 for k in found)
 
 
+def test_texts_with_one_fingerprint_keep_their_bands(spark):
+    """A and B share a fingerprint, B and C a band; A is near neither."""
+    texts = {1: "a" * 300, 2: "b" * 300, 3: "b" * 299 + "c", 4: "b" * 300}
+    docs = spark.createDataFrame(list(texts.items()), "id long, text string")
+    keys = {1: [11], 2: [22, 33], 3: [33, 44], 4: [22, 33]}
+    prints = spark.createDataFrame(
+        [(i, "0" * 128 if i != 3 else "1" * 128, hashlib.sha256(t.encode()).digest(), keys[i]) for i, t in texts.items()],
+        "id long, fingerprint string, digest binary, keys array<long>",
+    )
+    found = {r["id"]: r["component"] for r in edit_fingerprint.similar_texts(docs, prints, "id", "text").collect()}
+    assert found == {2: 2, 3: 2, 4: 2}
+
+
 def test_bands_sample_bits_of_the_fingerprint():
     walks = edit_fingerprint.Walks()
     _, keys = walks.read(["a text of some length " * 9, "another one of these " * 9, "a text of some length " * 9], 2, 3)
