@@ -103,19 +103,26 @@ def train(texts: list[str], languages: list[str], landmarks: int = LANDMARKS, pl
 def training_sample(
     docs: DataFrame, key: str = "doc_id", text: str = "text", lang: str = "lang", per_language: int = SAMPLES, chars: int = SAMPLE_CHARS,
 ) -> tuple[list[str], list[str]]:
-    """At most ``per_language`` labelled texts of every language from outside the held-out fold.
+    """At most ``per_language`` distinct labelled texts of every language from outside the held-out fold.
 
     A bounded sample: the texts with the smallest hashes of their content among
-    those of up to ``chars`` characters that hold a letter.
+    those of up to ``chars`` characters that hold a letter.  A language that has
+    only longer ones gives as many characters of these, from the first letter on.
     """
-    usable = docs.where(F.col(lang).isNotNull() & ~fold_held_out(key, FOLDS) & (F.length(text) <= chars) & F.col(text).rlike(r"\p{L}"))
-    ranked = usable.select(F.col(lang).alias("_lang"), F.xxhash64(text).alias("_h"), F.col(text).alias("_text"))
-    # A hash below a language's bound is met about twice as often as needed; only those texts are ranked and moved.
-    counts = ranked.groupBy("_lang").agg(F.count("*").alias("_n"))
-    bound = F.lit(float(1 << 64)) * F.lit(2.0 * per_language + 200) / F.col("_n") - F.lit(float(1 << 63))
-    few = ranked.join(counts, "_lang").where(F.col("_h") < bound)
-    rank = F.row_number().over(Window.partitionBy("_lang").orderBy("_h", "_text"))
-    rows = few.withColumn("_r", rank).where(F.col("_r") <= per_language).orderBy("_lang", "_r").collect()
+    usable = docs.where(F.col(lang).isNotNull() & ~fold_held_out(key, FOLDS) & F.col(text).rlike(r"\p{L}"))
+    marked = usable.select(
+        F.col(lang).alias("_lang"), (F.length(text) > chars).alias("_long"), F.xxhash64(text).alias("_h"), F.col(key).alias("_key"), F.col(text).alias("_text")
+    )
+    # Copies are one candidate, and candidates are ranked without their texts.
+    distinct = marked.groupBy("_lang", "_long", "_h").agg(F.min("_key").alias("_key"))
+    # The limit is known to the window, which keeps only so many rows of a language per task before the shuffle.
+    rank = F.row_number().over(Window.partitionBy("_lang").orderBy("_long", "_h"))
+    best = distinct.withColumn("_r", rank).where(F.col("_r") <= per_language)
+    only_long = F.min("_long").over(Window.partitionBy("_lang"))
+    chosen = best.withColumn("_only", only_long).where(F.col("_long") == F.col("_only")).select("_lang", "_long", "_h", F.col("_key").alias("_chosen"))
+    found = marked.join(F.broadcast(chosen), ["_lang", "_long", "_h"]).where(F.col("_key").eqNullSafe(F.col("_chosen")))
+    cut = F.when(F.col("_long"), F.regexp_extract("_text", rf"(?s)\p{{L}}.{{0,{chars - 1}}}", 0)).otherwise(F.col("_text"))
+    rows = found.groupBy("_lang", "_h").agg(F.min(cut).alias("_text")).orderBy("_lang", "_h").collect()
     return [r["_text"] for r in rows], [r["_lang"] for r in rows]
 
 

@@ -253,6 +253,19 @@ def test_language_edges(edge, nothing, documents):
     assert {r["lang_pred"] for r in language_id.identify(edge, untaught).collect()} == {"und"}
 
 
+def test_language_sample_of_copies_and_long_texts(spark):
+    """Copies are one text of the sample, in whatever number, and a language of long texts only is learnt from these."""
+    rows = [(i, f"text {'abcde'[i % 5]} of many copies", "xx") for i in range(5000)]
+    rows += [(9000 + i, "12 " * 8000 + f"lang {i} " * 4000, "yy") for i in range(4)]
+    rows += [(9100 + i, f"short {'fghij'[i]}", "zz") for i in range(5)] + [(9200, "long " * 9000, "zz")]
+    texts, languages = language_id.training_sample(spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(7))
+    kept = [r for r in rows if not brute.held_out(r[0], language_id.FOLDS)]
+    by = {x: sorted(t for t, y in zip(texts, languages) if y == x) for x in ("xx", "yy", "zz")}
+    assert by["xx"] == sorted({t for _, t, x in kept if x == "xx"}) and len(by["xx"]) == 5
+    assert by["zz"] == sorted(t for _, t, x in kept if x == "zz" and len(t) < 100)
+    assert by["yy"] == sorted(t[24_000:44_000] for _, t, x in kept if x == "yy") and by["yy"]
+
+
 def test_kernel_is_the_cosine_of_presence():
     model = language_id.train(["abc abd", "xyz xyw", "abd abe"], ["a", "b", "a"])
     x = language_id.presence(["abc abd"], language_id.PLACES)[0]
