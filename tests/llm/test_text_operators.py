@@ -195,6 +195,14 @@ def test_lines(documents, texts):
     assert line_rows(line_dedup.dedup_lines(documents)) == brute.line_dedup(texts)
 
 
+def test_the_line_query_finds_a_changed_character_in_a_short_line(spark, tmp_path):
+    line = "a plain line of forty-six characters and words"
+    rows = [(1, line + "\nsomething else"), (2, line.replace("forty", "f0rty") + "\nquite another one"), (3, "a plain line of other words")]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    got = {r["doc_id"]: (r["n_lines"], r["n_removed"]) for r in entry.queries()["op4_line_dedup"](spark, str(tmp_path)).collect()}
+    assert got == {1: (2, 0), 2: (2, 1), 3: (1, 0)}
+
+
 def test_line_edges(edge):
     out = line_dedup.dedup_lines(edge)
     assert out.columns == [*edge.columns, "n_lines", "n_removed"]
