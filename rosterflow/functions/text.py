@@ -5,6 +5,7 @@ from __future__ import annotations
 import re
 import unicodedata
 from collections.abc import Callable, Iterable
+from functools import lru_cache
 
 import pandas as pd
 from pyspark.sql import Column
@@ -73,47 +74,53 @@ def fold(text: str) -> str:
     return "".join(ch for ch in unicodedata.normalize("NFKD", text) if not unicodedata.combining(ch))
 
 
-def _fold_tables() -> tuple[str, str, dict[str, str]]:
-    """Fold rules for the Latin, punctuation and full-width blocks, computed from Unicode data."""
-    blocks = ((0xA0, 0x250), (0x1E00, 0x1F00), (0x2000, 0x2150), (0xFB00, 0xFB07), (0xFF01, 0xFFEF))
+@lru_cache(maxsize=1)
+def _fold_tables() -> tuple[str, str, str, str]:
+    """Fold rules of all planes, computed from Unicode data.
+
+    Characters that fold to one and what they fold to, the marks that go last among
+    the former; then those that fold to several, and all of these joined.
+    """
     kept, dropped, several = {}, [], {}
-    for low, high in blocks:
-        for code in range(low, high):
-            ch = chr(code)
-            folded = fold(ch)
-            if folded == ch:
-                continue
-            if len(folded) == 1:
-                kept[ch] = folded
-            else:
-                several[ch] = folded
-    dropped = [chr(code) for code in range(0x0300, 0x0370) if unicodedata.combining(chr(code))]
-    return "".join(kept) + "".join(dropped), "".join(kept.values()), several
-
-
-_FOLD_FROM, _FOLD_TO, _FOLD_SEVERAL = _fold_tables()
-# Two ranges that hold all of the latter (and more): a long list of single characters is slow to match.
-_LATIN_1, _BEYOND = ([ch for ch in sorted(_FOLD_SEVERAL) if (ch <= "\xff") is low] for low in (True, False))
-_SEVERAL_CLASS = f"[{_LATIN_1[0]}-{_LATIN_1[-1]}{_BEYOND[0]}-\uffff]"
+    for code in range(0xA0, 0x110000):
+        ch = chr(code)
+        if not (unicodedata.decomposition(ch) or unicodedata.combining(ch) or 0xAC00 <= code <= 0xD7A3):
+            continue
+        folded = fold(ch)
+        if not folded:
+            dropped.append(ch)
+        elif len(folded) > 1:
+            several[ch] = folded
+        elif folded != ch:
+            kept[ch] = folded
+    return "".join(kept) + "".join(dropped), "".join(kept.values()), "".join(several), _PART.join(several.values())
+
+
+# Between the expansions in their literal; no text folds to it.
+_PART = "\x01"
 
 
 def strip_accents(c: Column) -> Column:
-    """Accent folding inside the JVM for Latin text, punctuation and full-width forms.
+    """Accent folding inside the JVM, for every script.
 
-    One ``translate`` covers every character that folds to a single one; the few
-    that expand (fractions, ligatures, the number sign) are replaced only in rows
-    that hold one.  Other scripts: :func:`strip_accents_unicode`.
+    One ``translate`` covers every character that folds to a single one or to none;
+    those that expand (fractions, ligatures, Hangul syllables) are looked up one by
+    one in rows that hold one.
     """
-    expanded = c
-    for ch, folded in _FOLD_SEVERAL.items():
-        expanded = F.replace(expanded, F.lit(ch), F.lit(folded))
-    folded = F.translate(F.when(c.rlike(_SEVERAL_CLASS), expanded).otherwise(c), _FOLD_FROM, _FOLD_TO)
+    source, target, several, parts = _fold_tables()
+    expansions = F.split(F.lit(parts), _PART)
+
+    def expand(ch: Column) -> Column:
+        return F.when(is_ascii(ch), ch).otherwise(F.coalesce(F.get(expansions, F.position(ch, F.lit(several)) - 1), ch))
+
+    expanded = F.array_join(F.transform(F.split(c, ""), expand), "")
+    folded = F.translate(F.when(F.translate(c, several, "") != c, expanded).otherwise(c), source, target)
     return F.when(is_ascii(c), c).otherwise(folded)
 
 
 @F.pandas_udf(T.StringType())
 def strip_accents_unicode(s: pd.Series) -> pd.Series:
-    """Exact NFKD folding for every script (Arrow batches); for text outside the Latin blocks."""
+    """Exact NFKD folding for every script (Arrow batches)."""
     return s.map(fold, na_action="ignore")
 
 
@@ -127,7 +134,8 @@ def bind(value: Column, use: Callable[[Column], Column]) -> Column:
 
 def match_form(c: Column) -> Column:
     """Upper case without accents, one character for one, for pattern matching in short names."""
-    return F.upper(F.translate(c, _FOLD_FROM, _FOLD_TO))
+    source, target, *_ = _fold_tables()
+    return F.upper(F.translate(c, source, target))
 
 
 def normalize_name(c: Column) -> Column:

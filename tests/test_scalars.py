@@ -45,6 +45,16 @@ def test_accents_agree_with_unicode_data(column):
     assert column(text.strip_accents, values) == column(text.strip_accents_unicode, values)
 
 
+def test_accent_folding_of_every_script(column):
+    names = ["Ёлка Йод", "Άνθρωπος ΰ Ώ", "한국 각", "ﷺ ㎏ ½ œuvre", "\U0001d400\U0001d7d8 \U0001f100 \U0001d15e", "שּׁ क़ नि", "が ギ ㌀", "cafe\u0301", "plain", None, "\u0301"]
+    assert column(text.strip_accents, names) == [None if n is None else text.fold(n) for n in names]
+    assert column(text.normalize_name, names[:2]) == [text.header_name(n) for n in names[:2]]
+    assert column(text.match_form, ["Йод Άλφα"]) == ["ИОД ΑΛΦΑ"]
+    every = [chr(i) for i in range(0xA0, 0x20000) if not 0xD800 <= i < 0xE000]
+    blocks = ["".join(every[i:i + 500]) for i in range(0, len(every), 500)]
+    assert column(text.strip_accents, blocks) == [text.fold(b) for b in blocks]
+
+
 def test_period_from_name(column):
     names = ["202503.xlsx", "x 2025-03", "03_2025.csv", "Marzo 2025.xlsx", "SETIEMBRE-2024", "Dic-2023", "SEPT. 2025.xlsx",
              "sin dato", "Márzo_2025", "abril 2025 enero", None, "a/b/2025.03.xlsx", "comarzo 2025"]
