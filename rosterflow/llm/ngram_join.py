@@ -35,10 +35,10 @@ from rosterflow.session import scratch, settle
 WIDTH = 4
 PERCENT = 85
 # Hashes a slice receives, and a batch sends: a batch grows with the number of slices, so that each gets a row worth sending.
-SLICE_HASHES = 1 << 22
-BATCH_HASHES, MOST_BATCH_HASHES, PER_SLICE = 1 << 21, 1 << 24, 64
+SLICE_HASHES = 1 << 20
+BATCH_HASHES, MOST_BATCH_HASHES, PER_SLICE = 1 << 20, 1 << 24, 16
 # Inverted-list entries of a block: what one search task holds.
-BLOCK_ENTRIES = 1 << 21
+BLOCK_ENTRIES = 1 << 19
 # Weight of a probe against a heap step in the share of lists that count as long.
 PROBE = 0.0085
 

@@ -54,7 +54,7 @@ def test_query_against_sql(spark):
     assert oracle.compare(entry.queries()[name](spark, SF), oracle.connect(SF), entry.oracle_sql()[name]) is None
 
 
-@pytest.mark.parametrize("entries", [1 << 21, 2000, 300])
+@pytest.mark.parametrize("entries", [1 << 19, 2000, 300])
 def test_blocks_lose_no_link(spark, monkeypatch, entries):
     """Groups of one block, of several, and of blocks that hold a few documents each."""
     monkeypatch.setattr(ngram_join, "BLOCK_ENTRIES", entries)
