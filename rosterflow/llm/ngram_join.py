@@ -280,7 +280,7 @@ class Roots:
 
 
 def _search_block(group: pa.Table, percent: int) -> pa.Table:
-    """Links of a block (ids ``a, b``).
+    """Links of a block that give its components (ids ``a, b``), fewer than it has documents.
 
     With ``pivots`` (the groups a document is in, by their first member) the first
     members are searched, then every document that is not yet joined to all of its
@@ -295,8 +295,9 @@ def _search_block(group: pa.Table, percent: int) -> pa.Table:
 
     def search(query: int) -> None:
         for other in index.search(query):
-            roots.join(query, other)
-            if ids[query] != ids[other]:
+            # A link inside a component changes none.
+            if roots.of(query) != roots.of(other):
+                roots.join(query, other)
                 links.add((ids[query], ids[other]))
 
     asks = [i for i, x in enumerate(group.column("asks").to_pylist()) if x]
