@@ -37,6 +37,8 @@ PERCENT = 85
 # Hashes a slice receives, and a batch sends: a batch grows with the number of slices, so that each gets a row worth sending.
 SLICE_HASHES = 1 << 20
 BATCH_HASHES, MOST_BATCH_HASHES, PER_SLICE = 1 << 20, 1 << 24, 16
+# Bits of a hash that are exchanged beyond those that count the corpus's hashes: with 7, one in 128 is taken for shared though it is not.
+SPARE_BITS = 7
 # Inverted-list entries of a block: what one search task holds.
 BLOCK_ENTRIES = 1 << 19
 # Weight of a probe against a heap step in the share of lists that count as long.
@@ -75,10 +77,10 @@ class Batch:
         self.digests.append(digest)
         self.places.append(place)
 
-    def rows(self, number: int, shift: int) -> list[tuple]:
-        """The marks with the counts of hashes that several sets of the batch hold, and each hash once, by slices."""
+    def rows(self, number: int, bits: int, shift: int) -> list[tuple]:
+        """The marks with the counts of hashes that several sets of the batch hold, and each hash's upper ``bits`` once, by slices."""
         sizes = np.fromiter(map(len, self.sets), np.int64, len(self.sets))
-        hashes = np.concatenate(self.sets) if self.sets else np.zeros(0, np.uint64)
+        hashes = (np.concatenate(self.sets) if self.sets else np.zeros(0, np.uint64)) >> np.uint64(64 - bits)
         owner = np.repeat(np.arange(len(self.sets), dtype=np.uint32), sizes)
         order = np.argsort(hashes, kind="stable")
         hashes, owner = hashes[order], owner[order]
@@ -96,9 +98,14 @@ class Batch:
 
 
 def packed_sets(docs: DataFrame, width: int, size: int) -> DataFrame:
-    """The batches of ``docs (id, text)``: marks and hashes by slices."""
+    """The batches of ``docs (id, text)`` of ``size`` bytes: marks and hashes by slices.
+
+    Only as many bits of a hash are sent as tell nearly all of the corpus apart: hashes
+    that agree in them by chance count as shared, so that no document is lost.
+    """
     slices = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), size // 6 // SLICE_HASHES)
-    shift = 64 - (slices - 1).bit_length()
+    bits = min(64, max(size // 4, slices).bit_length() + SPARE_BITS)
+    shift = bits - (slices - 1).bit_length()
     enough = min(max(BATCH_HASHES, PER_SLICE * slices), MOST_BATCH_HASHES)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -108,11 +115,12 @@ def packed_sets(docs: DataFrame, width: int, size: int) -> DataFrame:
                 for id_, items in zip(part.column(0).to_pylist(), shingle_sets(part.column(1).to_pylist(), width, hashes)):
                     batch.add(id_, items)
                     if batch.hashes >= enough:
-                        yield from rows_table(batch.rows(number, shift), _PACKED).to_batches()
+                        yield from rows_table(batch.rows(number, bits, shift), _PACKED).to_batches()
                         number, batch = number + 1, Batch()
         if batch.ids:
-            yield from rows_table(batch.rows(number, shift), _PACKED).to_batches()
+            yield from rows_table(batch.rows(number, bits, shift), _PACKED).to_batches()
         del batch
+        hashes.clear()
         give_back()
 
     return docs.mapInArrow(run, _PACKED_SQL)
@@ -186,6 +194,8 @@ def _sets_of(docs: DataFrame, nodes: DataFrame, width: int) -> DataFrame:
                     ],
                     ["id", "digest", "items"],
                 )
+        hashes.clear()
+        give_back()
 
     found = among(docs, nodes.select("id").distinct()).mapInArrow(run, "id long, digest binary, items array<long>")
     found = found.join(nodes, ["id", "digest"], "left_semi").dropDuplicates(["digest"])
