@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rosterflow.llm.common import WordHash, mix64, register, table
-from rosterflow.llm.linking import Jaccard, among, link
+from rosterflow.llm.linking import Jaccard, among, components_sql, link
 from rosterflow.session import scratch, settle
 
 BANDS = 32
@@ -147,7 +147,7 @@ def near_duplicates(
     )
 
 
-@register("op9_minhash")
+@register("op9_minhash", components_sql(2, PERCENT, "doc_id, n_shingles, component_id, doc_id = component_id AS kept"))
 def op9_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate components of all documents over two-word shingles."""
     return near_duplicates(table(spark, sf_dir, "documents"), width=2)

@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 from rosterflow.llm.common import (
     WordHash, byte_slices, give_back, pack_batch, prefix_ranges, register, rows_table, squeeze, table, text_bytes, unpack_batch, unsqueeze,
 )
-from rosterflow.llm.linking import among, components
+from rosterflow.llm.linking import among, components, components_sql
 from rosterflow.llm.near_dedup import shingle_sets
 from rosterflow.session import scratch, settle
 
@@ -413,25 +413,6 @@ def ngram_join(
     return (rows, links) if with_links else rows
 
 
-def components_sql(width: int, percent: int, columns: str) -> str:
-    """The same rows in DuckDB, all pairs that share a shingle counted; ``columns`` are those of the result."""
-    return rf"""
-WITH RECURSIVE d AS (
-  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),
-s AS (SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) <= {width} THEN [array_to_string(w, ' ')]
-             ELSE list_sort(list_distinct(list_transform(range(1, len(w) - {width} + 2), lambda i: array_to_string(w[i:i + {width} - 1], ' ')))) END AS items FROM d),
-u AS (SELECT min(doc_id) AS id, len(items) AS n, items FROM s WHERE len(items) > 0 GROUP BY items),
-e AS MATERIALIZED (SELECT id, n, unnest(items) AS item FROM u),
-pairs AS (SELECT a.id AS a, b.id AS b FROM e a JOIN e b ON a.item = b.item AND a.id < b.id GROUP BY a.id, b.id, a.n, b.n
-          HAVING 100 * count(*) >= {percent} * (a.n + b.n - count(*))),
-ways AS MATERIALIZED (SELECT a, b FROM pairs UNION ALL SELECT b, a FROM pairs),
-reach AS (SELECT a, b FROM ways UNION SELECT r.a, x.b FROM reach r JOIN ways x ON r.b = x.a),
-least AS (SELECT a AS id, min(b) AS b FROM reach GROUP BY a),
-found AS (SELECT s.doc_id, len(s.items)::BIGINT AS n_shingles, CASE WHEN u.id IS NULL THEN s.doc_id ELSE least(u.id, coalesce(least.b, u.id)) END AS component_id
-          FROM s LEFT JOIN u ON s.items = u.items LEFT JOIN least ON least.id = u.id)
-SELECT {columns} FROM found"""
-
-
 @register("op11_ngram_join", components_sql(WIDTH, PERCENT, "doc_id, n_shingles, component_id"))
 def op11_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Components of all documents over four-word shingles at 85 percent."""

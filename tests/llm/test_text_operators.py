@@ -22,7 +22,7 @@ def order(rows):
     return sorted(rows, key=repr)
 
 
-@pytest.mark.parametrize("name", ["op1_substring_dedup", "op5_mixing", "op8_warc", "op10_quality"])
+@pytest.mark.parametrize("name", ["op1_substring_dedup", "op5_mixing", "op8_warc", "op9_minhash", "op10_quality"])
 def test_oracle(spark, name):
     assert oracle.compare(entry.queries()[name](spark, SF), oracle.connect(SF), entry.oracle_sql()[name]) is None
 
