@@ -165,10 +165,13 @@ def delete_where(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("""
 SELECT o_orderkey, CAST(o_totalprice AS DOUBLE) AS precio, strftime(o_orderdate, '%Y-%m-%d') AS fecha,
   CASE WHEN o_orderstatus = 'F' THEN 'Año ñandú' ELSE 'x;"y",' || chr(10) || 'z' END AS nota, o_orderstatus AS estado,
-  CASE o_orderstatus WHEN 'O' THEN 'O 100%20' WHEN 'P' THEN 'P+1' ELSE 'F [a]' END AS carpeta
-FROM orders""")
+  carpeta
+FROM orders JOIN (VALUES ('O', 'O 100%20'), ('P', 'P+1'), ('F', 'F [a]'), ('O', 'uno'), ('P', 'uno'), ('F', 'uno')) f(estado, carpeta) ON estado = o_orderstatus""")
 def csv_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Three layouts (separator, encoding, header) with line breaks in cells, in folders whose names need escaping, read back without being told."""
+    """Three layouts (separator, encoding, header) with line breaks in cells, in folders whose names need escaping, read back without being told.
+
+    A fourth folder has all rows in one file; files are read in ranges of 64 KB, whose borders lie in quoted cells as well.
+    """
     orders = table(spark, sf_dir, "orders").select(
         "o_orderkey", F.translate(F.format_number("o_totalprice", 2), ",.", ".,").alias("precio"),
         F.date_format("o_orderdate", "dd/MM/yyyy").alias("fecha"),
@@ -184,7 +187,8 @@ def csv_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
         orders.where(F.col("estado") == folder[0]).toDF(*names).write.option("header", True).option("sep", sep).option(
             "encoding", encoding
         ).option("escape", '"').csv(f"{path}/{folder}")
-    read = csv.read_csv(spark, path, dates=["fecha"], numbers=["precio"], wholes=["n_operacion"])
+    orders.toDF(*layouts["P+1"][2]).coalesce(1).write.option("header", True).option("escape", '"').option("quoteAll", True).csv(f"{path}/uno")
+    read = csv.read_csv(spark, path, dates=["fecha"], numbers=["precio"], wholes=["n_operacion"], range_bytes=1 << 16)
     return read.select(
         F.col("n_operacion").alias("o_orderkey"), "precio", F.date_format("fecha", "yyyy-MM-dd").alias("fecha"), "nota", "estado",
         F.element_at(F.split("_file", "/"), -2).alias("carpeta"),

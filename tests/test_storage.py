@@ -1,7 +1,9 @@
 """Sinks, scans and the incremental load, each in a fresh folder."""
 
+import csv as parser
 import io
 import os
+import random
 import time
 import zipfile
 from datetime import date
@@ -115,7 +117,7 @@ def test_csv_layouts(spark, tmp_path):
     (tmp_path / "a.csv").write_bytes('﻿"Nº Operación";Fecha De Pago;Año\n1;05/09/2025;"x;y"\n\n2;;\n'.encode())
     (tmp_path / "b.csv").write_bytes("n operacion,fecha de pago,AÑO\n3,06/09/2025,ñandú\n".encode("latin1"))
     (tmp_path / "c.csv").write_bytes(b"no_operacion\tano\n4\tz\n")
-    df = csv.ordered_csv(spark, str(tmp_path), dates=["fecha_de_pago"])
+    df = csv.read_csv(spark, str(tmp_path), dates=["fecha_de_pago"])
     assert {c for c in df.columns if not c.startswith("_")} == {"no_operacion", "n_operacion", "fecha_de_pago", "ano"}
     rows = {(r["no_operacion"] or r["n_operacion"]): (str(r["fecha_de_pago"]), r["ano"]) for r in df.collect()}
     assert rows == {"1": ("2025-09-05", "x;y"), "2": ("None", ""), "3": ("2025-09-06", "ñandú"), "4": ("None", "z")}
@@ -123,6 +125,62 @@ def test_csv_layouts(spark, tmp_path):
     assert first["no_operacion"] == "1"
 
 
+def _plain_csv(content):
+    """(row, cells, extra) of a file, parsed as a whole."""
+    try:
+        text = content.decode("utf-8-sig")
+    except UnicodeDecodeError:
+        text = content.decode("ISO-8859-1")
+    text = text.lstrip("\r\n")
+    separator = ";,\t"[csv.choose_separator(text.split("\n", 1)[0].rstrip("\r"), ";,\t")]
+    header, *rows = parser.reader(io.StringIO(text, newline=""), delimiter=separator)
+    rows = [r for r in rows if r]
+    return [csv.cut(i, r, len(header), False) for i, r in enumerate(rows, 1)]
+
+
+def _messy(draw, rows):
+    """A file with quoted breaks, doubled and stray quotes, blank lines, long rows and lone carriage returns."""
+    sep, end = draw.choice([";", ",", "\t"]), draw.choice(["\n", "\r\n"])
+    cells = ["", "a", "b c", '"x\ny"', '"x\r\ny"', '"q ""z"""', 'st"ray', '"a"b', '"' + "long\n" * 9 + '"', "ñ", f'"{sep}"', '"', "l\ro"]
+    weights = [9, 30, 20, 6, 3, 6, 3, 2, 2, 5, 4, draw.choice([0, 0.2]), 1]
+    lines = [sep.join(["h1", '"h\n2"', "h3"])]
+    for _ in range(rows):
+        lines.append("" if draw.random() < 0.03 else sep.join(draw.choices(cells, weights, k=draw.choice([3, 3, 3, 2, 4]))))
+    return (draw.choice(["", end, "\ufeff"]) + end.join(lines) + draw.choice(["", end])).encode()
+
+
+@pytest.mark.parametrize("size", [61, 257, 4096, None])
+def test_csv_ranges_parse_as_whole_files(spark, tmp_path, size):
+    """Ranges of any size, shorter than a record included, give the rows of the whole file."""
+    draw, want = random.Random(size or 1), {}
+    for i in range(12):
+        content = _messy(draw, 200) if i else b"a;b\n1;\xf1\n2;3;9\n"
+        (tmp_path / f"{i}.csv").write_bytes(content)
+        want[f"{i}.csv"] = _plain_csv(content)
+    (tmp_path / "blank.csv").write_bytes(b"\n\r\n")
+    (tmp_path / "empty.csv").write_bytes(b"")
+    (tmp_path / "head.csv").write_bytes(b"a;b")
+    got = {}
+    for r in csv.scan_csv(spark, str(tmp_path), range_bytes=size).collect():
+        got.setdefault(r["_file"].rsplit("/", 1)[1], []).append((r["_row"], r["cells"], r["extra"]))
+    assert {k: sorted(v) for k, v in got.items()} == {k: v for k, v in want.items() if v}
+
+
+def test_states_of_a_line():
+    assert csv.after_line("a;b", ";", 0) == (0, 1) and csv.after_line("a;b", ";", 1) == (1, 0)
+    assert csv.after_line('a;"b', ";", 0) == (1, 1) and csv.after_line('a;"b', ";", 1) == (0, 0)
+    assert csv.after_line('c";d', ";", 1) == (0, 0) and csv.after_line('c"";d', ";", 1) == (1, 0)
+    assert csv.after_line('c";"d', ";", 1) == (1, 0) and csv.after_line('c";"d', ",", 1) == (0, 0)
+    assert csv.after_line("", ";", 0) == (0, 0) and csv.after_line("a\rb", ";", 0) == (0, 2)
+
+
+def test_strict_csv_stops_whatever_is_read(spark, tmp_path):
+    (tmp_path / "long.csv").write_bytes(b"a;b\n1;2\n3;4;5\n")
+    with pytest.raises(Exception, match="more cells than columns in row 2"):
+        csv.read_csv(spark, str(tmp_path)).select("a").collect()
+    assert [r["_extra"] for r in csv.read_csv(spark, str(tmp_path), strict=False).orderBy("_row").collect()] == [None, ["5"]]
+
+
 def test_tables(spark):
     df = spark.range(5)
     assert tables.query(spark, "SELECT sum(id) AS s FROM {t}", t=df).first()["s"] == 10
