@@ -20,7 +20,7 @@ from rosterflow.operators import headers, rows
 from rosterflow.operators.quality import null_report, suspects
 from rosterflow.operators.relational import join_dimension, unmapped_counts
 from rosterflow.session import settle
-from rosterflow.sinks import history
+from rosterflow.sinks.versioned import History
 from rosterflow.sources.contracts import WHOLE, Contract, Field
 
 # Amounts that a footer may sum, besides the whole-number columns.
@@ -197,14 +197,9 @@ def load_roster(
 
 
 def load_into_history(load: RosterLoad, path: str) -> DataFrame:
-    """Replace each file's rows in the history at ``path``; returns the load summary.
+    """Replace each file's rows in the versioned history at ``path``; returns the load summary.
 
-    The typed rows are settled once and serve the summary and the write.
+    The rows are written once and take effect in one step; the summary comes from
+    the table's manifests (see :mod:`rosterflow.sinks.versioned`).
     """
-    spark = load.rows.sparkSession
-    key = load.contract.key
-    ready = settle(load.rows, load.contract.name)
-    before = history.read_history(spark, path) if history.path_exists(spark, path) else None
-    summary = settle(history.load_summary(ready, key, before), "summary")
-    history.replace_partition(ready, path, key)
-    return summary
+    return History(load.rows.sparkSession, path, load.contract.key).replace(load.rows)

@@ -21,7 +21,7 @@ from rosterflow.plans.roster import RosterLoad, load_into_history, load_roster
 from rosterflow.queries.registry import cents, cents_sql, query, table
 from rosterflow.queries.xlsx import cells_to_workbooks, write_files
 from rosterflow.session import fresh_path
-from rosterflow.sinks.history import read_history
+from rosterflow.sinks.versioned import History
 from rosterflow.sources.contracts import CONTRACTS
 from rosterflow.sources.csv import read_csv
 from rosterflow.sources.workbook import read_workbooks
@@ -259,7 +259,7 @@ def roster_history_load(spark: SparkSession, sf_dir: str) -> DataFrame:
     early = load.rows.where(F.col("Nombre_de_archivo") < "Base cesantia SURA Stock 2008")
     load_into_history(RosterLoad(load.contract, early), path)
     summary = load_into_history(load, path)
-    stored = read_history(spark, path).groupBy("Nombre_de_archivo").agg(F.count("*").alias("en_historia"))
+    stored = History(spark, path, "Nombre_de_archivo").read().groupBy("Nombre_de_archivo").agg(F.count("*").alias("en_historia"))
     return summary.join(stored, "Nombre_de_archivo")
 
 
@@ -284,7 +284,7 @@ def _through_history(load, spark: SparkSession, path: str) -> DataFrame:
     wrong = summary.where("filas <> filas_previas or accion <> 'reemplazo'").count()
     if wrong:
         raise AssertionError(f"{wrong} files are not replaced by themselves")
-    stored, want = read_history(spark, path), load.rows.schema
+    stored, want = History(spark, path, load.contract.key).read(), load.rows.schema
     return stored.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in want])
 
 

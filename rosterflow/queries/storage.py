@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rosterflow.operators import quality, relational
-from rosterflow.queries.registry import cents, cents_sql, query, table
+from rosterflow.queries.registry import ORACLES, cents, cents_sql, query, table
 from rosterflow.session import fresh_path, settle
 from rosterflow.sinks import export, history
+from rosterflow.sinks.versioned import History
 from rosterflow.sources import csv, tables, workbook
 from rosterflow.streaming.landing import land_and_wait
 
@@ -49,14 +52,37 @@ def replace_partition(spark: SparkSession, sf_dir: str) -> DataFrame:
 SELECT archivo, carga, count(*) AS filas FROM kept GROUP BY archivo, carga""")
 def replace_listed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Listed files lose their rows even when nothing replaces them; unlisted ones are appended to."""
-    path = fresh_path(spark, "listed")
+    table_ = History(spark, fresh_path(spark, "listed"), KEY)
     orders = _orders(spark, sf_dir)
-    history.replace_partition(orders.withColumn("carga", F.lit("primera")), path, KEY)
+    table_.replace(orders.withColumn("carga", F.lit("primera")))
     again = orders.where((F.col("o_orderstatus") == "F") & F.col(KEY).isin("remesa_199802.csv", "remesa_199803.csv"))
-    history.replace_partition(
-        again.withColumn("carga", F.lit("segunda")), path, KEY, ["remesa_199801.csv", "remesa_199802.csv"]
-    )
-    return history.read_history(spark, path).groupBy(KEY, "carga").agg(F.count("*").alias("filas"))
+    table_.replace(again.withColumn("carga", F.lit("segunda")), ["remesa_199801.csv", "remesa_199802.csv"])
+    return table_.read().groupBy(KEY, "carga").agg(F.count("*").alias("filas"))
+
+
+_TYPED_SQL = """t AS (SELECT CAST(strftime(o_orderdate, '%Y%m') AS BIGINT) AS periodo, o_orderkey FROM orders),
+f(forma, lote) AS (VALUES ('carpeta', 'texto'), ('carpeta', 'entero'), ('versiones', 'texto'), ('versiones', 'entero'))"""
+
+
+@query(f"""WITH {_TYPED_SQL}
+SELECT forma, lote, CAST(periodo AS VARCHAR) AS periodo, count(*) AS filas FROM t, f WHERE periodo <> 199802 GROUP BY ALL""")
+def replace_listed_types(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A list of numbers for keys of text, and of text for numbers, names the same partitions: what is sent stays, what is not goes."""
+    period = F.date_format("o_orderdate", "yyyyMM")
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", period.alias("periodo"))
+    found = []
+    for lot, rows, listed in (
+        ("texto", orders, [199801, 199802]), ("entero", orders.withColumn("periodo", F.col("periodo").cast("bigint")), ["199801", " 199802"]),
+    ):
+        folder, versions = fresh_path(spark, "typed"), History(spark, fresh_path(spark, "typed"), "periodo")
+        again = rows.where("periodo = 199801")
+        history.replace_partition(rows, folder, "periodo")
+        history.replace_partition(again, folder, "periodo", listed)
+        versions.replace(rows)
+        versions.replace(again, listed)
+        for form, stored in (("carpeta", history.read_history(spark, folder)), ("versiones", versions.read())):
+            found.append(stored.select(F.lit(form).alias("forma"), F.lit(lot).alias("lote"), "periodo"))
+    return reduce(DataFrame.unionByName, found).groupBy("forma", "lote", "periodo").agg(F.count("*").alias("filas"))
 
 
 @query(f"""WITH {_ORDERS_SQL}
@@ -83,7 +109,19 @@ FROM customer WHERE c_mktsegment <> 'MACHINERY'
 UNION ALL SELECT c_custkey, c_acctbal + 1, NULL FROM customer WHERE c_mktsegment = 'MACHINERY'
 UNION ALL SELECT NULL, c_acctbal, NULL FROM customer WHERE c_mktsegment = 'HOUSEHOLD'""")
 def upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Matched rows change the sent column and keep the other; null keys are inserted, never matched."""
+    """Matched rows change the sent column and keep the other; null keys are inserted, never matched.
+
+    On a versioned history, of which only the partitions with a match are written anew.
+    """
+    target, stage = _upserted(spark, sf_dir)
+    table_ = History(spark, fresh_path(spark, "upsert"), "zona")
+    table_.replace(target.withColumn("zona", F.coalesce(F.col("clave") % 7, F.lit(7))))
+    table_.upsert(stage, ["clave"])
+    return table_.read().drop("zona")
+
+
+def _upserted(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """A target and what is merged into it."""
     customers = table(spark, sf_dir, "customer")
     key = F.when(F.col("c_mktsegment") != "FURNITURE", F.col("c_custkey")).alias("clave")
     target = customers.where("c_mktsegment <> 'MACHINERY'").select(
@@ -95,9 +133,38 @@ def upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     keyless = customers.where("c_mktsegment = 'HOUSEHOLD'").select(
         F.lit(None).cast("bigint").alias("clave"), F.col("c_acctbal").alias("saldo")
     )
+    return target, changed.unionByName(keyless)
+
+
+@query(ORACLES["upsert"])
+def upsert_catalogue(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same merge into a table of the catalogue."""
+    target, stage = _upserted(spark, sf_dir)
     name = "rosterflow_" + fresh_path(spark, "u").rsplit("-", 1)[1]
     history.rebuild_table(target, name, fresh_path(spark, "upsert"))
-    return history.upsert_table(name, changed.unionByName(keyless), ["clave"], fresh_path(spark, "upserted"))
+    return history.upsert_table(name, stage, ["clave"], fresh_path(spark, "upserted"))
+
+
+_ORDERS_OF_1998_SQL = "archivo LIKE 'remesa_1998%'"
+
+
+@query(f"""WITH {_ORDERS_SQL}, n AS (SELECT archivo, count(*) AS n, count(*) FILTER (o_orderstatus = 'F') AS f FROM o GROUP BY archivo)
+SELECT 'primera' AS carga, archivo, n AS filas, 0 AS filas_previas, 'inserción nueva' AS accion FROM n WHERE {_ORDERS_OF_1998_SQL}
+UNION ALL SELECT 'segunda', archivo, n, n, 'reemplazo' FROM n WHERE {_ORDERS_OF_1998_SQL}
+UNION ALL SELECT 'segunda', archivo, n, 0, 'inserción nueva' FROM n WHERE NOT {_ORDERS_OF_1998_SQL}
+UNION ALL SELECT 'tercera', archivo, f, n, 'reemplazo' FROM n WHERE f > 0
+UNION ALL SELECT 'queda', archivo, n, 0, '' FROM n""")
+def history_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Summaries of three loads from the manifests, and the rows after the third one has been rolled back and old versions deleted."""
+    table_ = History(spark, fresh_path(spark, "versions"), KEY)
+    orders = _orders(spark, sf_dir)
+    loads = {"primera": orders.where(F.col(KEY).startswith("remesa_1998")), "segunda": orders, "tercera": orders.where("o_orderstatus = 'F'")}
+    told = [settle(table_.replace(rows).select(F.lit(name).alias("carga"), "*"), "summary") for name, rows in loads.items()]
+    table_.rollback(2)
+    table_.vacuum()
+    left = table_.read().groupBy(KEY).agg(F.count("*").alias("filas"))
+    told.append(left.select(F.lit("queda").alias("carga"), KEY, "filas", F.lit(0).cast("bigint").alias("filas_previas"), F.lit("").alias("accion")))
+    return reduce(DataFrame.unionByName, told)
 
 
 _KEYS_SQL = """k AS (SELECT o_orderkey, o_totalprice, CASE o_orderstatus WHEN 'F' THEN lpad(CAST(o_orderkey % 12 AS VARCHAR), 3, '0')

@@ -9,9 +9,11 @@ hot file is written by many tasks and a tiny one makes a single file.
 from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from rosterflow.functions.text import strip
 from rosterflow.session import fresh_path, scratch, settle
@@ -74,26 +76,36 @@ def replace_partition(df: DataFrame, path: str, key: str, values: Iterable[objec
     """Replace the partitions of the keys in ``df``; with ``values``, of those keys instead.
 
     A listed value without rows loses its partition; rows whose key is not
-    listed are appended, as a delete by list followed by an insert would do.
+    listed are appended, as a delete by list followed by an insert would do.  Values
+    are compared as the text of the key's type, so 202503 and ``'202503'`` name the
+    same partition; null ones name none.
     """
     rows = usable_keys(df, key)
     if values is None:
         _write(rows, path, key, "overwrite")
         return
-    spark, listed = df.sparkSession, list(values)
+    spark = df.sparkSession
+    listed = [r[0] for r in key_texts(spark, values, df.schema[key].dataType).collect()]
     # Written first, the rows are computed once and may come from the table itself.
     with scratch():
         rows = settle(rows, "replacement")
-        named = F.col(key).isin(*listed) if listed else F.lit(False)
+        named = F.col(key).cast("string").isin(*listed) if listed else F.lit(False)
         _write(rows.where(named), path, key, "overwrite")
         others = rows.where(~named)
         if not others.isEmpty():
             _write(others, path, key, "append")
-        sent = {r[0] for r in rows.where(named).select(key).distinct().collect()}
+        sent = {r[0] for r in rows.where(named).select(F.col(key).cast("string")).distinct().collect()}
     # Last, so that a failed write leaves every listed partition as it was.
     drop_partitions(spark, path, key, [v for v in listed if v not in sent])
 
 
+def key_texts(spark: SparkSession, values: Iterable[object], kind: T.DataType) -> DataFrame:
+    """Listed key values as ``key``, the distinct texts that a key of type ``kind`` has; values that are none of its are left out."""
+    texts = spark.createDataFrame([(None if v is None else str(v),) for v in values], "v string")
+    typed = strip(F.col("v")) if isinstance(kind, T.StringType) else F.col("v").try_cast(kind).cast("string")
+    return texts.select(typed.alias("key")).where("key is not null and length(key) > 0").distinct()
+
+
 def drop_partitions(spark: SparkSession, path: str, key: str, values: Iterable[object]) -> int:
     """Remove the partitions of ``values``; returns how many existed."""
     removed = 0
@@ -155,7 +167,7 @@ def upsert(target: DataFrame, stage: DataFrame, keys: Sequence[str]) -> DataFram
     Matched target rows take the stage's other columns (a stage of keys only
     changes nothing), unmatched stage rows are inserted, null keys never match.
     A key repeated in the stage is an error.  One full outer join reads the target
-    once.
+    once; rows with a null key, which meet nothing in it, are spread by their content.
     """
     keys = list(keys)
     stage = settle(stage, "stage", outlives=True)
@@ -167,10 +179,13 @@ def upsert(target: DataFrame, stage: DataFrame, keys: Sequence[str]) -> DataFram
         raise ValueError(f"the stage repeats a key of {keys}")
     incoming = stage.select(*[F.col(c).alias(f"_new_{c}") for c in stage.columns], F.lit(True).alias("_hit"))
     # Null keys equal nothing, so their rows come out of the join as they are, from either side.
-    same = F.lit(True)
+    new_known = reduce(Column.__and__, [F.col(f"_new_{k}").isNotNull() for k in keys])
+    old = target.withColumns({"_old": F.lit(True), "_spread": _spread(target, known)})
+    incoming = incoming.withColumn("_new_spread", _spread(incoming, new_known))
+    same = F.col("_spread") == F.col("_new_spread")
     for k in keys:
         same = same & (F.col(k) == F.col(f"_new_{k}"))
-    joined = target.withColumn("_old", F.lit(True)).join(incoming, same, "full_outer")
+    joined = old.join(incoming, same, "full_outer")
 
     def merged(c: str) -> Column:
         if c not in stage.columns:
@@ -182,6 +197,12 @@ def upsert(target: DataFrame, stage: DataFrame, keys: Sequence[str]) -> DataFram
     return joined.select(*[merged(c) for c in target.columns])
 
 
+def _spread(df: DataFrame, known: Column) -> Column:
+    """0 for rows with a complete key, else a hash of what the row holds, so that no task gets all of them."""
+    hashed = [f.name for f in df.schema if isinstance(f.dataType, T.AtomicType)]
+    return F.when(known, F.lit(0).cast("bigint")).otherwise(F.xxhash64(*hashed))
+
+
 def write_upsert(target_path: str, stage: DataFrame, keys: Sequence[str], new_path: str) -> DataFrame:
     """Write the merged table to ``new_path`` (never over the path being read) and return it."""
     spark = stage.sparkSession

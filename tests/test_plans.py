@@ -10,7 +10,7 @@ from rosterflow.plans import oficio as rep
 from rosterflow.plans.consolidation import BROKERS, consolidate, final_table
 from rosterflow.plans.roster import load_into_history, load_roster
 from rosterflow.queries import fixtures as fx
-from rosterflow.sinks.history import read_history
+from rosterflow.sinks.versioned import History
 from rosterflow.sources.contracts import CONTRACTS
 
 
@@ -100,7 +100,7 @@ def test_files_of_one_load_may_differ_in_layout(spark, tmp_path):
     summary = load_into_history(load, str(tmp_path / "h"))
     assert {r["accion"] for r in summary.collect()} == {"inserción nueva"}
     assert {r["accion"] for r in load_into_history(load, str(tmp_path / "h")).collect()} == {"reemplazo"}
-    assert read_history(spark, str(tmp_path / "h")).count() == 2
+    assert History(spark, str(tmp_path / "h"), "Nombre_de_archivo").read().count() == 2
 
 
 def test_a_fraction_in_an_identifier_stops_or_empties(spark):
