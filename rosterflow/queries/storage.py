@@ -314,7 +314,7 @@ def stream_landing(spark: SparkSession, sf_dir: str) -> DataFrame:
         land_and_wait(
             spark, sf_dir, path, KEY, prepare, schema=schema, checkpoint=checkpoint, pathGlobFilter="orders.parquet"
         )
-    return history.read_history(spark, path).select(KEY, "o_orderkey", "o_totalprice")
+    return History(spark, path, KEY).read().select(KEY, "o_orderkey", "o_totalprice")
 
 
 @query("""
@@ -335,10 +335,52 @@ def stream_newest_file(spark: SparkSession, sf_dir: str) -> DataFrame:
             spark, folder, path, KEY, lambda batch: batch, schema=orders.schema, checkpoint=fresh_path(spark, "newest-checkpoint"),
             files_per_batch=files,
         )
-        found.append(history.read_history(spark, path).select(KEY, "o_orderkey", "o_totalprice", F.lit(name).alias("lote")))
+        found.append(History(spark, path, KEY).read().select(KEY, "o_orderkey", "o_totalprice", F.lit(name).alias("lote")))
     return found[0].unionByName(found[1])
 
 
+def _sent_at(spark: SparkSession, rows: DataFrame, folder: str, days_ago: int) -> None:
+    """One more file in ``folder``, changed so many days ago."""
+    part = f"{folder}/{days_ago}"
+    rows.coalesce(1).write.parquet(part)
+    fs, place = history._filesystem(spark, part)
+    then = spark._jvm.java.lang.System.currentTimeMillis() - days_ago * 86_400_000
+    for status in fs.listStatus(place):
+        fs.setTimes(status.getPath(), then, -1)
+
+
+@query("""
+SELECT o_orderstatus AS archivo, o_orderkey, CASE o_orderstatus WHEN 'F' THEN 'nuevo' WHEN 'O' THEN 'corrige' ELSE 'tarde' END AS envio, corrida
+FROM orders, (VALUES ('tercera'), ('repetida')) c(corrida)
+UNION ALL SELECT o_orderstatus, o_orderkey, 'nuevo', 'primera' FROM orders WHERE o_orderstatus <> 'P'
+UNION ALL SELECT o_orderstatus, o_orderkey, CASE o_orderstatus WHEN 'P' THEN 'tarde' ELSE 'nuevo' END, 'segunda' FROM orders""")
+def stream_late_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Files that arrive late, over four runs of one stream.
+
+    The first file has two keys.  A second one, twenty days older, has one of them
+    (ignored) and a new one (loaded); a third one is newer and corrects a key; the
+    last run finds nothing.
+    """
+    folder, path, checkpoint = (fresh_path(spark, x) for x in ("late", "landed", "late-checkpoint"))
+    orders = table(spark, sf_dir, "orders").select(F.col("o_orderstatus").alias(KEY), "o_orderkey")
+    stored, found = History(spark, path, KEY), []
+    sent = [
+        ("primera", 10, orders.where(F.col(KEY) != "P").withColumn("envio", F.lit("nuevo"))),
+        ("segunda", 30, orders.where(F.col(KEY) != "O").withColumn("envio", F.lit("tarde"))),
+        ("tercera", 5, orders.where(F.col(KEY) == "O").withColumn("envio", F.lit("corrige"))),
+        ("repetida", 0, None),
+    ]
+    for run, days_ago, rows in sent:
+        if rows is not None:
+            _sent_at(spark, rows, folder, days_ago)
+        land_and_wait(
+            spark, folder, path, KEY, lambda batch: batch, schema="archivo string, o_orderkey long, envio string", checkpoint=checkpoint,
+            recursiveFileLookup="true",
+        )
+        found.append(stored.read().withColumn("corrida", F.lit(run)))
+    return reduce(DataFrame.unionByName, found)
+
+
 @query("SELECT 'SELECT' AS orden, true AS bien UNION ALL SELECT 'RAISE', false")
 def timed_statement(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A statement is run to its end: one that fails only on its rows is reported as failed."""

@@ -6,7 +6,7 @@ a load is committed by creating the next version file, which names its manifest.
 Until then the table is as it was, whatever happens to the load, and readers keep
 the version they began with.  Nothing is rewritten but the keys a load touches.
 
-``data/_load=<id>/<key>=<value>/``, ``manifests/<id>/`` (Parquet: key, load, rows),
+``data/_load=<id>/<key>=<value>/``, ``manifests/<id>/`` (Parquet: key, load, rows, and time and file of what a stream loaded),
 ``versions/<number>`` (JSON: manifest, schema).  Two loads at once cannot make the
 same version: the second one fails and changes nothing.  This needs a file system
 that refuses to create a file twice, as HDFS and local ones do.
@@ -27,7 +27,7 @@ from rosterflow.session import delete_path
 from rosterflow.sinks.history import INSERTED, REPLACED, _filesystem, key_texts, path_exists, read_history, upsert, usable_keys
 
 LOAD = "_load"
-_MANIFEST = "key string, load string, rows long"
+_MANIFEST = "key string, load string, rows long, time timestamp, file string"
 # Loads that were never committed are left alone this long: they may still be running.
 ORPHAN_HOURS = 24
 
@@ -65,7 +65,7 @@ class History:
             stream.close()
 
     def manifest(self, version: int | None = None) -> DataFrame:
-        """``key, load, rows``: where the rows of a key are; a null key is that of rows without one."""
+        """``key, load, rows, time, file``: where the rows of a key are; a null key is that of rows without one."""
         _, entry = self._entry(version)
         if entry is None:
             return self.spark.createDataFrame([], _MANIFEST)
@@ -81,6 +81,11 @@ class History:
             raise FileNotFoundError(f"no load has been committed to {self.path}")
         return self._rows(self.manifest(number), T.StructType.fromJson(entry["schema"]))
 
+    def marks(self, version: int | None = None) -> DataFrame:
+        """``key, time, file``: the newest file of each key that a load with marks has brought."""
+        newest = self.manifest(version).where("time is not null").groupBy("key").agg(F.max(F.struct("time", "file")).alias("m"))
+        return newest.select("key", "m.time", "m.file")
+
     def _rows(self, live: DataFrame, schema: T.StructType) -> DataFrame:
         columns = [f.name for f in schema]
         fields = [f for f in schema if f.name != self.key] + [T.StructField(LOAD, T.StringType()), T.StructField(self.key, T.StringType())]
@@ -123,9 +128,17 @@ class History:
         # Counted from the written files, which holds their footers only.
         written = read_history(self.spark, folder, T.StructType([T.StructField(self.key, T.StringType())])) if self._has_keys(folder) else None
         if written is None:
-            return self.spark.createDataFrame([], _MANIFEST)
+            return self.spark.createDataFrame([], "key string, load string, rows long")
         return written.groupBy(F.col(self.key).alias("key")).agg(F.count("*").alias("rows")).select("key", F.lit(load).alias("load"), "rows")
 
+    @staticmethod
+    def _marked(entries: DataFrame, marks: DataFrame | None) -> DataFrame:
+        """Manifest entries with the ``time, file`` of their key."""
+        if marks is None:
+            return entries.withColumns({"time": F.lit(None).cast("timestamp"), "file": F.lit(None).cast("string")})
+        of = marks.select(F.col("key").alias("_key"), "time", "file")
+        return entries.join(of, entries["key"].eqNullSafe(of["_key"]), "left").drop("_key")
+
     def _has_keys(self, folder: str) -> bool:
         fs, place = _filesystem(self.spark, folder)
         return any(s.isDirectory() for s in fs.listStatus(place))
@@ -140,12 +153,14 @@ class History:
             known[f.name] = T.StructField(f.name, kind)
         return T.StructType(list(known.values()))
 
-    def replace(self, df: DataFrame, values: Iterable[object] | None = None) -> DataFrame:
+    def replace(self, df: DataFrame, values: Iterable[object] | None = None, marks: DataFrame | None = None) -> DataFrame:
         """Replace the rows of the keys in ``df``, or of those listed; returns the load's summary.
 
         A listed key without rows loses its rows; rows whose key is not listed are
         added.  Listed values are compared in the type of the key: 202503 names the
         same key in a load of texts and of numbers.  Rows without a key are not loaded.
+        ``marks`` (key, time, file) say which file a key's rows come from; they are
+        committed with the rows.
         The summary has, per key of the load, its rows, the rows there were, and which
         of the two happened (``filas, filas_previas, accion``), all from the manifests.
         """
@@ -155,7 +170,7 @@ class History:
         old, new = self.manifest(before), self._write(rows)
         gone = new.select("key").distinct() if values is None else key_texts(self.spark, values, df.schema[self.key].dataType)
         kept = old.join(gone, "key", "left_anti")
-        after = self._commit(before, kept.unionByName(new), schema)
+        after = self._commit(before, kept.unionByName(self._marked(new, marks)), schema)
         return self.summary(after)
 
     def append(self, df: DataFrame) -> DataFrame:
@@ -177,7 +192,7 @@ class History:
         """Merge ``stage`` by ``keys`` (see :func:`history.upsert`); returns the new version.
 
         Only the partitions that hold a matched row are written anew; what is inserted
-        is added to the others.  A stage that changes the partition key moves rows.
+        is added to the others.  A stage that changes the partition key moves rows.  Marks stay.
         """
         before, entry = self._entry(None)
         if entry is None:
@@ -195,7 +210,7 @@ class History:
             concerns = old.join(touched, old["key"].eqNullSafe(touched["key"]), "left_semi")
             kept = old.join(touched, old["key"].eqNullSafe(touched["key"]), "left_anti")
             merged = upsert(self._rows(concerns, schema), stage, keys)
-            return self._commit(before, kept.unionByName(self._write(merged)), schema)
+            return self._commit(before, kept.unionByName(self._marked(self._write(merged), self.marks(before))), schema)
         finally:
             delete_path(self.spark, f"{self.path}/touched/{name}")
 

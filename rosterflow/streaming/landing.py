@@ -9,9 +9,30 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from rosterflow.session import fresh_path
-from rosterflow.sinks.history import replace_partition
+from rosterflow.sinks.history import usable_keys
+from rosterflow.sinks.versioned import History
 
 Prepare = Callable[[DataFrame], DataFrame]
+ORIGIN = ("_file", "_time")
+# Fixed value: the file source forgets files older than its newest one by this much, and then never loads them.
+NO_AGE_LIMIT = "36500d"
+
+
+def newer_rows(rows: DataFrame, key: str, loaded: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The rows to load, and ``key, time, file`` of where they come from.
+
+    Of a key's rows (with ``_file`` and ``_time``) those of its newest file count, and
+    only if that is newer than what ``loaded`` (key, time, file) says of the key; files
+    of one time are ordered by name.
+    """
+    text = F.col(key).cast("string")
+    newest = rows.groupBy(text.alias("key")).agg(F.max(F.struct(F.col("_time").alias("time"), F.col("_file").alias("file"))).alias("new"))
+    known = loaded.select("key", F.struct("time", "file").alias("old"))
+    due = newest.join(known, "key", "left").where(F.col("old").isNull() | (F.col("new") > F.col("old")))
+    marks = due.select("key", "new.time", "new.file")
+    of = marks.select(F.col("key").alias("_key"), F.col("time").alias("_of_time"), F.col("file").alias("_of_file"))
+    same = (text == F.col("_key")) & (F.col("_time") == F.col("_of_time")) & (F.col("_file") == F.col("_of_file"))
+    return rows.join(of, same, "left_semi").drop(*ORIGIN), marks
 
 
 def land(
@@ -29,32 +50,44 @@ def land(
     files_per_batch: int | None = None,
     **options: str,
 ) -> StreamingQuery:
-    """Load what is new in ``folder`` into the history, replacing each key's partition, and stop.
+    """Load what is new in ``folder`` into the versioned history, replacing each key's rows, and stop.
 
-    The stream's checkpoint remembers the files already taken; a batch that is
-    retried replaces the same partitions, so the load is idempotent.
-    ``clean_source`` is ``off``, ``archive`` or ``delete`` and acts after the
-    batch is committed.
+    The newest file of a key is the one that counts, whatever the batches and runs:
+    the history keeps, with each key's rows, the time and name of their file, and a
+    batch replaces only what is older.  A file that arrives late is ignored for keys
+    of which a newer one is loaded and loaded for all others, however old it is.
 
-    The newest file of a key is the one that counts, whatever the batches: files
-    come one by one in the order of their times unless ``prepare`` keeps the columns
-    ``_file`` and ``_time`` that its batch has; then a batch may hold several files
-    (``files_per_batch``), and of a key's rows those of its newest file are loaded.
+    The stream's checkpoint remembers the files already taken (all of them, as there
+    is no age limit: ``maxFileAge`` may be given to set one).  Rows and marks are
+    committed in one step, so a batch that is retried changes nothing.
+    ``clean_source`` is ``off``, ``archive`` or ``delete`` and acts after the batch is
+    committed.  Where ``prepare`` keeps the columns ``_file`` and ``_time`` that its batch
+    has, a batch holds ``files_per_batch`` files, by default all there are; a ``prepare``
+    that drops them gets one file per batch.
     """
+    options = {"maxFileAge": NO_AGE_LIMIT} | options
     reader = spark.readStream.format(fmt).schema(schema).option("cleanSource", clean_source).options(**options)
     if archive:
         reader = reader.option("sourceArchiveDir", archive)
-    reader = reader.option("maxFilesPerTrigger", files_per_batch or 1)
+    stream = reader.load(folder).schema
+    told = prepare(spark.createDataFrame([], stream).withColumns({"_file": F.lit(""), "_time": F.current_timestamp()}))
+    by_row = set(ORIGIN) <= set(told.columns)
+    if not by_row and (files_per_batch or 1) > 1:
+        raise ValueError("several files in a batch need the columns _file and _time")
+    if files_per_batch or not by_row:
+        reader = reader.option("maxFilesPerTrigger", files_per_batch or 1)
+    table = History(spark, history_path, key)
 
     def load(batch: DataFrame, _: int) -> None:
         rows = prepare(batch)
-        if {"_file", "_time"} <= set(rows.columns):
-            newest = rows.groupBy(key).agg(F.max(F.struct("_time", "_file")).alias("_newest"))
-            of_newest = F.struct("_time", "_file") == F.col("_newest")
-            rows = rows.join(newest, key).where(of_newest).drop("_newest", "_file", "_time")
-        elif (files_per_batch or 1) > 1:
-            raise ValueError("several files in a batch need the columns _file and _time")
-        replace_partition(rows, history_path, key)
+        if not by_row:
+            origin = batch.select(*ORIGIN).first()
+            if origin is None:
+                return
+            rows = rows.withColumns({"_file": F.lit(origin["_file"]), "_time": F.lit(origin["_time"]).cast("timestamp")})
+        rows, marks = newer_rows(usable_keys(rows, key), key, table.marks())
+        if not marks.isEmpty():
+            table.replace(rows, marks=marks)
 
     return (
         reader.load(folder)

@@ -13,8 +13,9 @@ from pyspark.sql import functions as F
 
 from rosterflow.queries.xlsx import write_workbook
 from rosterflow.sinks import export, history
+from rosterflow.sinks.versioned import History
 from rosterflow.sources import csv, files, tables, workbook
-from rosterflow.streaming.landing import land_and_wait
+from rosterflow.streaming.landing import land_and_wait, newer_rows
 
 
 def _rows(df):
@@ -205,7 +206,35 @@ def test_landing_takes_each_file_once(spark, tmp_path):
     run()
     send("2", [("b", 3)])
     run()
-    assert _rows(history.read_history(spark, out).select("k", "v")) == [("a", 1), ("b", 3)]
+    assert _rows(History(spark, out, "k").read().select("k", "v")) == [("a", 1), ("b", 3)]
+
+
+def test_a_batch_that_is_retried_changes_nothing(spark, tmp_path):
+    """After a commit the stream may present its last batch again; the marks know its files."""
+    table = History(spark, str(tmp_path / "h"), "k")
+    rows = spark.createDataFrame([("a", 1, "f1", 5), ("a", 2, "f2", 9), ("b", 3, "f1", 5)], "k string, v int, _file string, t int")
+    rows = rows.withColumn("_time", F.timestamp_seconds("t")).drop("t")
+    for turn in range(2):
+        due, marks = newer_rows(rows, "k", table.marks())
+        assert marks.count() == (0 if turn else 2)
+        if not turn:
+            table.replace(due, marks=marks)
+    late = rows.where("v = 3").withColumns({"_time": F.timestamp_seconds(F.lit(4)), "v": F.lit(7)})
+    assert newer_rows(late, "k", table.marks())[1].isEmpty()
+    table.upsert(spark.createDataFrame([(3, "x")], "v int, w string").select("v"), ["v"])
+    assert _rows(table.read(), ) == [("a", 2), ("b", 3)] and table.marks().count() == 2
+
+
+def test_a_dropped_origin_takes_one_file_at_a_time(spark, tmp_path):
+    source, out = tmp_path / "in", str(tmp_path / "out")
+    for i, age in enumerate((50, 90, 10)):
+        spark.createDataFrame([("a", i)], "k string, v int").coalesce(1).write.parquet(str(source / str(i)))
+        for f in (source / str(i)).glob("*.parquet"):
+            os.utime(f, (time.time() - age * 86_400,) * 2)
+    land_and_wait(spark, str(source), out, "k", lambda b: b.select("k", "v"), schema="k string, v int", recursiveFileLookup="true")
+    assert _rows(History(spark, out, "k").read()) == [("a", 2)]
+    with pytest.raises(ValueError):
+        land_and_wait(spark, str(source), out, "k", lambda b: b.select("k", "v"), schema="k string, v int", files_per_batch=2)
 
 
 def test_csv_names_line_breaks_and_long_rows(spark, tmp_path):
