@@ -100,24 +100,24 @@ def _split_at(df: DataFrame, cut: DataFrame, gone: Column) -> tuple[DataFrame, D
 # ------------------------------------------------------------------- total rows
 
 
-def _file_totals(df: DataFrame, sums: Mapping[str, Column], flag: Column) -> DataFrame:
+def _file_totals(df: DataFrame, sums: Mapping[str, Column], flag: Column, last: Column | None = None) -> DataFrame:
     """Per file: row count, last row's key, amounts and ``flag``, and the sums of everything before it.
 
+    With ``last``, the number of each file's last row, all of it is one aggregate.
+
     Sums and the last key are one hash aggregate; the last row's own values are
     looked up afterwards, because carrying them through the aggregate would make
     Spark sort every row.
     """
-    stats = settle(
-        df.groupBy(FILE).agg(
-            F.count("*").alias("_rows"),
-            F.max(ROW).alias("_last"),
-            *[F.coalesce(F.sum(v), F.lit(0.0)).alias(f"_s_{c}") for c, v in sums.items()],
-        ),
-        "totals",
-    )
+    whole = [F.count("*").alias("_rows"), F.max(ROW).alias("_last"), *[F.coalesce(F.sum(v), F.lit(0.0)).alias(f"_s_{c}") for c, v in sums.items()]]
+    body = {f"_p_{c}": F.col(f"_s_{c}") - F.coalesce(F.col(f"_v_{c}"), F.lit(0.0)) for c in sums}
+    if last is not None:
+        ends = [F.max(F.when(F.col(ROW) == last, v)).alias(n) for n, v in {"_flag": flag, **{f"_v_{c}": v for c, v in sums.items()}}.items()]
+        found = settle(df.groupBy(FILE).agg(*whole, *ends), "totals")
+        return found.withColumns(body) if body else found
+    stats = settle(df.groupBy(FILE).agg(*whole), "totals")
     own = df.select(FILE, ROW, flag.alias("_flag"), *[v.alias(f"_v_{c}") for c, v in sums.items()])
     ends = own.join(stats, FILE).where(F.col(ROW) == F.col("_last")).drop(ROW)
-    body = {f"_p_{c}": F.col(f"_s_{c}") - F.coalesce(F.col(f"_v_{c}"), F.lit(0.0)) for c in sums}
     return ends.withColumns(body) if body else ends
 
 
@@ -127,6 +127,7 @@ def split_total(
     *,
     exclude: Iterable[str] = (),
     ratio: Column | None = None,
+    last: Column | None = None,
     threshold: float = 0.8,
     atol: float = 0.5,
     rtol: float = 5e-4,
@@ -135,19 +136,20 @@ def split_total(
 
     ``decimals`` maps the money columns to the digits compared; ``ratio`` is the
     nullish share of the rest (by default of all other columns but ``exclude``).
-    A money column the frame lacks keeps the row, as does a file of one row.
+    A money column the frame lacks keeps the row, as does a file of one row.  ``last``,
+    where it is known, is the number of each file's last row and spares a pass.
     """
     if not set(decimals) <= set(df.columns):
         return df, df.limit(0)
     money = {c: to_number(F.col(c)) for c in decimals}
     if ratio is None:
         ratio = nullish_ratio(_data_columns(df, (*decimals, *exclude)), STRICT_NULL_WORDS)
-    totals = _file_totals(df, money, ratio >= threshold)
+    totals = _file_totals(df, money, ratio >= threshold, last)
     flag = (F.col("_rows") >= 2) & F.col("_flag")
     for c, digits in decimals.items():
-        last, body = F.col(f"_v_{c}"), F.col(f"_p_{c}")
-        same = round_half_even(last, digits) == round_half_even(body, digits)
-        near = F.abs(last - body) <= F.lit(atol) + F.lit(rtol) * F.abs(body)
+        end, body = F.col(f"_v_{c}"), F.col(f"_p_{c}")
+        same = round_half_even(end, digits) == round_half_even(body, digits)
+        near = F.abs(end - body) <= F.lit(atol) + F.lit(rtol) * F.abs(body)
         flag = flag & F.coalesce(same | near, F.lit(False))
     cut = totals.where(flag).select(FILE, "_last")
     return _split_at(df, cut, F.col(ROW) == F.col("_last"))
@@ -158,6 +160,7 @@ def split_footer(
     numeric: Mapping[str, Column] | Sequence[str] = (),
     *,
     spoken: Column | None = None,
+    last: Column | None = None,
     tolerance: float = 1e-6,
 ) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Drop each file's last row when a cell reads total/suma, or every numeric column sums the body.
@@ -171,12 +174,12 @@ def split_footer(
         for c in _data_columns(df, ()):
             word = F.lower(strip(F.col(c).cast("string"))).rlike("|".join(FOOTER_WORDS))
             spoken = spoken | F.coalesce(word, F.lit(False))
-    totals = _file_totals(df, sums, spoken)
+    totals = _file_totals(df, sums, spoken, last)
     summed = F.col("_rows") >= 2 if sums else F.lit(False)
     for c in sums:
-        last, body = F.col(f"_v_{c}"), F.col(f"_p_{c}")
-        slack = F.greatest(F.lit(tolerance), F.lit(tolerance) * F.greatest(F.abs(last), F.abs(body)))
-        summed = summed & F.coalesce(F.abs(last - body) <= slack, F.lit(False))
+        end, body = F.col(f"_v_{c}"), F.col(f"_p_{c}")
+        slack = F.greatest(F.lit(tolerance), F.lit(tolerance) * F.greatest(F.abs(end), F.abs(body)))
+        summed = summed & F.coalesce(F.abs(end - body) <= slack, F.lit(False))
     reason = F.when(F.col("_flag"), "keyword_match").when(summed, "numeric_sum_match")
     audit = settle(totals.select(FILE, "_last", reason.alias("_reason")), "footers")
     kept, removed = _split_at(df, audit.where(F.col("_reason").isNotNull()), F.col(ROW) == F.col("_last"))

@@ -1,8 +1,8 @@
 """A source's scanned rows to its load frame: map, clean, name, type.
 
-``scan`` -> ``canonical`` -> ``typed`` is one lazy plan per source; files are
-never looped over.  Every file resolves its own header, so layouts may differ
-between the files of one load.
+The scan is written once, with facts of its files; everything behind it is one
+lazy plan per source.  Files are never looped over.  Every file resolves its own
+header, so layouts may differ between the files of one load.
 """
 
 from __future__ import annotations
@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from rosterflow.functions.identity import has_valid_shape
 from rosterflow.functions.numbers import to_whole
 from rosterflow.functions.text import clean_cell
-from rosterflow.operators import headers, rows
+from rosterflow.operators import facts, headers, rows
 from rosterflow.operators.quality import null_report, suspects
 from rosterflow.operators.relational import join_dimension, unmapped_counts
 from rosterflow.session import settle
@@ -68,41 +68,53 @@ def _per_file(contract: Contract) -> dict[str, Column]:
     return columns
 
 
-def prepare_cells(scanned: DataFrame, contract: Contract) -> DataFrame:
-    """Workbook rows cut to the contract's columns, with what the cleaning rules ask of a whole row."""
-    cells = F.slice("cells", 1, contract.columns) if contract.columns else F.col("cells")
-    rows_of = scanned.select("_file", "_row", cells.alias("cells"))
-    if contract.drop_leading or contract.drop_trailing == "raw" or contract.total_decimals or contract.footer:
-        rows_of = rows_of.withColumn("_filled", rows.filled_cells(F.col("cells")))
-    if contract.footer:
-        rows_of = rows_of.withColumn("_spoken", rows.has_footer_word(F.col("cells")))
-    return rows_of
-
+def extract_cells(told: DataFrame, contract: Contract) -> tuple[DataFrame, dict[str, DataFrame]]:
+    """Settled rows with the facts of their files to named text columns, one per contract field.
 
-def extract_cells(scanned: DataFrame, contract: Contract) -> tuple[DataFrame, dict[str, DataFrame]]:
-    """Prepared workbook rows to named text columns, one per contract field."""
+    What a rule needs of a file (header, positions, last row that stays) is on one
+    row per file, settled, and joined at its true size.
+    """
     removed: dict[str, DataFrame] = {}
-    if contract.drop_leading:
-        # Short arrays end in blanks: a file's width is that of its longest row.
-        width = scanned.groupBy("_file").agg(F.max(F.size("cells")).alias("_w"))
-        wide = scanned.join(settle(width, "widths"), "_file")
-        kept, gone = rows.split_leading(wide, rows.width_ratio(F.col("_filled"), F.col("_w")))
-        scanned, removed["leading"] = kept.drop("_w"), gone.drop("_w")
-    header = headers.header_table(scanned, promoted=contract.promoted_header)
     positions = {f.name: p for f in contract.fields if (p := _field_position(f)) is not None}
     money = {f"_money_{c}": headers.position(F.col("names"), c) for c in contract.total_decimals}
     per_file = _per_file(contract)
-    helpers = {n: F.col(n) for n in ("_width", "_filled", "_spoken") if n == "_width" or n in scanned.columns}
-    # A missing column stays null; a blank cell of a present column becomes "".
-    present = {f"_has_{n}": F.col(f"_at_{n}").isNotNull() for n in positions}
-    named = headers.named_rows(
-        scanned, header, {**positions, **money}, per_file=per_file, per_row={**helpers, **present}
+    files = facts.file_facts(told, drop_leading=contract.drop_leading, promoted=contract.promoted_header)
+    files = files.select(
+        "_file", "_header_row", "_width", "_end", "_end_filled", "_lead", "_shapes",
+        *[c.alias(n) for n, c in per_file.items()], *[p.alias(f"_at_{n}") for n, p in {**positions, **money}.items()],
     )
-    texts = {n: F.when(F.col(f"_has_{n}"), clean_cell(F.col(n))) for n in positions}
+    if contract.drop_trailing:
+        if contract.drop_trailing == "raw":
+            ratio_of = lambda shape: rows.width_ratio(facts.filled_count(shape), F.col("_width"))
+        else:
+            counted = [f.name for f in contract.fields if f.name in positions and f.name not in contract.money and f.name != contract.key]
+            ratio_of = facts.share_of([F.col(f"_at_{n}") for n in counted])
+        files = files.withColumn("_last_kept", facts.last_row(ratio_of))
+    files = settle(files.drop("_shapes"), "files")
+    placed = facts.rows_of(told).join(files, "_file")
+    if contract.drop_leading:
+        removed["leading"] = placed.where(F.array_contains("_lead", F.col("_row"))).select("_file", "_row", "cells")
+    below = placed.where(F.col("_row") > F.col("_header_row"))
+    # A missing column stays null; a blank cell of a present column becomes "".
+    at = {n: F.col(f"_at_{n}") for n in positions}
+    texts = {n: F.when(a.isNotNull(), clean_cell(headers.cell(F.col("cells"), a))) for n, a in at.items()}
     for n in contract.extra:
         texts[next(f.name for f in contract.fields if n in f.synonyms)] = F.col(f"_path_{n}")
-    kept = ["_file", "_row", *helpers, *[n for n in per_file if n == "_name"], *money]
-    return named.select(*kept, *[c.alias(n) for n, c in texts.items()]), removed
+    helpers = {}
+    if contract.total_decimals:
+        helpers = {"_filled": facts.filled_count(F.col("_shape")), "_width": F.col("_width"), "_end": F.col("_end")}
+        helpers |= {m: headers.cell(F.col("cells"), F.col(f"_at_{m}")) for m in money}
+    if contract.footer:
+        helpers |= {"_filled": facts.filled_count(F.col("_shape")), "_spoken": F.col("_spoken"), "_end_filled": F.col("_end_filled")}
+    if contract.drop_trailing:
+        helpers["_trailing"] = F.col("_last_kept").isNull() | (F.col("_row") > F.col("_last_kept"))
+    named = below.select(
+        "_file", "_row", *[n for n in per_file if n == "_name"], *[c.alias(n) for n, c in {**helpers, **texts}.items()]
+    )
+    if contract.drop_trailing:
+        removed["trailing"] = named.where("_trailing").drop("_trailing")
+        named = named.where("not _trailing").drop("_trailing")
+    return named, removed
 
 
 def extract_named(scanned: DataFrame, contract: Contract) -> DataFrame:
@@ -127,18 +139,13 @@ def _clean(df: DataFrame, contract: Contract, removed: dict[str, DataFrame]) ->
         full = sum(((~rows.is_nullish(F.col(m), rows.STRICT_NULL_WORDS)).cast("int") for m in money), F.lit(0))
         ratio = rows.width_ratio(F.col("_filled") - full, F.col("_width") - len(money))
         digits = {f"_money_{c}": d for c, d in contract.total_decimals.items()}
-        df, removed["total"] = rows.split_total(df, digits, ratio=ratio)
+        df, removed["total"] = rows.split_total(df, digits, ratio=ratio, last=F.col("_end"))
     if contract.footer:
         numeric = [f.name for f in contract.fields if f.convert == WHOLE or f.name in _AMOUNTS]
         df, removed["footer"], audit = rows.split_footer(
             df.where(F.col("_filled") > 0), {n: rows.to_number(F.col(n)) for n in numeric if n in own},
-            spoken=F.col("_spoken"),
+            spoken=F.col("_spoken"), last=F.col("_end_filled"),
         )
-    if contract.drop_trailing == "canonical":
-        counted = [c for c in own if c not in contract.money and c != contract.key]
-        df, removed["trailing"] = rows.split_trailing(df, rows.nullish_ratio(counted))
-    elif contract.drop_trailing == "raw":
-        df, removed["trailing"] = rows.split_trailing(df, rows.width_ratio(F.col("_filled"), F.col("_width")))
     return df, audit
 
 
@@ -172,26 +179,22 @@ def _named(df: DataFrame, contract: Contract) -> DataFrame:
     return df
 
 
-def load_roster(
-    scanned: DataFrame, contract: Contract, *, strict: bool = True, settled: bool = False
-) -> RosterLoad:
+def load_roster(scanned: DataFrame, contract: Contract, *, strict: bool = True) -> RosterLoad:
     """Scanned rows to the contract's load columns.
 
     ``scanned`` has ``_file``, ``_row`` and either ``cells`` (workbooks) or named
-    columns (CSV).  The header, the cleaning rules and the load each pass over
-    it, so it is written once (files parsed once) unless it is ``settled``
-    already.  ``strict`` stops the job at an identifier with a fraction; otherwise
-    it becomes null.
+    columns (CSV).  It is written once (files parsed once), with the facts of each
+    file beside its rows; one small row per file is made of these, and the typed
+    rows are then a lazy plan over both.  Only a total or a footer needs another
+    pass, for its sums.  ``strict`` stops the job at an identifier with a fraction;
+    otherwise it becomes null.
     """
     removed: dict[str, DataFrame] = {}
     if "cells" in scanned.columns:
-        scanned = prepare_cells(scanned, contract)
-    if not settled:
-        scanned = settle(scanned, "scanned")
-    if "cells" in scanned.columns:
-        df, removed = extract_cells(scanned, contract)
+        words = rows.FOOTER_WORDS if contract.footer else ()
+        df, removed = extract_cells(settle(facts.told_rows(scanned, contract.columns, words), "scanned"), contract)
     else:
-        df = extract_named(scanned, contract)
+        df = extract_named(settle(scanned, "scanned"), contract)
     df, audit = _clean(df, contract, removed)
     return RosterLoad(contract, _typed(_named(df, contract), contract, strict), removed, audit)
 
