@@ -125,13 +125,17 @@ def policy_from_name(name: Column) -> Column:
 
 
 def trailing_period(name: Column) -> Column:
-    """The six characters before the last dot."""
-    return _found(F.regexp_extract(name, r"(.{6})\.[^.]*$", 1))
+    """The six characters before the last dot; null where there are fewer, or no dot."""
+    before = F.length(name) - F.length(F.substring_index(name, ".", -1)) - 1
+    return F.when(before >= 6, F.substring(name, before - 5, F.lit(6)))
 
 
 def valid_period(text: Column) -> Column:
     """A period as an integer; null unless it reads 20YYMM with a real month."""
-    return F.when(text.cast("string").rlike("^20\\d{2}(0[1-9]|1[0-2])$"), text.cast("string")).cast("int")
+    text = text.cast("string")
+    # Six characters that make so large a number are six digits: no pattern is needed.
+    number = F.when(F.length(text) == 6, text.try_cast("int"))
+    return F.when(number.between(200001, 209912) & (number % 100).between(1, 12), number)
 
 
 def prior_period(period: Column) -> Column:

@@ -135,7 +135,7 @@ def bind(value: Column, use: Callable[[Column], Column]) -> Column:
 def match_form(c: Column) -> Column:
     """Upper case without accents, one character for one, for pattern matching in short names."""
     source, target, *_ = _fold_tables()
-    return F.upper(F.translate(c, source, target))
+    return F.upper(F.when(is_ascii(c), c).otherwise(F.translate(c, source, target)))
 
 
 def normalize_name(c: Column) -> Column:

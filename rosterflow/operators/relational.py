@@ -54,20 +54,19 @@ def skew_left_join(
     right: DataFrame,
     keys: Sequence[str],
     *,
-    share: int = HOT_SHARE,
-    min_rows: int = HOT_ROWS,
+    hot: Sequence[Mapping[str, object]] = (),
     salts: int = SALTS,
 ) -> DataFrame:
-    """Left join whose *right* side may hold hot keys.
+    """Left join whose *right* side may hold the hot keys that the caller names (see :func:`heavy_keys`).
 
     The adaptive planner can split only the left side of a left join.  Here the
     rows of a hot right key are spread over ``salts`` sub-keys by the partition
     they are read in, and the few left rows of that key are repeated once per
-    sub-key.  A hot key is known to match, so its unmatched sub-keys are dropped
-    and the result is exactly the left join.  Without hot keys the plan is the
-    plain join.
+    sub-key.  A hot key must occur on the right: it is known to match, so its
+    unmatched sub-keys are dropped and the result is exactly the left join.
+    Without hot keys it is the plain join.
     """
-    hot = [row.asDict() for row in heavy_keys(right, keys, share=share, min_rows=min_rows).collect()]
+    hot = list(hot)
     if not hot:
         return left.join(right, list(keys), "left")
     spark = left.sparkSession

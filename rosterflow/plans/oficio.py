@@ -76,8 +76,11 @@ def rollup(base: DataFrame) -> DataFrame:
     )
 
 
-def report(rolled: DataFrame, total: DataFrame, period: ReportPeriod, reporter: Reporter, **skew: int) -> DataFrame:
-    """The rollup with its instalment value, insured amount and vigency flag."""
+def report(rolled: DataFrame, total: DataFrame, period: ReportPeriod, reporter: Reporter, **skew) -> DataFrame:
+    """The rollup with its instalment value, insured amount and vigency flag.
+
+    ``hot`` may name keys with so many premiums that one task should not get them all.
+    """
     keys = ["max_mes_referencia", "NNUMITEM", "NNUMDOCU"]
     premiums = total.select(
         F.col("MES_Recaudacion").cast("int").alias("max_mes_referencia"),
@@ -106,7 +109,7 @@ def report(rolled: DataFrame, total: DataFrame, period: ReportPeriod, reporter:
     )
 
 
-def oficio(monitoring: DataFrame, total: DataFrame, period: ReportPeriod, reporter: Reporter, **skew: int) -> DataFrame:
+def oficio(monitoring: DataFrame, total: DataFrame, period: ReportPeriod, reporter: Reporter, **skew) -> DataFrame:
     """Monitoring and consolidated premiums to the report."""
     return report(rollup(apply_cutoff(report_base(monitoring), period)), total, period, reporter, **skew)
 

@@ -286,6 +286,34 @@ def workbook_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query("""
+SELECT o_orderkey, o_totalprice, 'Base' AS hoja, 'libro ' || (o_orderkey // 2000) || '.XLSX' AS libro
+FROM orders WHERE o_orderkey // 2000 = (SELECT max(o_orderkey // 2000) FROM orders)""")
+def newest_workbook(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Of a folder of workbooks with two sheets, the newest one's preferred sheet; a newer file of another kind does not count."""
+    from rosterflow.queries.xlsx import pack_workbooks, write_files
+
+    folder, number = fresh_path(spark, "books"), F.floor(F.col("o_orderkey") / 2000)
+    orders = table(spark, sf_dir, "orders").select(
+        number.alias("n"), "o_orderkey", "o_totalprice", F.date_format("o_orderdate", "yyyy-MM-dd").alias("day"), F.col("o_orderpriority").alias("prioridad")
+    )
+    last = orders.agg(F.max("n")).first()[0]
+    named = orders.withColumn("path", F.concat(F.lit(f"{folder}/libro "), "n", F.lit(".XLSX")))
+    other = orders.where(F.col("n") == 0).withColumn("path", F.lit(f"{folder}/libro {last + 1}.bak"))
+    # Written in any order: their times follow their numbers.
+    write_files(pack_workbooks(named.unionByName(other).drop("n"))).write.format("noop").mode("overwrite").save()
+    fs, place = history._filesystem(spark, folder)
+    for status in fs.listStatus(place):
+        n = int(status.getPath().getName().split(" ")[1].split(".")[0])
+        fs.setTimes(status.getPath(), (1_700_000_000 + n) * 1000, -1)
+    newest = workbook.read_latest_workbook(spark, folder, ("xlsx",), preferred=["otra", " BASE "]).where("_row > 0")
+    cell = lambda i: F.get("cells", F.lit(i))
+    return newest.select(
+        cell(0).cast("bigint").alias("o_orderkey"), cell(1).cast("double").alias("o_totalprice"), F.col("_sheet").alias("hoja"),
+        F.element_at(F.split("_file", "/"), -1).alias("libro"),
+    )
+
+
 @query(f"""
 SELECT n_name, count(*) AS clientes, {cents_sql("sum(c_acctbal)")} AS saldo
 FROM customer JOIN nation ON c_nationkey = n_nationkey GROUP BY n_name""")

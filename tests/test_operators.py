@@ -94,7 +94,7 @@ def test_skewed_left_join_is_the_left_join(spark):
     hot = [r["k"] for r in relational.heavy_keys(right, ["k"], share=4, min_rows=0).collect()]
     assert hot == [1]
     plain = left.join(right, ["k"], "left")
-    salted = relational.skew_left_join(left, right, ["k"], share=4, min_rows=0, salts=4)
+    salted = relational.skew_left_join(left, right, ["k"], hot=[{"k": k} for k in hot], salts=4)
     assert salted.columns == plain.columns
     assert sorted(map(tuple, salted.collect()), key=repr) == sorted(map(tuple, plain.collect()), key=repr)
 
