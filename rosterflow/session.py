@@ -1,17 +1,19 @@
 """Session defaults and the shared scratch area.
 
 Everything that must outlive an executor goes to the folder named by
-``spark.checkpoint.dir``, or without that setting below the warehouse folder,
-which a cluster shares as well.
+``spark.checkpoint.dir``; without that setting it goes below the warehouse folder
+where that is shared, or where there is one machine only.
 """
 
 from __future__ import annotations
 
 import atexit
+import threading
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager, suppress
 
+from pyspark import SparkContext
 from pyspark.sql import DataFrame, SparkSession
 
 # Only what differs from Spark's own defaults.
@@ -28,8 +30,11 @@ DEFAULTS = {
 
 _CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
-# Owners of settled paths, innermost last.  The first one is the application.
-_owners: list[list[str]] = [[]]
+# Settled paths with what deletes them: those of open blocks, by thread, and the application's.
+_Settled = tuple[str, object]
+_blocks = threading.local()
+_application: list[_Settled] = []
+_lock = threading.Lock()
 
 
 def build_session(app: str = "rosterflow", master: str | None = None, **conf: str) -> SparkSession:
@@ -49,52 +54,94 @@ def shared_dir(spark: SparkSession) -> str:
     configured = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get(
         "spark.checkpoint.dir"
     )
-    root = (configured or spark.conf.get("spark.sql.warehouse.dir")).rstrip("/")
+    if not configured:
+        configured = spark.conf.get("spark.sql.warehouse.dir")
+        alone = spark.sparkContext.master.split("[")[0] == "local"
+        if not alone and configured.split(":")[0] in (configured, "file"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all machines of the cluster share")
+    root = configured.rstrip("/")
     # One spelling for every reader: file:/x and file:///x are one place.
     return f"file://{root[5:]}" if root.startswith("file:/") and not root.startswith("file://") else root
 
 
+def _open_blocks() -> list[list[_Settled]]:
+    if not hasattr(_blocks, "stack"):
+        _blocks.stack = []
+    return _blocks.stack
+
+
+def _own(spark: SparkSession, path: str, depth: int = 1) -> None:
+    """Give a path to the ``depth``-th block from the innermost one of this thread, or to the application."""
+    # The configuration of the file systems outlives its session, as the JVM does.
+    settled = path, spark.sparkContext._jsc.hadoopConfiguration()
+    stack = _open_blocks()
+    if len(stack) >= depth:
+        stack[-depth].append(settled)
+        return
+    with _lock:
+        _application.append(settled)
+    _delete_on_stop(spark.sparkContext)
+
+
 def fresh_path(spark: SparkSession, label: str, owned: bool = True) -> str:
     """A path below the shared area that nothing has used yet; the current owner deletes it unless ``owned`` is false."""
     path = f"{shared_dir(spark)}/rosterflow/{label}-{uuid.uuid4().hex}"
     if owned:
-        _owners[-1].append(path)
+        _own(spark, path)
     return path
 
 
 def delete_path(spark: SparkSession, path: str) -> None:
-    jvm = spark.sparkContext._jvm
-    place = jvm.org.apache.hadoop.fs.Path(path)
-    place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(place, True)
+    _delete(path, spark.sparkContext._jsc.hadoopConfiguration())
 
 
-def _release(paths: list[str]) -> None:
-    spark = SparkSession.getActiveSession()
-    if spark is None:
-        return
-    while paths:
+def _delete(path: str, conf) -> None:
+    place = SparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(conf).delete(place, True)
+
+
+def _release(settled: list[_Settled]) -> None:
+    while settled:
         with suppress(Exception):
-            delete_path(spark, paths.pop())
+            _delete(*settled.pop())
+
+
+def _delete_on_stop(context: SparkContext) -> None:
+    """The application's paths go when its context stops."""
+    if getattr(context.stop, "deletes_settled", False):
+        return
+    stop = context.stop
+
+    def stop_and_delete() -> None:
+        _end_of_application()
+        stop()
+
+    stop_and_delete.deletes_settled = True
+    context.stop = stop_and_delete
 
 
 @contextmanager
 def scratch() -> Iterator[None]:
-    """Owns what is settled inside the block and deletes it afterwards.
+    """Owns what this thread settles inside the block and deletes it afterwards.
 
     A result that must live on is settled with ``outlives=True``: it belongs to
-    the surrounding block, or to the application, which deletes it at its end.
+    the surrounding block, or to the application, which deletes it when its session
+    stops or the process ends.
     """
-    _owners.append([])
+    stack = _open_blocks()
+    stack.append([])
     try:
         yield
     finally:
-        _release(_owners.pop())
+        _release(stack.pop())
 
 
 @atexit.register
 def _end_of_application() -> None:
-    for paths in _owners:
-        _release(paths)
+    with _lock:
+        settled = _application[:]
+        _application.clear()
+    _release(settled)
 
 
 def settle(df: DataFrame, label: str = "settled", outlives: bool = False) -> DataFrame:
@@ -108,9 +155,8 @@ def settle(df: DataFrame, label: str = "settled", outlives: bool = False) -> Dat
     loss of any executor.  The shuffle files of the write are dropped with it.
     """
     spark = df.sparkSession
-    path = fresh_path(spark, label, owned=not outlives)
-    if outlives:
-        _owners[-2 if len(_owners) > 1 else 0].append(path)
+    path = fresh_path(spark, label, owned=False)
+    _own(spark, path, depth=2 if outlives else 1)
     before = spark.conf.get(_CLEANUP, "false")
     spark.conf.set(_CLEANUP, "true")
     try:
