@@ -7,22 +7,24 @@ header, so layouts may differ between the files of one load.
 
 from __future__ import annotations
 
+import json
 from collections.abc import Mapping
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from rosterflow.functions.identity import has_valid_shape
-from rosterflow.functions.numbers import to_whole
+from rosterflow.functions.numbers import has_fraction, to_whole
 from rosterflow.functions.text import clean_cell
 from rosterflow.operators import facts, headers, rows
 from rosterflow.operators.quality import null_report, suspects
 from rosterflow.operators.relational import join_dimension, unmapped_counts
 from rosterflow.session import settle
 from rosterflow.sinks.versioned import History
-from rosterflow.sources.contracts import WHOLE, Contract, Field
+from rosterflow.sources.contracts import WHOLE, Contract, Field, operation_digits, rounded
 
+_RAW = "_raw_"
 # Amounts that a footer may sum, besides the whole-number columns.
 _AMOUNTS = ("Prima_Ces", "Prima_Bruta_PPI", "Monto_Asegurado")
 
@@ -35,6 +37,8 @@ class RosterLoad:
     rows: DataFrame
     removed: Mapping[str, DataFrame] = field(default_factory=dict)
     audit: DataFrame | None = None
+    # The rows beside the texts they were made of (``_raw_<column>``).
+    sources: DataFrame | None = None
 
     def nulls(self) -> DataFrame:
         """Null counts of the critical columns."""
@@ -153,11 +157,14 @@ def _clean(df: DataFrame, contract: Contract, removed: dict[str, DataFrame]) ->
 
 
 def _typed(df: DataFrame, contract: Contract, strict: bool) -> DataFrame:
+    """The load columns, and the texts of those that are converted to something else than text."""
     columns: dict[str, Column] = {}
     for f in contract.fields:
         if f.derive is not None:
             continue
         raw = F.col(f.name) if f.name in df.columns else F.lit(None).cast("string")
+        if f.name in df.columns and f.convert is not None:
+            columns[f"{_RAW}{f.name}"] = raw
         if f.convert == WHOLE:
             raw = to_whole(raw, "fail" if strict else "null")
         elif f.convert is not None:
@@ -165,7 +172,9 @@ def _typed(df: DataFrame, contract: Contract, strict: bool) -> DataFrame:
         columns[f.name] = raw
     typed = df.select("_file", *[c.alias(n) for n, c in columns.items()])
     derived = {f.name: f.derive() for f in contract.fields if f.derive is not None}
-    return (typed.withColumns(derived) if derived else typed).select(*contract.load_columns)
+    typed = typed.withColumns(derived) if derived else typed
+    converted = [c for c in columns if c.startswith(_RAW) and dict(typed.dtypes)[c.removeprefix(_RAW)] != "string"]
+    return typed.select(*contract.load_columns, *converted)
 
 
 def _named(df: DataFrame, contract: Contract) -> DataFrame:
@@ -196,7 +205,8 @@ def load_roster(scanned: DataFrame, contract: Contract, *, strict: bool = True)
     else:
         df = extract_named(settle(scanned, "scanned"), contract)
     df, audit = _clean(df, contract, removed)
-    return RosterLoad(contract, _typed(_named(df, contract), contract, strict), removed, audit)
+    sources = _typed(_named(df, contract), contract, strict)
+    return RosterLoad(contract, sources.select(*contract.load_columns), removed, audit, sources)
 
 
 def load_into_history(load: RosterLoad, path: str) -> DataFrame:
@@ -206,3 +216,60 @@ def load_into_history(load: RosterLoad, path: str) -> DataFrame:
     the table's manifests (see :mod:`rosterflow.sinks.versioned`).
     """
     return History(load.rows.sparkSession, path, load.contract.key).replace(load.rows)
+
+
+# ------------------------------------------------------------------------ audit
+
+# What a load's audit counts.
+UNREAD, FRACTION, CHANGED, NULL = "sin_convertir", "con_decimales", "cambiado", "nulo"
+EXAMPLES = 5
+
+
+def _facts_counted(load: RosterLoad) -> dict[tuple[str, str], tuple[Column, Column | None]]:
+    """Per column and fact: which rows have it, and the text they show for it."""
+    counted: dict[tuple[str, str], tuple[Column, Column | None]] = {}
+    known = {f.name: f for f in load.contract.fields}
+    for column in load.sources.columns:
+        if not column.startswith(_RAW):
+            continue
+        name, raw = column.removeprefix(_RAW), F.col(column)
+        convert = known[name].convert
+        counted[name, UNREAD] = ~rows.is_nullish(raw) & F.col(name).isNull(), raw
+        if convert in (WHOLE, rounded):
+            counted[name, FRACTION] = has_fraction(raw), raw
+        if convert is operation_digits:
+            counted[name, CHANGED] = F.coalesce(raw != F.col(name).cast("string"), F.lit(False)), raw
+    for name in load.contract.critical:
+        if name in load.rows.columns:
+            counted[name, NULL] = F.col(name).isNull(), None
+    return counted
+
+
+def load_with_audit(load: RosterLoad, path: str) -> tuple[DataFrame, DataFrame]:
+    """:func:`load_into_history` and what the load's own write has seen: ``(summary, audit)``.
+
+    The audit has a row per column and fact with ``filas`` and ``ejemplos``, the texts
+    that have it most often: values that no conversion could read (failed dates among
+    them), values with a fraction that is rounded away, operation numbers changed to
+    their digits, and nulls of the critical columns.  Counts and examples (a sketch of
+    bounded size) are observed while the rows are written: no other job is run for
+    them.  Should the cluster compute some rows twice, they are counted twice.
+    """
+    spark = load.rows.sparkSession
+    counted, seen = _facts_counted(load), Observation()
+    metrics = [F.count("*").alias("rows")]
+    flags = {f"_has_{i}": which for i, (which, _) in enumerate(counted.values())}
+    for i, (_, text) in enumerate(counted.values()):
+        has = F.col(f"_has_{i}")
+        metrics.append(F.count_if(has).alias(f"n{i}"))
+        if text is not None:
+            # Rows without the fact are one item of the sketch: null.
+            top = F.call_function("approx_top_k", F.when(has, text), F.lit(EXAMPLES + 1), F.lit(64 * (EXAMPLES + 1)))
+            metrics.append(F.to_json(top).alias(f"e{i}"))
+    observed = load.sources.withColumns(flags).observe(seen, *metrics).select(*load.rows.columns)
+    summary = History(spark, path, load.contract.key).replace(observed)
+    told, found = seen.get, []
+    for i, (name, fact) in enumerate(counted):
+        examples = [e["item"] for e in json.loads(told.get(f"e{i}") or "[]") if e.get("item") is not None]
+        found.append((name, fact, told[f"n{i}"], examples[:EXAMPLES]))
+    return summary, spark.createDataFrame(found, "columna string, hecho string, filas long, ejemplos array<string>")

@@ -12,12 +12,13 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 from dataclasses import dataclass, field, replace
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rosterflow.operators.relational import map_lookup
-from rosterflow.plans.roster import RosterLoad, load_into_history, load_roster
+from rosterflow.plans.roster import RosterLoad, load_into_history, load_roster, load_with_audit
 from rosterflow.queries.registry import cents, cents_sql, query, table
 from rosterflow.queries.xlsx import cells_to_workbooks, write_files
 from rosterflow.session import fresh_path
@@ -343,3 +344,30 @@ def roster_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     load = RosterLoad(CONTRACTS["colmena"], rows)
     wrong = load.suspects("RUT").select(F.lit("rut").alias("tabla"), F.col("valor").alias("clave"), "filas")
     return wrong.unionByName(load.unmapped("ID", "Poliza").select(F.lit("producto").alias("tabla"), F.col("ID").cast("string").alias("clave"), "filas"))
+
+
+@query(f"""WITH {_VIEW_SQL}, f AS (
+  SELECT 'itau_fraud' AS fuente, 'Fecha_Nacimiento' AS columna, 'sin_convertir' AS hecho, s = 'P' AS tiene, '99999' AS texto FROM o
+  UNION ALL SELECT 'itau_fraud', 'Monto', 'con_decimales', true, NULL FROM o
+  UNION ALL SELECT 'itau_fraud', 'Prima_NETA_UF', 'nulo', true, NULL FROM o
+  UNION ALL SELECT 'concreces', 'Operacion2', 'cambiado', true, NULL FROM o
+  UNION ALL SELECT 'concreces', 'Fecha_Escritura', 'sin_convertir', true, 'sin' FROM o
+  UNION ALL SELECT 'concreces', 'Plan_Tecnico', 'sin_convertir', s = 'P', '1' FROM o
+  UNION ALL SELECT 'unidad_leasing', 'Fecha_Vcmto', 'sin_convertir', true, '1700-01-01' FROM o
+  UNION ALL SELECT 'unidad_leasing', 'Operacion2', 'cambiado', true, NULL FROM o
+  UNION ALL SELECT 'unidad_leasing', 'Oper_Unidad2', 'cambiado', true, NULL FROM o)
+SELECT fuente, columna, hecho, count(*) AS filas, CASE WHEN any_value(texto) IS NULL THEN '' ELSE any_value(texto) END AS ejemplo,
+  (SELECT count(*) FROM o) AS en_historia
+FROM f WHERE tiene GROUP BY ALL""")
+def load_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the loads of three sources tell while they are written: unread dates, rounded fractions, changed operation numbers, nulls."""
+    found = []
+    for case in CASES:
+        if case.source not in ("itau_fraud", "concreces", "unidad_leasing"):
+            continue
+        load, path = load_roster(case.scanned(spark, sf_dir), CONTRACTS[case.source]), fresh_path(spark, "audited")
+        summary, audit = load_with_audit(load, path)
+        loaded = summary.agg(F.sum("filas").alias("en_historia"))
+        one = F.when((F.size("ejemplos") == 1) & (F.col("hecho") == "sin_convertir"), F.get("ejemplos", F.lit(0))).otherwise("")
+        found.append(audit.where("filas > 0").select(F.lit(case.source).alias("fuente"), "columna", "hecho", "filas", one.alias("ejemplo")).join(F.broadcast(loaded)))
+    return reduce(DataFrame.unionByName, found)

@@ -69,6 +69,11 @@ def number(c: Column) -> Column:
     return numbers.to_number(c)
 
 
+def operation_digits(c: Column) -> Column:
+    """The digits of an operation number; what else it holds is left out."""
+    return identity.digits_only(c).try_cast("bigint")
+
+
 def rounded(c: Column) -> Column:
     return numbers.to_whole(c, "round")
 
@@ -358,7 +363,7 @@ CONCRECES = Contract(
         _f("Plan_Tecnico", "poliza póliza n_poliza npoliza", _code(POLICY_PLANS)),
         Field("NOMBRE_ARCHIVO", convert=text(255)),
         _from("MES_RECAUDACION", _period_of_key()),
-        _f("Operacion2", "nro_operacion " + _OPERATION + " foliocredito", lambda c: rounded(identity.digits_only(c))),
+        _f("Operacion2", "nro_operacion " + _OPERATION + " foliocredito", operation_digits),
     ),
     canonical=_name("concreces"),
     critical=("Operacion", "RUT", "Poliza", "NOMBRE_ARCHIVO"),
@@ -390,8 +395,8 @@ UNIDAD_LEASING = Contract(
         _f("Prima_Bruta_PPI", "seg_ces", number),
         _f("Monto_Asegurado", "tot_cupon_c_seg", number),
         Field("NOMBRE_ARCHIVO", convert=text(50)),
-        _f("Operacion2", "operacion", lambda c: identity.digits_only(c).try_cast("bigint")),
-        _f("Oper_Unidad2", "oper_unidad operacion_unidad operacionunidad", lambda c: identity.digits_only(c).try_cast("bigint")),
+        _f("Operacion2", "operacion", operation_digits),
+        _f("Oper_Unidad2", "oper_unidad operacion_unidad operacionunidad", operation_digits),
         _from("MES_RECAUDACION", _period_of_key()),
     ),
     footer=True,

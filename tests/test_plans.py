@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from rosterflow.plans import monitoring as mon
 from rosterflow.plans import oficio as rep
 from rosterflow.plans.consolidation import BROKERS, consolidate, final_table
-from rosterflow.plans.roster import load_into_history, load_roster
+from rosterflow.plans.roster import load_into_history, load_roster, load_with_audit
 from rosterflow.queries import fixtures as fx
 from rosterflow.sinks.versioned import History
 from rosterflow.sources.contracts import CONTRACTS
@@ -125,3 +125,14 @@ def test_contract_columns_differ_in_more_than_case():
     for contract in CONTRACTS.values():
         lowered = [c.lower() for c in contract.load_columns]
         assert len(set(lowered)) == len(lowered), contract.name
+
+
+def test_an_audit_is_observed_by_the_load_itself(spark, tmp_path):
+    sheet = _sheet(spark, ["Operación", "Rut Deudor", "Prima Ces", "Fecha Ctto"], ["OP-7", "1", "5", "2025-01-05"], ["8", "2", "6", "nunca"], ["OP-9", None, "7", "nunca"])
+    load = load_roster(sheet, CONTRACTS["unidad_leasing"])
+    summary, audit = load_with_audit(load, str(tmp_path / "h"))
+    assert summary.first()["filas"] == 3
+    told = {(r["columna"], r["hecho"]): (r["filas"], r["ejemplos"]) for r in audit.collect() if r["filas"]}
+    assert told["Operacion2", "cambiado"][0] == 2 and set(told["Operacion2", "cambiado"][1]) == {"OP-7", "OP-9"}
+    assert told["Fecha_Ctto", "sin_convertir"] == (2, ["nunca"]) and told["RUT", "nulo"] == (1, [])
+    assert History(spark, str(tmp_path / "h"), "NOMBRE_ARCHIVO").read().count() == 3
