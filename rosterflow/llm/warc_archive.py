@@ -25,6 +25,7 @@ from pyspark.sql import functions as F
 
 from rosterflow.llm.common import register, table
 from rosterflow.session import fresh_path, scratch, settle
+from rosterflow.sinks.history import path_exists
 
 # Fixed values of the formats.
 SKIPPABLE_DICTIONARY = 0x184D2A5D
@@ -157,9 +158,14 @@ def write_archives(
     Repeated rows are written each; rows that repeat the smallest key of a payload
     are responses all.  A null key is never the smallest one unless all are null.
     A task holds one archive at a time; a file gets its final name only when
-    complete, so a repeated task replaces it.
+    complete, so a repeated task replaces it.  Without rows nothing is written.  A
+    payload of any length is one record, held whole by a task (Arrow's limit of 2 GB
+    a value holds).  Files go through Arrow's own file systems, which need their own
+    credentials for a remote store.  Other columns play no part.
     """
-    kind = pages.schema[key].dataType.simpleString()
+    kind = pages.schema[key].dataType
+    # Only these three play a part: other columns may have any names.
+    pages = pages.select(F.col(key).alias("key"), F.col(url).alias("url"), F.col(payload).alias("payload"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyarrow import fs
@@ -183,7 +189,7 @@ def write_archives(
                     pa.array([name] * len(held)), pa.array([p[0] for p in places], pa.int64()),
                     pa.array([p[1] for p in places], pa.int64()), pa.array([k for k, _ in held], pa.from_numpy_dtype("int64")),
                 ],
-                ["archive", "offset", "length", key],
+                ["archive", "offset", "length", "key"],
             )
             held.clear()
             return rows
@@ -200,10 +206,11 @@ def write_archives(
         if held:
             yield flush()
 
-    ready = with_first(pages, key, payload, min_revisit_bytes).select(
-        F.col(key).cast("long").alias(key), F.col(url).alias("_url"), "_payload", F.col("_first").cast("long").alias("_first")
+    ready = with_first(pages, "key", "payload", min_revisit_bytes).select(
+        F.col("key").cast("long").alias("key"), "url", "_payload", F.col("_first").cast("long").alias("_first")
     )
-    return ready.mapInArrow(run, f"archive string, offset long, length long, {key} long").withColumn(key, F.col(key).cast(kind))
+    written = ready.mapInArrow(run, "archive string, offset long, length long, key long")
+    return written.select("archive", "offset", "length", F.col("key").cast(kind).alias(key))
 
 
 def read_archives(spark: SparkSession, folder: str, key: str = "page_id", keep_payload: bool = False) -> DataFrame:
@@ -211,9 +218,10 @@ def read_archives(spark: SparkSession, folder: str, key: str = "page_id", keep_p
 
     ``key, payload_bytes, payload_digest, record_type, refers_to`` and, with
     ``keep_payload``, ``url`` and ``payload`` (null for a revisit).  The digest of a
-    response is computed from what was read and must equal the stated one.
+    response is computed from what was read and must equal the stated one.  A folder
+    without archives, or none at all, has no rows.
     """
-    fields = f"{key} long, payload_bytes long, payload_digest string, record_type string, refers_to long"
+    fields = "key long, payload_bytes long, payload_digest string, record_type string, refers_to long"
     if keep_payload:
         fields += ", url string, payload binary"
 
@@ -223,7 +231,7 @@ def read_archives(spark: SparkSession, folder: str, key: str = "page_id", keep_p
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         schema = pa.schema(
-            [(key, pa.int64()), ("payload_bytes", pa.int64()), ("payload_digest", pa.string()), ("record_type", pa.string()),
+            [("key", pa.int64()), ("payload_bytes", pa.int64()), ("payload_digest", pa.string()), ("record_type", pa.string()),
              ("refers_to", pa.int64())] + [("url", pa.string()), ("payload", pa.binary())] * keep_payload
         )
         for batch in batches:
@@ -246,8 +254,10 @@ def read_archives(spark: SparkSession, folder: str, key: str = "page_id", keep_p
                 if rows:
                     yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), schema)], schema=schema)
 
+    if not path_exists(spark, folder):
+        return spark.createDataFrame([], fields).withColumnRenamed("key", key)
     files = spark.read.format("binaryFile").option("pathGlobFilter", "*.warc.zst").load(folder)
-    return files.select("content").mapInArrow(run, fields)
+    return files.select("content").mapInArrow(run, fields).withColumnRenamed("key", key)
 
 
 # Base 32 of 40 hexadecimal digits: eight groups of five bytes are not aligned to digits, 10 digits give 8 letters.

@@ -438,3 +438,20 @@ def test_empty(spark, nothing, run):
 def test_no_pages(spark, tmp_path):
     folder = f"{tmp_path}/warc"
     assert warc_archive.write_archives(pages(spark).limit(0), folder).collect() == []
+    assert warc_archive.read_archives(spark, folder, keep_payload=True).collect() == []
+
+
+def test_warc_query_of_an_empty_table(spark, tmp_path):
+    spark.createDataFrame([], "page_id long, url string, html string").write.parquet(f"{tmp_path}/pages.parquet")
+    assert entry.queries()["op8_warc"](spark, str(tmp_path)).collect() == []
+
+
+def test_warc_repeated_rows_and_other_columns(spark, tmp_path):
+    """Columns named like the operator's own, a key with a space, null keys and rows that repeat."""
+    rows = [(1, "http://a", "x" * 20, 5, b"p"), (1, "http://a", "x" * 20, 5, b"p"), (2, None, "x" * 20, 6, None), (None, "http://b", None, 7, b"")]
+    df = spark.createDataFrame(rows, "`page id` long, url string, html string, _first long, _payload binary")
+    folder = f"{tmp_path}/warc"
+    assert warc_archive.write_archives(df, folder, key="page id").columns == ["archive", "offset", "length", "page id"]
+    warc_archive.write_archives(df, folder, key="page id").collect()
+    got = sorted([(r["page id"] or 0, r["payload_bytes"], r["record_type"], r["refers_to"]) for r in warc_archive.read_archives(spark, folder, key="page id").collect()])
+    assert got == [(0, 0, "response", None), (1, 20, "response", None), (1, 20, "response", None), (2, 20, "revisit", 1)]
