@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from rosterflow.plans.monitoring import ATTRIBUTES, COVERAGE, MONITORING_SCHEMA
 from rosterflow.plans.oficio import Reporter, ReportPeriod
 from rosterflow.queries.registry import table
 
@@ -106,26 +107,29 @@ total AS (
   FROM total_tagged)"""
 
 
+# Policies by size class of a part, the last one not reported.
+ISSUED = (4780715, 4780716, 4780717, 4780718, 4780719, 4659577, 4668266, 5698774, 7561166, 999)
+REPORTED = ISSUED[:-1]
+# What a policy has besides its coverage, by its class j: every attribute another value, some without one.
+POLICY_ATTRIBUTES = {
+    name: f"CASE WHEN j % {3 + i % 5} = {i % 3} THEN NULL ELSE "
+    + (f"j * {i + 3} + {10 * i}" if MONITORING_SCHEMA.get(name, "").startswith("decimal") else f"'{name[:4].lower()}{i} ' || CAST(j AS STRING)") + " END"
+    for i, name in enumerate(ATTRIBUTES) if name not in (*COVERAGE, "NNUMDOCU", "NCORASVS", "PLAN_TECNICO")
+}
+
+
 def emitted(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Issued policies: one row per part, its size class choosing the policy."""
-    policies = (4780715, 4780716, 4780717, 4780718, 4780719, 4659577, 4668266, 5698774, 7561166, 999)
-    numbers = F.array(*[F.lit(p) for p in policies])
+    numbers = F.array(*[F.lit(p) for p in ISSUED])
+    j = F.floor((F.col("p_size") - 1) / 5).cast("int")
     own = {
-        "NNUMDOCU": F.get(numbers, F.floor((F.col("p_size") - 1) / 5).cast("int")),
-        "CCODLNRO": F.lit("11"), "LN": F.lit(7),
-        "CCODCOBE": F.substring("p_type", 1, 5), "CCODRAMO": F.lit("33"),
-        "NCORASVS": F.when(F.col("p_retailprice") > 1000, 31).otherwise(32),
-        "PLAN_TECNICO": F.floor((F.col("p_size") - 1) / 5).cast("int") + 4330,
-        "PARTNER_SUCURSAL": F.lit("Sucursal"), "BU": F.lit("BU"),
+        "NNUMDOCU": F.get(numbers, F.col("j")), "CCODCOBE": F.substring("p_type", 1, 5),
+        "NCORASVS": F.when(F.col("p_retailprice") > 1000, 31).otherwise(32), "PLAN_TECNICO": F.col("j") + 4330,
         "COBERTURA1": F.col("p_type"), "COBERTURA2": F.lower("p_type"),
         "COBERTURA_AGRUP": F.expr("case p_type when 'PROMO' then 'TOTAL' when 'SMALL' then null else p_type end"),
-        "PARTNER_GOL": F.lit("Partner"), "CCOMOORI": F.lit("CLP"), "MCA_VIG": F.lit("S"),
+        **{name: F.expr(value) for name, value in POLICY_ATTRIBUTES.items()},
     }
-    from rosterflow.plans.monitoring import ATTRIBUTES
-
-    return table(spark, sf_dir, "part").select(
-        *[own.get(a, F.lit(None).cast("string")).alias(a) for a in ATTRIBUTES]
-    )
+    return table(spark, sf_dir, "part").withColumn("j", j).select(*[own[a].alias(a) for a in ATTRIBUTES])
 
 
 EMITTED_SQL = """
@@ -175,27 +179,29 @@ fx_daily AS (
     CASE WHEN min(o_totalprice) < 5000 THEN 0.0 ELSE min(o_totalprice) END AS TC_UF
   FROM orders GROUP BY 1)"""
 
-_DETAIL_SELECT = """
-  SELECT '{kind}' AS kind, year(f.PER_ANT) AS NANOPROC, month(f.PER_ANT) AS NMESPROC, b.POLIZA AS NNUMDOCU,
-    b.foliocredito AS NNUMITEM, b.rutafiliado AS NNUMCERT, {cobe} AS CCODCOBE, {svs} AS NCORASVS,
-    a.PLAN_TECNICO, {c1} AS COBERTURA1, {c2} AS COBERTURA2, {agrup} AS COBERTURA_AGRUP,
-    f.PER AS NFECEMIS, f.PER_ANT AS NFEINVIG, CAST(f.PER + INTERVAL 1 DAY AS DATE) AS NFETEVIG, c.TC_UF,
-    b.PrimaNeta AS PRIMA, {com} AS COMISION, b.PrimaNeta AS PRIMA_CLP, b.Comision * -1 AS COMISION_CLP,
-    b.PrimaNeta / nullif(c.TC_UF, 0) AS PRIMA_UF, b.Comision * -1 / nullif(c.TC_UF, 0) AS COMISION_UF
-  FROM total b
-  LEFT JOIN {dim} a ON b.POLIZA = a.NNUMDOCU
-  LEFT JOIN period_map f ON b.MES_Recaudacion = f.MES_REF
-  LEFT JOIN fx_daily c ON f.PER = c.fecha"""
-
-MONITORING_SQL = (
-    TOTAL_SQL + "," + EMITTED_SQL + "," + CALENDAR_SQL + ",\nmonitoring AS ("
-    + _DETAIL_SELECT.format(kind="detail", cobe="a.CCODCOBE", svs="a.NCORASVS", c1="a.COBERTURA1", c2="a.COBERTURA2",
-                            agrup="a.COBERTURA_AGRUP", com="b.Comision * -1", dim="dim_detail")
-    + "\n  UNION ALL"
-    + _DETAIL_SELECT.format(kind="total", cobe="'1'", svs="99", c1="'TOTAL'", c2="'TOTAL'", agrup="'TOTAL'",
-                            com="b.Comision", dim="dim_total")
-    + ")"
-)
+# Every premium once per kind; a total row has its constants whether or not its policy is known.
+MONITORING_SQL = f"""{TOTAL_SQL},{EMITTED_SQL},{CALENDAR_SQL},
+months AS (SELECT MES_REF, PER, PER_ANT, TC_UF FROM period_map LEFT JOIN fx_daily ON fecha = PER),
+issued AS (
+  SELECT 'detail' AS kind, * EXCLUDE (casos) FROM dim_detail
+  UNION ALL BY NAME SELECT 'total' AS kind, NNUMDOCU, NCORASVS, PLAN_TECNICO FROM dim_total),
+premiums AS (
+  SELECT kind, MES_Recaudacion, POLIZA, foliocredito, rutafiliado, PrimaNeta, -Comision AS paid,
+    CASE kind WHEN 'total' THEN Comision ELSE -Comision END AS told
+  FROM (VALUES ('detail'), ('total')) kinds(kind), total),
+monitoring AS (
+  SELECT premiums.kind, year(PER_ANT) AS NANOPROC, month(PER_ANT) AS NMESPROC, POLIZA AS NNUMDOCU, foliocredito AS NNUMITEM,
+    rutafiliado AS NNUMCERT, PLAN_TECNICO, PER AS NFECEMIS, PER_ANT AS NFEINVIG, CAST(PER + INTERVAL 1 DAY AS DATE) AS NFETEVIG,
+    CASE premiums.kind WHEN 'total' THEN '1' ELSE CCODCOBE END AS CCODCOBE,
+    CASE premiums.kind WHEN 'total' THEN 99 ELSE NCORASVS END AS NCORASVS,
+    CASE premiums.kind WHEN 'total' THEN 'TOTAL' ELSE COBERTURA1 END AS COBERTURA1,
+    CASE premiums.kind WHEN 'total' THEN 'TOTAL' ELSE COBERTURA2 END AS COBERTURA2,
+    CASE premiums.kind WHEN 'total' THEN 'TOTAL' ELSE COBERTURA_AGRUP END AS COBERTURA_AGRUP,
+    TC_UF, PrimaNeta AS PRIMA, PrimaNeta AS PRIMA_CLP, PrimaNeta / nullif(TC_UF, 0) AS PRIMA_UF,
+    told AS COMISION, paid AS COMISION_CLP, paid / nullif(TC_UF, 0) AS COMISION_UF
+  FROM premiums
+  LEFT JOIN issued ON issued.kind = premiums.kind AND issued.NNUMDOCU = POLIZA
+  LEFT JOIN months ON MES_REF = MES_Recaudacion)"""
 
 OFICIO_SQL = MONITORING_SQL + f""",
 base AS (
@@ -210,12 +216,9 @@ rolled AS (
   SELECT max(mes_referencia) AS max_mes_referencia, RUT, NNUMDOCU, NNUMITEM, PLAN_TECNICO, COD_RAMO,
     sum(PRIMA_UF) AS PRIMA_DIRECTA
   FROM kept GROUP BY RUT, NNUMDOCU, NNUMITEM, PLAN_TECNICO, COD_RAMO),
+instalments AS (SELECT MES_Recaudacion AS max_mes_referencia, foliocredito AS NNUMITEM, POLIZA AS NNUMDOCU, ValorCuota FROM total),
 report AS (
-  SELECT a.*,
-    CASE WHEN a.NNUMDOCU IN (6354562, 7561166) AND max_mes_referencia = {PERIOD.special_vigency} THEN 1
-      WHEN a.NNUMDOCU NOT IN (6354562, 7561166) AND max_mes_referencia = {PERIOD.vigency} THEN 1 ELSE 0 END AS vigentes,
-    CASE WHEN a.PLAN_TECNICO = 4331 THEN b.ValorCuota * 3 WHEN a.PLAN_TECNICO = 4332 THEN b.ValorCuota * 6
-      WHEN a.PLAN_TECNICO = 4333 THEN b.ValorCuota * 8 WHEN a.PLAN_TECNICO = 4334 THEN b.ValorCuota * 12
-      ELSE b.ValorCuota * 4 END AS MONTO_ASEGURADO_DIRECTO_CLP
-  FROM rolled a LEFT JOIN total b
-    ON a.max_mes_referencia = b.MES_Recaudacion AND a.NNUMITEM = b.foliocredito AND a.NNUMDOCU = b.POLIZA)"""
+  SELECT rolled.*, ValorCuota * coalesce((MAP {{4331: 3, 4332: 6, 4333: 8, 4334: 12}})[PLAN_TECNICO::INTEGER], 4) AS MONTO_ASEGURADO_DIRECTO_CLP,
+    coalesce(CAST(max_mes_referencia = CASE WHEN NNUMDOCU IN (6354562, 7561166) THEN {PERIOD.special_vigency}
+      WHEN NNUMDOCU IS NOT NULL THEN {PERIOD.vigency} END AS INTEGER), 0) AS vigentes
+  FROM rolled LEFT JOIN instalments USING (max_mes_referencia, NNUMITEM, NNUMDOCU))"""

@@ -91,6 +91,49 @@ def monitoring_total(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _monitoring_shown(monitoring(spark, sf_dir, kinds=(mon.TOTAL,)))
 
 
+# Constant columns and those that stand twice, with the columns of the policy's class.
+_WHOLE_ROW = {
+    "NNUMENDO": "0", "PROPUESTA": "NNUMITEM", "CCOMOORI": "'CLP'", "TC": "0",
+    **{name: f"CASE WHEN NNUMDOCU IN {fx.REPORTED} THEN {value} END" for name, value in fx.POLICY_ATTRIBUTES.items() if name != "CCOMOORI"},
+}
+
+
+def _cell(name: str, kind: str) -> str:
+    """A column's value as text, the same in both engines; amounts by ten thousandths."""
+    value = _WHOLE_ROW.get(name, name)
+    if kind == "double":
+        value = f"CAST(floor({value} * 10000.0::DOUBLE) AS BIGINT)"
+    elif kind == "date":
+        value = f"strftime({value}, '%Y-%m-%d')"
+    elif kind != "string":
+        value = f"CAST({value} AS BIGINT)"
+    return f"coalesce(CAST({value} AS STRING), '~')"
+
+
+@query(f"""WITH {fx.MONITORING_SQL},
+classed AS (SELECT *, list_position({list(fx.ISSUED)}, NNUMDOCU) - 1 AS j FROM monitoring),
+texts AS (SELECT kind, NANOPROC, NMESPROC, md5(concat_ws('|', {', '.join(_cell(n, k) for n, k in mon.MONITORING_SCHEMA.items())})) AS d FROM classed)
+SELECT kind, NANOPROC, NMESPROC, count(*) AS filas, sum(('0x' || substr(d, 1, 8))::BIGINT)::BIGINT AS huella FROM texts GROUP BY ALL""")
+def monitoring_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every row of both kinds with all 46 columns, summed up by the digest of the row: a value in another column, or another value, shows."""
+    found = []
+    for kind in (mon.DETAIL, mon.TOTAL):
+        rows = monitoring(spark, sf_dir, kinds=(kind,))
+        cells = []
+        for name, type_ in mon.MONITORING_SCHEMA.items():
+            c = F.col(name)
+            if type_ == "double":
+                c = F.floor(c * 10000.0)
+            elif type_ == "date":
+                c = F.date_format(c, "yyyy-MM-dd")
+            elif type_ != "string":
+                c = c.cast("bigint")
+            cells.append(F.coalesce(c.cast("string"), F.lit("~")))
+        digest = F.conv(F.substring(F.md5(F.concat_ws("|", *cells)), 1, 8), 16, 10).cast("bigint")
+        found.append(rows.select(F.lit(kind).alias("kind"), F.col("NANOPROC").cast("bigint").alias("NANOPROC"), F.col("NMESPROC").cast("bigint").alias("NMESPROC"), digest.alias("d")))
+    return found[0].unionByName(found[1]).groupBy("kind", "NANOPROC", "NMESPROC").agg(F.count("*").alias("filas"), F.sum("d").alias("huella"))
+
+
 @query(f"""WITH {fx.MONITORING_SQL}
 SELECT 'Socio' AS PARTNER_SUCURSAL, 'Socio' AS PARTNER_GOL, 'CLP' AS CCOMOORI, COBERTURA_AGRUP, count(*) AS filas,
   {cents_sql('sum(COMISION)', 2)} AS comision, {cents_sql('sum(COMISION_CLP)', 2)} AS comision_clp
