@@ -36,6 +36,8 @@ OTHER_ENCODING = "ISO-8859-1"
 BATCH_ROWS = 5000
 # Ranges up to this many (some 50 MB) are sent to the tasks; beyond, lines are brought to their range by a sort.
 BROADCAST_RANGES = 500_000
+# Tasks per core where the size of ranges is given.
+RANGE_TASKS = 4
 MARK = b"\xef\xbb\xbf"
 
 _FACTS = "file string, start long, head binary, utf8 boolean, outside array<struct<state:int,records:long>>, inside array<struct<state:int,records:long>>"
@@ -61,19 +63,27 @@ def choose_separator(head: str, separators: Sequence[str]) -> int:
     return max(range(len(separators)), key=lambda i: len(_cells(head, separators[i])))
 
 
-def after_line(line: str, separator: str, state: int) -> tuple[int, int]:
-    """The state behind a line that starts in ``state``, and how many records start in it (blank ones are none)."""
-    if '"' not in line and "\r" not in line.rstrip("\r"):
-        return state, int(state == OUTSIDE and bool(line.rstrip("\r")))
-    pieces = _pieces(line)
+def after_lines(lines: list[str], separator: str, state: int) -> tuple[int, int]:
+    """The state behind lines of which the first one starts in ``state``, and how many records start in them (blank ones are none)."""
+    whole = "\n".join(lines)
+    if '"' not in whole:
+        plain = [line.rstrip("\r") for line in lines] if "\r" in whole else lines
+        if plain is lines or not any("\r" in line for line in plain):
+            return state, sum(map(bool, plain)) if state == OUTSIDE else 0
+    pieces = chain.from_iterable(map(_pieces, lines)) if "\r" in whole else (line + "\n" for line in lines)
     if state == INSIDE:
         pieces = chain(('"' + next(pieces),), pieces)
-    # What follows the line is a record of its own unless the line ends inside quotes.
-    rows = list(parser.reader(chain(pieces, ("x",)), delimiter=separator))
-    ends = OUTSIDE if rows[-1] == ["x"] else INSIDE
-    if ends == OUTSIDE:
-        rows.pop()
-    return ends, sum(map(bool, rows)) - (state == INSIDE)
+    records, last = 0, []
+    # What follows the lines is a record of its own unless they end inside quotes.
+    for row in parser.reader(chain(pieces, ("x",)), delimiter=separator):
+        records += bool(last)
+        last = row
+    ends = OUTSIDE if last == ["x"] else INSIDE
+    return ends, records + (ends == INSIDE) - (state == INSIDE)
+
+
+def after_line(line: str, separator: str, state: int) -> tuple[int, int]:
+    return after_lines([line], separator, state)
 
 
 class Facts:
@@ -90,19 +100,20 @@ class Facts:
                 b"\n".join(lines).decode("utf-8")
             except UnicodeDecodeError:
                 self.utf8 = False
+        if self.first:
+            lines, self.first = [lines[0].removeprefix(MARK), *lines[1:]], False
         for line in lines:
-            if self.first:
-                line, self.first = line.removeprefix(MARK), False
-            if self.head_open:
-                self._head(line)
-            text = line.decode("latin-1")
-            for s, separator in enumerate(self.separators):
-                known = {}
-                for track in (self.tracks[0][s], self.tracks[1][s]):
-                    if track[0] not in known:
-                        known[track[0]] = after_line(text, separator, track[0])
-                    track[0], more = known[track[0]]
-                    track[1] += more
+            if not self.head_open:
+                break
+            self._head(line)
+        texts = [line.decode("latin-1") for line in lines]
+        for s, separator in enumerate(self.separators):
+            known = {}
+            for track in (self.tracks[0][s], self.tracks[1][s]):
+                if track[0] not in known:
+                    known[track[0]] = after_lines(texts, separator, track[0])
+                track[0], more = known[track[0]]
+                track[1] += more
 
     def _head(self, line: bytes) -> None:
         """Lines are the header's until its record ends; blank ones before it are none."""
@@ -308,6 +319,9 @@ def _scan(spark: SparkSession, paths: str | list[str], separators: Sequence[str]
     lines = reader.text(paths).select(
         F.col("value").cast("binary").alias("value"), F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("start")
     )
+    if range_bytes:
+        # Small ranges share tasks; a task takes them one after the other.
+        lines = lines.coalesce(RANGE_TASKS * spark.sparkContext.defaultParallelism)
     with scratch(), _cut_alike(spark, range_bytes):
         facts = settle(_facts(lines, known), "csv-facts")
         ranges = facts.groupBy("file").applyInPandas(lambda x: compose(x, known), _RANGES)
