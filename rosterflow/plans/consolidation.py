@@ -45,12 +45,15 @@ BROKERS = {
 }
 
 
+def file_period(key: Column, broker: Broker) -> Column:
+    """The period a file's premiums belong to, told by its name; null for names without one."""
+    period = valid_period(trailing_period(key))
+    return prior_period(period) if broker.one_month_late else period
+
+
 def final_table(history: DataFrame, broker: Broker) -> DataFrame:
     """History plus period, policy, plan, instalments and business; periods that are none become null."""
-    period = valid_period(trailing_period(F.col(FILE_KEY)))
-    if broker.one_month_late:
-        period = prior_period(period)
-    tags: dict[str, Column] = {"MES_Recaudacion": period, "Negocio": F.lit(BUSINESS)}
+    tags: dict[str, Column] = {"MES_Recaudacion": file_period(F.col(FILE_KEY), broker), "Negocio": F.lit(BUSINESS)}
     if broker.by_plan_text:
         text = F.col(broker.by_plan_text)
         tags |= {

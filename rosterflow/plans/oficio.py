@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
@@ -10,6 +11,8 @@ from pyspark.sql import functions as F
 from rosterflow.functions.numbers import insured_amount, vigency
 from rosterflow.functions.periods import period_of
 from rosterflow.operators.relational import delete_where, skew_left_join
+from rosterflow.plans.consolidation import BROKERS, Broker, file_period
+from rosterflow.sinks.versioned import History
 
 # Constants of the report.
 DOCUMENT_TYPE = 1
@@ -69,6 +72,35 @@ def apply_cutoff(base: DataFrame, period: ReportPeriod) -> DataFrame:
     return delete_where(base, F.col("NNUMDOCU").isNotNull() & old)
 
 
+def reported_files(files: DataFrame, broker: Broker, period_map: DataFrame, period: ReportPeriod) -> DataFrame:
+    """Those of ``files (key)`` that may hold rows the cut-off keeps.
+
+    One row per file, so the premiums need not be looked at.  Files without a
+    period, or with one the calendar does not know, may.
+    """
+    first = min(period.cutoff, period.special_cutoff)
+    month = period_of(F.year("PER_ANT"), F.month("PER_ANT"))
+    known = period_map.select(F.col("MES_REF").alias("_month"), month.alias("_reported"))
+    dated = files.select("key", file_period(F.col("key"), broker).alias("_period"))
+    return dated.join(known, F.col("_period") == F.col("_month"), "left").where(
+        F.col("_reported").isNull() | (F.col("_reported") >= first)
+    ).select("key").distinct()
+
+
+def reported_histories(
+    stores: Mapping[str, History], period_map: DataFrame, period: ReportPeriod, brokers: Mapping[str, Broker] = BROKERS
+) -> dict[str, DataFrame]:
+    """Each broker's history, of which only the folders that the report can need are read.
+
+    Rows without a policy in older files are not among them; they have no coverage
+    group, so that the report leaves them out in any case.
+    """
+    return {
+        name: store.read(keys=reported_files(store.manifest().select("key").distinct(), brokers[name], period_map, period))
+        for name, store in stores.items()
+    }
+
+
 def rollup(base: DataFrame) -> DataFrame:
     """Per item: the last month and the premium summed (map-side combined)."""
     return base.groupBy(*ITEM_KEYS).agg(

@@ -7,10 +7,11 @@ from pyspark.sql import functions as F
 
 from rosterflow.plans import monitoring as mon
 from rosterflow.plans import oficio as rep
-from rosterflow.plans.consolidation import BROKERS, TOTAL_COLUMNS, consolidate, consolidated, final_table
+from rosterflow.plans.consolidation import BROKERS, FILE_KEY, TOTAL_COLUMNS, consolidate, consolidated, final_table
 from rosterflow.queries import fixtures as fx
 from rosterflow.queries.registry import cents, cents_sql, query
-from rosterflow.session import settle
+from rosterflow.session import fresh_path, settle
+from rosterflow.sinks.versioned import History
 
 
 def total(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -148,16 +149,35 @@ def monitoring_partner(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-@query(f"""WITH {fx.OFICIO_SQL}
+_CUTOFF_SQL = f"""WITH {fx.OFICIO_SQL}
 SELECT NNUMDOCU, mes_referencia, count(*) AS filas, {cents_sql('sum(PRIMA_UF)', 4)} AS prima_uf FROM kept
-GROUP BY NNUMDOCU, mes_referencia""")
-def cutoff_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
-    kept = rep.apply_cutoff(rep.report_base(monitoring(spark, sf_dir, kinds=(mon.DETAIL,))), fx.PERIOD)
-    return kept.groupBy("NNUMDOCU", "mes_referencia").agg(
+GROUP BY NNUMDOCU, mes_referencia"""
+
+
+def _kept(detail: DataFrame) -> DataFrame:
+    return rep.apply_cutoff(rep.report_base(detail), fx.PERIOD).groupBy("NNUMDOCU", "mes_referencia").agg(
         F.count("*").alias("filas"), cents(F.sum("PRIMA_UF"), 4).alias("prima_uf")
     )
 
 
+@query(_CUTOFF_SQL)
+def cutoff_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _kept(monitoring(spark, sf_dir, kinds=(mon.DETAIL,)))
+
+
+@query(_CUTOFF_SQL)
+def cutoff_pruned(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same from versioned histories, of which only the folders of reported months are read."""
+    stores = {}
+    for name, rows in fx.histories(spark, sf_dir).items():
+        stores[name] = History(spark, fresh_path(spark, f"broker-{name}"), FILE_KEY)
+        stores[name].replace(rows)
+    months = fx.period_map(spark, sf_dir)
+    read = rep.reported_histories(stores, months, fx.PERIOD)
+    detail = mon.monitoring(consolidate(read), fx.emitted(spark, sf_dir), months, fx.fx_daily(spark, sf_dir), kinds=(mon.DETAIL,))
+    return _kept(detail)
+
+
 @query(f"""WITH {fx.OFICIO_SQL}
 SELECT CAST(max_mes_referencia AS INTEGER) AS max_mes_referencia, 1 AS COD_TIPO_DOCUMENTO_ASEGURADO, RUT, NNUMDOCU, NNUMITEM,
   PLAN_TECNICO, COD_RAMO, 3 AS COD_PERIODICIDAD_PAGO, 9 AS COD_TIPO_PAGO, {cents_sql('PRIMA_DIRECTA', 4)} AS PRIMA_DIRECTA

@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from rosterflow.session import delete_path
+from rosterflow.session import delete_path, settle
 from rosterflow.sinks.history import INSERTED, REPLACED, _filesystem, key_texts, path_exists, read_history, upsert, usable_keys
 
 LOAD = "_load"
@@ -71,15 +71,21 @@ class History:
             return self.spark.createDataFrame([], _MANIFEST)
         return self.spark.read.schema(_MANIFEST).parquet(f"{self.path}/manifests/{entry['manifest']}")
 
-    def read(self, version: int | None = None) -> DataFrame:
+    def read(self, version: int | None = None, keys: DataFrame | None = None) -> DataFrame:
         """The rows of a version, by default the latest; keys are text as they were written.
 
         The version is fixed now: later loads do not change what the result reads.
+        With ``keys`` (key) only the folders of those keys are read.
         """
         number, entry = self._entry(version)
         if entry is None:
             raise FileNotFoundError(f"no load has been committed to {self.path}")
-        return self._rows(self.manifest(number), T.StructType.fromJson(entry["schema"]))
+        live = self.manifest(number)
+        if keys is not None:
+            chosen = keys.select(F.col("key").alias("_chosen"))
+            # Written first, so that its size is known and it is broadcast to prune the folders.
+            live = settle(live.join(chosen, live["key"].eqNullSafe(F.col("_chosen")), "left_semi"), "live")
+        return self._rows(live, T.StructType.fromJson(entry["schema"]))
 
     def marks(self, version: int | None = None) -> DataFrame:
         """``key, time, file``: the newest file of each key that a load with marks has brought."""
@@ -92,9 +98,11 @@ class History:
         if not path_exists(self.spark, f"{self.path}/data"):
             return self.spark.createDataFrame([], schema)
         rows = read_history(self.spark, f"{self.path}/data", T.StructType(fields))
-        # The filter lets the planner prune folders by the manifest at run time.
+        # The filter lets the planner prune folders by the manifest at run time.  It does so by
+        # equality only, hence the key's comparison without nulls beside the one with them.
         live = live.where("rows > 0").select(F.col("load").alias("_of_load"), F.col("key").alias("_of_key"))
-        same = (F.col(LOAD) == F.col("_of_load")) & F.col(self.key).eqNullSafe(F.col("_of_key"))
+        texts = F.coalesce(F.col(self.key), F.lit("")) == F.coalesce("_of_key", F.lit(""))
+        same = (F.col(LOAD) == F.col("_of_load")) & F.col(self.key).eqNullSafe(F.col("_of_key")) & texts
         return rows.join(live, same, "left_semi").select(*columns)
 
     def _commit(self, after: int, manifest: DataFrame, schema: T.StructType) -> int:

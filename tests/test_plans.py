@@ -136,3 +136,22 @@ def test_an_audit_is_observed_by_the_load_itself(spark, tmp_path):
     assert told["Operacion2", "cambiado"][0] == 2 and set(told["Operacion2", "cambiado"][1]) == {"OP-7", "OP-9"}
     assert told["Fecha_Ctto", "sin_convertir"] == (2, ["nunca"]) and told["RUT", "nulo"] == (1, [])
     assert History(spark, str(tmp_path / "h"), "NOMBRE_ARCHIVO").read().count() == 3
+
+
+def test_the_report_reads_only_the_files_it_can_need(spark, tmp_path):
+    """A broker that pays a month late, files of unknown months and names without one; folders are pruned while the query runs."""
+    names = ["Facturacion_202001.xlsx", "Facturacion_202002.xlsx", "Facturacion_202003.xlsx", "Facturacion_203001.xlsx", "sin mes.xlsx"]
+    rows = spark.createDataFrame([(n, i) for i, n in enumerate(names)], "Nombre_de_archivo string, v int")
+    months = spark.sql("select 202000 + m as MES_REF, make_date(2020, m, 1) as PER, add_months(make_date(2020, m, 1), -1) as PER_ANT from (select explode(sequence(1, 4)) as m)")
+    period = rep.ReportPeriod("x", 202001, 202002, 202001, 202001, (1,))
+    stores = {}
+    for name in ("stock", "marsh"):
+        stores[name] = History(spark, f"{tmp_path}/{name}", "Nombre_de_archivo")
+        stores[name].replace(rows)
+    read = rep.reported_histories(stores, months, period)
+    assert sorted(r["v"] for r in read["stock"].collect()) == [1, 2, 3, 4]
+    # One month late: the file of March is that of February, which the report knows as January;
+    # December 2019, told by the first file, is no month of the calendar.
+    assert sorted(r["v"] for r in read["marsh"].collect()) == [0, 2, 3, 4]
+    plan = read["marsh"]._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("dynamicpruning") >= 2 and "coalesce(Nombre_de_archivo" in plan
