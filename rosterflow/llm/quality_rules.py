@@ -1,15 +1,19 @@
 """Quality rules whose cutoffs are certified on labelled documents.
 
 Every rule is a measure in thousandths, higher is worse, and rejects documents
-above a cutoff.  Per stratum (language) the strictest cutoff is chosen whose
-false rejection of good documents is certified by an exact binomial test: with
-``n`` good labelled documents, a cutoff that rejects ``k`` of them is accepted if
-``P(Bin(n, alpha) <= k) <= delta'``.  Cutoffs of one rule are nested, so they are
-tested as a fixed sequence from lenient to strict; over rules and strata the
-level is divided (Bonferroni), and ``alpha`` is divided among the rules of a
-stratum, so that with confidence ``1 - delta`` no stratum loses more than
-``alpha`` of its good documents to the rules.  A stratum with too few labels
-certifies nothing and keeps everything the base rule keeps.
+above a cutoff.  The cutoffs of all rules lie on one path: at level 0 each is the
+rule's floor, at level ``TOP`` it is ``TOP``, and in between all have gone the same
+share of their way.  What a level rejects, by any rule, a stricter one rejects as
+well.  Per stratum (language) the strictest level is chosen whose false rejection
+of good documents is certified by an exact binomial test: with ``n`` good labelled
+documents, a level that rejects ``k`` of them is accepted if
+``P(Bin(n, alpha) <= k) <= delta / strata``.  As levels are nested, they are tested
+as a fixed sequence from lenient to strict, which costs no confidence, and as a
+level stands for all rules together, ``alpha`` is not divided; only over strata the
+error is (Bonferroni).  So with confidence ``1 - delta`` no stratum loses more than
+``alpha`` of its good documents to the rules.  With four strata 144 good labels
+suffice.  A stratum with fewer than it takes certifies nothing and keeps
+everything the base rule keeps.  Documents of one level share its verdict.
 
 Everything is a DataFrame expression: no Python runs on the data.
 """
@@ -107,35 +111,40 @@ def allowed_rejections(n: str, alpha: float, delta: float) -> Column:
     )
 
 
+def level_of(floors: dict[str, int], divide: str = "div") -> str:
+    """SQL of the strictest level at which no rule rejects a document."""
+    each = (f"CASE WHEN m_{r} > {f} THEN (CAST(m_{r} - {f} AS BIGINT) * {TOP} + {TOP - f - 1}) {divide} {TOP - f} ELSE 0 END" for r, f in floors.items())
+    return f"greatest({', '.join(['0', *each])})"
+
+
 def certified_cutoffs(
     measured: DataFrame, labels: DataFrame, key: str = "doc_id", label: str = "quality", alpha: float = ALPHA, delta: float = DELTA,
     floors: dict[str, int] = FLOORS,
 ) -> DataFrame:
-    """``_stratum, rule, n_good, allowed, cutoff`` for every stratum with labels; the cutoff is null where none is certified.
+    """``_stratum, rule, n_good, allowed, level, cutoff`` for every stratum with labels; level and cutoff are null where none is certified.
 
     A document labelled twice counts once, and as good if any label says so; null
     labels and labels without a document count for nothing.  One fold of the
     documents in five stays out, so that the risk can be measured on it.  What is
-    ranked is one row per stratum, rule and thousandth, whatever the corpus holds.
+    ranked is one row per stratum and level, at most ``TOP`` and one of these, whatever the corpus holds.
     """
     good = labels.where(F.col(label).isNotNull() & F.col(key).isNotNull()).groupBy(key).agg(F.max(label).alias("_q")).where("_q = 1")
     held = measured.where(~fold_held_out(key, CALIBRATION_FOLDS)).join(good.select(key), key, "left_semi")
-    rules = F.explode(F.array(*(F.struct(F.lit(r).alias("rule"), F.col(f"m_{r}").alias("bucket")) for r in floors)))
-    counts = held.select("_stratum", rules.alias("x")).groupBy("_stratum", "x.rule", "x.bucket").agg(F.count("*").alias("n"))
-    counts = settle(counts, "label-counts")
+    counts = settle(held.groupBy("_stratum", F.expr(level_of(floors)).alias("level")).agg(F.count("*").alias("n")), "label-counts")
     strata = max(1, counts.select("_stratum").distinct().count())
-    of_rule = Window.partitionBy("_stratum", "rule")
-    above = F.sum("n").over(of_rule.orderBy(F.desc("bucket"))) - F.col("n")
-    ranked = counts.select("_stratum", "rule", "bucket", F.sum("n").over(of_rule).alias("n_good"), above.alias("_above"))
-    totals = ranked.select(F.col("_stratum").alias("_s"), F.col("rule").alias("_r"), F.col("n_good").alias("_n")).distinct()
-    allowed = allowed_rejections("_n", alpha / len(floors), delta / (len(floors) * strata))
-    totals = totals.select("_s", "_r", allowed.alias("allowed"))
-    floor = F.create_map(*(x for r, v in floors.items() for x in (F.lit(r), F.lit(v))))[F.col("rule")]
-    best = ranked.join(totals, F.col("_s").eqNullSafe(F.col("_stratum")) & (F.col("rule") == F.col("_r")))
-    return best.groupBy("_stratum", "rule").agg(
+    of_stratum = Window.partitionBy("_stratum")
+    above = F.sum("n").over(of_stratum.orderBy(F.desc("level"))) - F.col("n")
+    ranked = counts.select("_stratum", "level", F.sum("n").over(of_stratum).alias("n_good"), above.alias("_above"))
+    totals = ranked.select(F.col("_stratum").alias("_s"), F.col("n_good").alias("_n")).distinct()
+    totals = totals.select("_s", allowed_rejections("_n", alpha, delta / strata).alias("allowed"))
+    best = ranked.join(totals, F.col("_s").eqNullSafe(F.col("_stratum"))).groupBy("_stratum").agg(
         F.first("n_good").alias("n_good"), F.first("allowed").alias("allowed"),
-        F.min(F.when(F.col("_above") <= F.col("allowed"), F.col("bucket"))).alias("cutoff"),
-    ).withColumn("cutoff", F.greatest("cutoff", floor) + F.lit(0) * F.col("cutoff"))
+        F.min(F.when(F.col("_above") <= F.col("allowed"), F.col("level"))).alias("level"),
+    )
+    cutoffs = (F.struct(F.lit(r).alias("rule"), F.expr(f"{f} + (level * {TOP - f}) div {TOP}").alias("cutoff")) for r, f in floors.items())
+    return best.select("_stratum", "n_good", "allowed", "level", F.explode(F.array(*cutoffs)).alias("_c")).select(
+        "_stratum", "_c.rule", "n_good", "allowed", "level", "_c.cutoff"
+    )
 
 
 def judge(measured: DataFrame, cutoffs: DataFrame, key: str = "doc_id") -> DataFrame:
@@ -159,8 +168,7 @@ def quality_rules(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text:
 
 
 def _oracle() -> str:
-    names = list(FLOORS)
-    alpha = ALPHA / len(names)
+    level = level_of(FLOORS, "//")
     return f"""
 WITH d AS (SELECT doc_id, lang, coalesce(text, '') AS t FROM documents),
 w AS (SELECT doc_id, lang, t, regexp_extract_all(t, '{WORD_CLASS}+') AS ws,
@@ -183,22 +191,18 @@ m AS (SELECT *, n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_fail
              least({TOP}, coalesce(1000 * word_chars // nullif(n_words, 0), 0)) AS m_long_words,
              CASE WHEN n_words > 0 THEN {TOP} - least({TOP}, 1000 * word_chars // n_words) ELSE 0 END AS m_short_words FROM f),
 good AS (SELECT doc_id FROM labels GROUP BY doc_id HAVING max(quality) = 1),
-held AS (SELECT lang, unnest([{', '.join(f"'{r}'" for r in names)}]) AS rule, unnest([{', '.join(f'm_{r}' for r in names)}]) AS b
-         FROM m JOIN good USING (doc_id) JOIN crc USING (doc_id) WHERE NOT held_out),
-cnt AS (SELECT lang, rule, b, count(*) AS n FROM held GROUP BY ALL),
-rk AS (SELECT lang, rule, b, sum(n) OVER (PARTITION BY lang, rule) AS n_good,
-              sum(n) OVER (PARTITION BY lang, rule ORDER BY b DESC) - n AS above FROM cnt),
-tot AS (SELECT DISTINCT lang, rule, n_good FROM rk),
-term AS (SELECT lang, rule, n_good, unnest(range(0, ceil({alpha!r} * n_good)::BIGINT + 1)) AS i FROM tot),
-lt AS (SELECT lang, rule, i, n_good * ln(1 - {alpha!r}) + coalesce(sum(CASE WHEN n_good > i THEN ln((n_good - i) / (i + 1)) + ln({alpha!r} / (1 - {alpha!r})) END)
-         OVER (PARTITION BY lang, rule ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS t FROM term),
-cdf AS (SELECT lang, rule, i, sum(exp(t)) OVER (PARTITION BY lang, rule ORDER BY i) AS p FROM lt),
-ok AS (SELECT lang, rule, coalesce(max(i) FILTER (p <= {DELTA!r} / ({len(names)} * (SELECT count(DISTINCT coalesce(lang, chr(0))) FROM tot))), -1) AS k FROM cdf GROUP BY ALL),
-cut AS (SELECT rk.lang, rk.rule, greatest(min(b), max(floor)) AS c
-        FROM rk JOIN ok ON rk.lang IS NOT DISTINCT FROM ok.lang AND rk.rule = ok.rule
-        JOIN (VALUES {', '.join(f"('{r}', {v})" for r, v in FLOORS.items())}) fl(rule, floor) ON fl.rule = rk.rule
-        WHERE above <= k GROUP BY ALL),
-v AS (SELECT m.doc_id, bool_or(CASE cut.rule {' '.join(f"WHEN '{r}' THEN m_{r}" for r in names)} END > cut.c) AS bad
+held AS (SELECT lang, {level} AS b FROM m JOIN good USING (doc_id) JOIN crc USING (doc_id) WHERE NOT held_out),
+cnt AS (SELECT lang, b, count(*) AS n FROM held GROUP BY ALL),
+rk AS (SELECT lang, b, sum(n) OVER (PARTITION BY lang) AS n_good,
+              sum(n) OVER (PARTITION BY lang ORDER BY b DESC) - n AS above FROM cnt),
+tot AS (SELECT DISTINCT lang, n_good FROM rk),
+term AS (SELECT lang, n_good, unnest(range(0, ceil({ALPHA!r} * n_good)::BIGINT + 1)) AS i FROM tot),
+lt AS (SELECT lang, i, n_good * ln(1 - {ALPHA!r}) + coalesce(sum(CASE WHEN n_good > i THEN ln((n_good - i) / (i + 1)) + ln({ALPHA!r} / (1 - {ALPHA!r})) END)
+         OVER (PARTITION BY lang ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS t FROM term),
+cdf AS (SELECT lang, i, sum(exp(t)) OVER (PARTITION BY lang ORDER BY i) AS p FROM lt),
+ok AS (SELECT lang, coalesce(max(i) FILTER (p <= {DELTA!r} / (SELECT count(DISTINCT coalesce(lang, chr(0))) FROM tot)), -1) AS k FROM cdf GROUP BY ALL),
+cut AS (SELECT rk.lang, min(b) AS c FROM rk JOIN ok ON rk.lang IS NOT DISTINCT FROM ok.lang WHERE above <= k GROUP BY ALL),
+v AS (SELECT m.doc_id, bool_or({level} > cut.c) AS bad
       FROM m JOIN cut ON m.lang IS NOT DISTINCT FROM cut.lang GROUP BY m.doc_id)
 SELECT m.doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, NOT base_failed AND NOT coalesce(bad, false) AS kept
 FROM m LEFT JOIN v USING (doc_id)"""

@@ -7,6 +7,7 @@ import brute
 import numpy as np
 import oracle
 import pytest
+from pyspark.sql import functions as F
 from conftest import ROWS, SF
 
 import __spark_entry__ as entry
@@ -423,6 +424,22 @@ def test_certified_cutoffs_hold_on_other_documents(spark):
     assert 0.1 < np.mean(lost) < 0.36
 
 
+def test_a_level_is_the_strictest_at_which_no_rule_rejects(spark):
+    """Against all levels in turn; with 160 good labels of one language a level is certified, with 80 none."""
+    draw, floors, top = np.random.default_rng(9), quality_rules.FLOORS, quality_rules.TOP
+    rows = [tuple(int(draw.integers(0, 20_001)) if draw.random() < 0.7 else f + d for f, d in zip(floors.values(), draw.integers(-1, 2, len(floors)).tolist())) for _ in range(40)]
+    df = spark.createDataFrame(rows, ", ".join(f"m_{r} int" for r in floors))
+    for row in df.withColumn("level", F.expr(quality_rules.level_of(floors))).collect():
+        fits = [t for t in range(top + 1) if all(row[f"m_{r}"] <= f + t * (top - f) // top for r, f in floors.items())]
+        assert row["level"] == fits[0]
+    for n, certified in ((160, True), (80, False)):
+        ids = [i for i in range(400) if not brute.held_out(i, 5)][:n]
+        docs = spark.createDataFrame([(i, " ".join(f"word{i}x{j}" for j in range(20)), "en") for i in ids], "doc_id long, text string, lang string")
+        with quality_rules.scratch():
+            found = quality_rules.certified_cutoffs(quality_rules.measure(docs), docs.selectExpr("doc_id", "1 as quality")).collect()
+        assert len(found) == len(floors) and all((r["cutoff"] is not None) == certified for r in found)
+
+
 # Empty tables
 
 @pytest.mark.parametrize("run", [
