@@ -3,10 +3,10 @@
 Rows are numbered by a distributed sort and cut into aligned blocks, so that a
 task holds one block whatever the size of a group.  The tree is persistent: a
 tampered leaf makes a version that copies only its ancestors and shares every
-other node.  Inside a block the copies are made from the block's own nodes;
-above it the version goes on along the siblings that all leaves of the block
-share, which upper blocks hand down.  No version ever meets another one, and
-no task sees more than the nodes of one block.
+other node, by reference.  A block's task has the block's own nodes and, above
+them, the path to the root, whose siblings upper blocks hand down as digests.
+Every row's proof is folded to a root; a version must end in the same one.  No
+version ever meets another one, and no task sees more than one block.
 """
 
 from __future__ import annotations
@@ -45,37 +45,86 @@ def leaf_digest(fields: Sequence[Column]) -> Column:
     return F.sha2(F.concat(*[field_text(f) for f in fields]), 256)
 
 
+class Node:
+    """A node of a persistent tree.  It is never changed once it is made, so versions of the tree share it."""
+
+    __slots__ = ("digest", "left", "right")
+
+    def __init__(self, digest: str, left: Node | None = None, right: Node | None = None):
+        self.digest, self.left, self.right = digest, left, right
+
+
+def over(left: Node, right: Node | None) -> Node:
+    """The parent of two nodes, or of a lone one."""
+    return Node(digest(left.digest + right.digest if right else left.digest), left, right)
+
+
 class Block:
-    """The nodes of an aligned block, level by level from its leaves to the single node on top."""
+    """A version of an aligned block: its nodes from the top down, and how many levels it has."""
 
-    def __init__(self, nodes: list[str], height: int):
-        self.levels = [nodes]
+    def __init__(self, digests: list[str], height: int):
+        self.height, nodes = height, [Node(d) for d in digests]
         for _ in range(height):
-            below = self.levels[-1]
-            self.levels.append([digest("".join(below[i:i + 2])) for i in range(0, len(below), 2)])
+            nodes = [over(nodes[i], nodes[i + 1] if i + 1 < len(nodes) else None) for i in range(0, len(nodes), 2)]
+        self.root = nodes[0]
 
     @property
     def top(self) -> str:
-        return self.levels[-1][0]
+        return self.root.digest
+
+    def turns(self, at: int) -> list[bool]:
+        """The way from the top to a leaf: whether it goes right, level by level."""
+        return [bool(at >> level & 1) for level in reversed(range(self.height))]
 
     def siblings(self, at: int) -> list[str]:
         """What stands beside the path from a leaf to the top: side and digest, or nothing."""
-        out = []
-        for nodes in self.levels[:-1]:
-            other = at ^ 1
-            out.append((LEFT if other < at else RIGHT) + nodes[other] if other < len(nodes) else ALONE)
-            at >>= 1
-        return out
-
-
-def copied_path(leaf: str, siblings: list[str]) -> list[str]:
-    """The nodes that a version with this leaf copies, from the leaf's parent on; all others are shared."""
-    out = []
+        return beside(self.root, self.turns(at))
+
+
+def beside(root: Node, turns: Sequence[bool]) -> list[str]:
+    """Side and digest of the siblings along a path, from its leaf to the root; nothing where a node is alone."""
+    out, node = [], root
+    for right in turns:
+        other = node.left if right else node.right
+        out.append(ALONE if other is None else (LEFT if right else RIGHT) + other.digest)
+        node = node.right if right else node.left
+    return out[::-1]
+
+
+def grown(top: Node, above: Sequence[str]) -> Node:
+    """The root over a block's top; what stands beside the way up is nodes that are known by their digests alone."""
+    for mark in above:
+        other = Node(mark[1:]) if mark else None
+        top = over(other, top) if mark[:1] == LEFT else over(top, other)
+    return top
+
+
+def replaced(root: Node, turns: Sequence[bool], leaf: str) -> Node:
+    """The root of a version with another leaf at the end of ``turns``: its ancestors are copied, all other nodes shared."""
+    passed, node = [], root
+    for right in turns:
+        passed.append((node, right))
+        node = node.right if right else node.left
+    copy = Node(leaf)
+    for node, right in reversed(passed):
+        copy = over(node.left, copy) if right else over(copy, node.right)
+    return copy
+
+
+def path_digests(root: Node, turns: Sequence[bool]) -> list[str]:
+    """The nodes on a path, from the leaf's parent to the root."""
+    out, node = [], root
+    for right in turns:
+        out.append(node.digest)
+        node = node.right if right else node.left
+    return out[::-1]
+
+
+def folded(leaf: str, siblings: Sequence[str]) -> str:
+    """The root that a proof leads to from a leaf."""
     for mark in siblings:
-        side, other = mark[:1], mark[1:]
-        leaf = digest(other + leaf if side == LEFT else leaf + other)
-        out.append(leaf)
-    return out
+        leaf = digest(mark[1:] + leaf if mark[:1] == LEFT else leaf + mark[1:])
+    return leaf
 
 
 def numbered(rows: DataFrame, tree: str, order: Sequence[str]) -> DataFrame:
@@ -165,8 +214,8 @@ def manifest(
     the digest of the node on that side, or an empty text where there is none.
 
     ``changes`` (column to new value) tamper with the rows that meet ``where``, each
-    in a version of its own; ``folded_root`` is that version's root, and the root
-    itself for the other rows.  With ``copies`` a column ``copied`` holds the nodes
+    in a version of its own.  ``folded_root`` is what every row's siblings lead to, from
+    the changed leaf (then it is that version's root) or else from the row's own.  With ``copies`` a column ``copied`` holds the nodes
     that the version has copied, from the leaf's parent up to its root (null for the
     other rows); all its other nodes are those of the tree.
 
@@ -192,17 +241,20 @@ def manifest(
             for height, blob, above, subroot in zip(*[batch.column(c).to_pylist() for c in ("height", "leaves", "above", "subroot")]):
                 rows = unpack_batch(blob)
                 leaves = [x.hex() for x in rows.column("leaf").to_pylist()]
-                block, beside, ends, made = Block(leaves, height), [], [], []
+                block, proofs, ends, made = Block(leaves, height), [], [], []
+                whole, down = grown(block.root, above), [mark[:1] == LEFT for mark in reversed(above)]
                 for at, changed in enumerate(rows.column("changed").to_pylist()):
-                    mine = block.siblings(at) + above
-                    beside.append(mine)
-                    path = copied_path(changed.hex(), mine) if changed is not None else None
-                    made.append(path if copies else None)
-                    ends.append(None if path is None else path[-1] if path else changed.hex())
+                    turns = down + block.turns(at)
+                    proofs.append(beside(whole, turns))
+                    ends.append(folded(leaves[at] if changed is None else changed.hex(), proofs[-1]))
+                    version = None if changed is None else replaced(whole, turns, changed.hex())
+                    if version is not None and version.digest != ends[-1]:
+                        raise AssertionError(f"the version of leaf {at} and its proof have different roots")
+                    made.append(path_digests(version, turns) if version is not None and copies else None)
                 yield pa.RecordBatch.from_arrays(
                     [
                         rows.column("key").combine_chunks(), pa.array(leaves, pa.string()), pa.array([subroot] * len(leaves), pa.string()),
-                        pa.array(beside, pa.list_(pa.string())), pa.array(ends, pa.string()), pa.array(made, pa.list_(pa.string())),
+                        pa.array(proofs, pa.list_(pa.string())), pa.array(ends, pa.string()), pa.array(made, pa.list_(pa.string())),
                     ],
                     [names[0], names[1], "tree_root", *names[2:]],
                 )
@@ -231,7 +283,7 @@ def manifest(
     top = F.lit(root)
     return found.select(
         F.col("key").alias(key), "leaf", F.col("tree_root").alias("subroot"), top.alias("root"), "siblings",
-        F.coalesce("folded_root", top).alias("folded_root"), *(["copied"] if copies else []),
+        "folded_root", *(["copied"] if copies else []),
     )
 
 

@@ -98,6 +98,29 @@ def test_versions_share_all_but_their_ancestors(documents):
     assert not set(copied) & {x[1:] for r in rows for x in r["siblings"]}
 
 
+def test_a_version_shares_the_nodes_beside_its_path_and_leaves_the_old_one_as_it_was():
+    m = merkle_manifest
+    block = m.Block([H(str(i)) for i in range(11)], 4)
+    root, down = m.grown(block.root, ["<" + H("left"), "", ">" + H("right")]), [False, False, True]
+    before = m.path_digests(root, down + block.turns(6))
+    version = m.replaced(root, down + block.turns(6), H("other"))
+    old, new = root, version
+    for right in down + block.turns(6):
+        assert new is not old and new.digest != old.digest
+        shared = (old.left, new.left) if right else (old.right, new.right)
+        assert shared[0] is shared[1]
+        old, new = (old.right, new.right) if right else (old.left, new.left)
+    assert (old.digest, new.digest) == (H("6"), H("other")) and m.path_digests(root, down + block.turns(6)) == before
+
+
+def test_every_proof_is_folded(documents, monkeypatch):
+    """Not only those of changed leaves: a wrong proof of a sound row must not verify."""
+    real = merkle_manifest.beside
+    monkeypatch.setattr(merkle_manifest, "beside", lambda root, turns: [x[:1] + H(x) if x else x for x in real(root, turns)])
+    rows = merkle_manifest.manifest(documents.where("doc_id < 40")).collect()
+    assert rows and all(r["folded_root"] != r["root"] for r in rows)
+
+
 def test_lengths_beyond_the_largest_integer_and_trees_of_one_row(spark):
     rows = [(i, "s", lang, 2 ** 63 - 1, "t") for i, lang in enumerate(["b", "é", None, "", "b"] * 9)]
     df = spark.createDataFrame(rows, "doc_id long, source string, lang string, n_chars long, text string")
