@@ -20,7 +20,7 @@ from rosterflow.functions.text import clean_cell
 from rosterflow.operators import facts, headers, rows
 from rosterflow.operators.quality import null_report, suspects
 from rosterflow.operators.relational import join_dimension, unmapped_counts
-from rosterflow.session import settle
+from rosterflow.session import compile_split_code, settle
 from rosterflow.sinks.versioned import History
 from rosterflow.sources.contracts import WHOLE, Contract, Field, operation_digits, rounded
 
@@ -199,6 +199,7 @@ def load_roster(scanned: DataFrame, contract: Contract, *, strict: bool = True)
     otherwise it becomes null.
     """
     removed: dict[str, DataFrame] = {}
+    compile_split_code(scanned.sparkSession)
     if "cells" in scanned.columns:
         words = rows.FOOTER_WORDS if contract.footer else ()
         df, removed = extract_cells(settle(facts.told_rows(scanned, contract.columns, words), "scanned"), contract)

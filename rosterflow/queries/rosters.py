@@ -47,6 +47,10 @@ def _view(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+# Order keys that go into one workbook of a month: some 25,000 rows; a month with more comes in several, in folders of their own.
+WORKBOOK_KEYS = 2_000_000
+
+
 @dataclass(frozen=True)
 class Case:
     source: str
@@ -57,8 +61,11 @@ class Case:
     closing: tuple[Mapping[str, str], ...] = ()  # per closing row: header -> aggregate over the file
     rounded: tuple[str, ...] = field(default=())
 
-    def scanned(self, spark: SparkSession, sf_dir: str) -> DataFrame:
+    def scanned(self, spark: SparkSession, sf_dir: str, keys_per_file: int | None = None) -> DataFrame:
         base = _view(spark, sf_dir).withColumn("_file", F.expr(self.file))
+        if keys_per_file:
+            part = F.format_string("/in/parte %d", F.floor(F.col("k") / keys_per_file))
+            base = base.withColumn("_file", F.concat(part, F.substring("_file", 4, 1000)))
         array = lambda values: F.array(*values).cast("array<string>")
         data = base.select(
             "_file", (F.col("k") + 1).alias("_row"), array([F.expr(e).cast("string") for e in self.cells.values()]).alias("cells")
@@ -270,7 +277,7 @@ def roster_history_load(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _from_files(case: Case, spark: SparkSession, sf_dir: str, folder: str) -> DataFrame:
     """The case's rows written as real workbooks, then scanned as its contract says."""
     contract = CONTRACTS[case.source]
-    scanned = case.scanned(spark, sf_dir)
+    scanned = case.scanned(spark, sf_dir, WORKBOOK_KEYS)
     # A preferred sheet is found by its name, whatever its case and place; else the place counts.
     sheet = f" {contract.sheets[-1].upper()} " if contract.sheets else "Hoja"
     moved = scanned.withColumn("_file", F.concat(F.lit(folder), F.substring("_file", 4, 1000)))
