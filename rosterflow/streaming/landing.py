@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from rosterflow.session import fresh_path
+from rosterflow.session import fresh_path, scratch, settle
 from rosterflow.sinks.history import usable_keys
 from rosterflow.sinks.versioned import History
 
@@ -26,10 +26,13 @@ def newer_rows(rows: DataFrame, key: str, loaded: DataFrame) -> tuple[DataFrame,
     of one time are ordered by name.
     """
     text = F.col(key).cast("string")
-    newest = rows.groupBy(text.alias("key")).agg(F.max(F.struct(F.col("_time").alias("time"), F.col("_file").alias("file"))).alias("new"))
+    # The largest of structs is found by sorting: of a row per key and file, written first, as the planner would join both steps.
+    sent = settle(rows.select(text.alias("key"), F.col("_time").alias("time"), F.col("_file").alias("file")).distinct(), "sent")
+    newest = sent.groupBy("key").agg(F.max(F.struct("time", "file")).alias("new"))
     known = loaded.select("key", F.struct("time", "file").alias("old"))
     due = newest.join(known, "key", "left").where(F.col("old").isNull() | (F.col("new") > F.col("old")))
-    marks = due.select("key", "new.time", "new.file")
+    # Written first: a row per key, broadcast by its true size, so that the rows are not shuffled by their few keys.
+    marks = settle(due.select("key", "new.time", "new.file"), "marks")
     of = marks.select(F.col("key").alias("_key"), F.col("time").alias("_of_time"), F.col("file").alias("_of_file"))
     same = (text == F.col("_key")) & (F.col("_time") == F.col("_of_time")) & (F.col("_file") == F.col("_of_file"))
     return rows.join(of, same, "left_semi").drop(*ORIGIN), marks
@@ -77,8 +80,15 @@ def land(
     if files_per_batch or not by_row:
         reader = reader.option("maxFilesPerTrigger", files_per_batch or 1)
     table = History(spark, history_path, key)
+    adaptive = "spark.sql.adaptive.enabled"
 
     def load(batch: DataFrame, _: int) -> None:
+        # A stream's session has this off, and then all rows of a key are written by one task.
+        batch.sparkSession.conf.set(adaptive, spark.conf.get(adaptive))
+        with scratch():
+            replace_older(batch)
+
+    def replace_older(batch: DataFrame) -> None:
         rows = prepare(batch)
         if not by_row:
             origin = batch.select(*ORIGIN).first()
