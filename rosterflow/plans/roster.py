@@ -24,7 +24,7 @@ from rosterflow.session import compile_split_code, settle
 from rosterflow.sinks.versioned import History
 from rosterflow.sources.contracts import WHOLE, Contract, Field, operation_digits, rounded
 
-_RAW = "_raw_"
+_RAW, _OF_FILE = "_raw_", "_of_file_"
 # Amounts that a footer may sum, besides the whole-number columns.
 _AMOUNTS = ("Prima_Ces", "Prima_Bruta_PPI", "Monto_Asegurado")
 
@@ -69,7 +69,7 @@ def _per_file(contract: Contract) -> dict[str, Column]:
     columns = {f"_path_{n}": of_path(F.col("_file")) for n, of_path in contract.extra.items()}
     if contract.canonical is not None:
         columns["_name"] = contract.canonical(F.col("_file"))
-    return columns
+    return columns | {f"{_OF_FILE}{f.name}": f.of_file(F.col("_file")) for f in contract.fields if f.of_file is not None}
 
 
 def extract_cells(told: DataFrame, contract: Contract) -> tuple[DataFrame, dict[str, DataFrame]]:
@@ -113,7 +113,7 @@ def extract_cells(told: DataFrame, contract: Contract) -> tuple[DataFrame, dict[
     if contract.drop_trailing:
         helpers["_trailing"] = F.col("_last_kept").isNull() | (F.col("_row") > F.col("_last_kept"))
     named = below.select(
-        "_file", "_row", *[n for n in per_file if n == "_name"], *[c.alias(n) for n, c in {**helpers, **texts}.items()]
+        "_file", "_row", *[n for n in per_file if n == "_name" or n.startswith(_OF_FILE)], *[c.alias(n) for n, c in {**helpers, **texts}.items()]
     )
     if contract.drop_trailing:
         removed["trailing"] = named.where("_trailing").drop("_trailing")
@@ -163,6 +163,8 @@ def _typed(df: DataFrame, contract: Contract, strict: bool) -> DataFrame:
         if f.derive is not None:
             continue
         raw = F.col(f.name) if f.name in df.columns else F.lit(None).cast("string")
+        if f.of_file is not None:
+            raw = F.col(f"{_OF_FILE}{f.name}")
         if f.name in df.columns and f.convert is not None:
             columns[f"{_RAW}{f.name}"] = raw
         if f.convert == WHOLE:

@@ -21,13 +21,14 @@ Convert = Callable[[Column], Column]
 
 @dataclass(frozen=True)
 class Field:
-    """One target column: its synonyms and its conversion, or a derivation from typed columns."""
+    """One target column: its synonyms and its conversion, a derivation from typed columns, or what the file's path tells."""
 
     name: str
     synonyms: tuple[str, ...] = ()
     convert: Convert | str | None = None
     twin: tuple[str, int] | None = None
     derive: Callable[[], Column] | None = None
+    of_file: Callable[[Column], Column] | None = None
 
 
 @dataclass(frozen=True)
@@ -494,7 +495,7 @@ RIPLEY_LIFE = Contract(
         _f("FECHA VCTO", "fecha_vcto", lambda c: dates.as_int(dates.text_date(c)).cast("double")),
         _f("VIDA", "vida", strip),
         _f("GENERALES", "generales", strip),
-        _from("NUMERO_ARCHIVO", lambda: periods.period_from_name(F.col("_file"))),
+        Field("NUMERO_ARCHIVO", of_file=periods.period_from_name),
         Field("NOMBRE_ARCHIVO", convert=text(255)),
     ),
     canonical=periods.base_name,

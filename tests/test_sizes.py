@@ -25,3 +25,10 @@ def test_a_session_built_elsewhere_gets_split_code():
         context = SimpleNamespace(getConf=lambda known=configured: SimpleNamespace(contains=known.__contains__))
         compile_split_code(SimpleNamespace(sparkContext=context, conf=SimpleNamespace(set=changed.__setitem__)))
         assert changed == wanted
+
+
+def test_what_a_path_tells_is_told_once_per_file(spark):
+    case = next(c for c in rosters.CASES if c.source == "ripley_life")
+    load = load_roster(case.scanned(spark, SF), CONTRACTS["ripley_life"])
+    plan = load.rows._jdf.queryExecution().optimizedPlan().toString()
+    assert "NUMERO_ARCHIVO" in plan and r"(20\d{2})" not in plan
