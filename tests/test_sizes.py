@@ -2,7 +2,7 @@
 
 from types import SimpleNamespace
 
-from rosterflow.plans.roster import load_roster
+from rosterflow.plans.roster import load_into_history, load_roster
 from rosterflow.queries import rosters
 from rosterflow.session import DEFAULTS, compile_split_code
 from rosterflow.sources.contracts import CONTRACTS
@@ -32,3 +32,12 @@ def test_what_a_path_tells_is_told_once_per_file(spark):
     load = load_roster(case.scanned(spark, SF), CONTRACTS["ripley_life"])
     plan = load.rows._jdf.queryExecution().optimizedPlan().toString()
     assert "NUMERO_ARCHIVO" in plan and r"(20\d{2})" not in plan
+
+
+def test_a_history_loaded_twice_is_typed_once(spark, tmp_path, monkeypatch):
+    case = next(c for c in rosters.CASES if c.source == "stock")
+    load, seen = load_roster(case.scanned(spark, SF), CONTRACTS["stock"]), []
+    wanted = load.rows.count()
+    monkeypatch.setattr(rosters, "load_into_history", lambda x, path: seen.append(x.rows) or load_into_history(x, path))
+    assert rosters._through_history(load, spark, f"{tmp_path}/h").count() == wanted
+    assert len(seen) == 2 and not any("rlike" in x._jdf.queryExecution().optimizedPlan().toString().lower() for x in seen)
