@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rosterflow.llm.common import WordHash, mix64, register, table
+from rosterflow.llm.common import WordHash, give_back, mix64, register, table
 from rosterflow.llm.linking import Jaccard, among, components_sql, link
 from rosterflow.session import scratch, settle
 
@@ -95,6 +95,8 @@ def signed(docs: DataFrame, key: str, text: str, width: int, bands: int, rows: i
                     ],
                     [key, "n_shingles", "set_digest", "keys"],
                 )
+        hashes.clear()
+        give_back()
 
     return docs.select(key, text).mapInArrow(run, f"{key} {kind}, n_shingles long, set_digest binary, keys array<long>")
 
@@ -111,6 +113,8 @@ def full_sets(docs: DataFrame, ids: DataFrame, key: str, text: str, width: int)
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0), pa.array([s.view(np.int64) for s in sets], pa.list_(pa.int64()))], ["id", "items"]
                 )
+        hashes.clear()
+        give_back()
 
     wanted = among(docs.select(F.col(key).cast("long").alias("id"), text), ids)
     return wanted.mapInArrow(run, "id long, items array<long>").where(F.size("items") > 0)

@@ -24,7 +24,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
-from rosterflow.llm.common import register, table
+from rosterflow.llm.common import give_back, register, table
 
 MARKER = "▁"
 MAX_MODEL_BYTES = 64 << 20
@@ -92,7 +92,7 @@ class ChunkTable:
         return self.library.decode([r.tolist() for r in rows], num_threads=1)
 
 
-def _slices(texts: list[str], most: int = 4_000_000) -> Iterator[tuple[int, int]]:
+def _slices(texts: list[str], most: int = 1_000_000) -> Iterator[tuple[int, int]]:
     """Ranges of a batch that hold about ``most`` characters, so that memory follows neither batch size nor row count."""
     first = total = 0
     for i, text in enumerate(texts):
@@ -147,6 +147,10 @@ def codec(
                     out += [pa.array([r.astype(np.int32) for r in rows], pa.list_(pa.int32())), pa.array(decoded, pa.string())]
                     names += ["ids", "decoded"]
                 yield pa.RecordBatch.from_arrays(out, names)
+                del rows, decoded, out
+        # The worker lives on: neither the table nor what the slices took may stay with it.
+        chunks = texts = batch = None
+        give_back()
 
     return docs.select(key, text).mapInArrow(run, fields)
 

@@ -297,6 +297,32 @@ def test_codec(request, which):
     assert order(tuple(r) for r in sentencepiece_codec.codec(df, path).collect()) == order(want)
 
 
+def largest_worker() -> int:
+    """MB of the largest Python worker, mapped files left out."""
+    from pathlib import Path
+
+    most = 0
+    for place in Path("/proc").glob("[0-9]*"):
+        try:
+            if b"pyspark.daemon" in (place / "cmdline").read_bytes():
+                lines = (place / "smaps_rollup").read_text().splitlines()
+                most = max(most, sum(int(x.split()[1]) for x in lines if x.startswith("Pss_Anon")) >> 10)
+        except OSError:
+            pass
+    return most
+
+
+def test_codec_gives_its_memory_back(spark):
+    path = sentencepiece_codec.default_model()
+    # Some five million characters in 300,000 distinct words, in one task.
+    text = F.array_join(F.transform(F.sequence(F.lit(1), F.lit(1000)), lambda i: F.conv((F.col("id") * 1000 + i) % 300_000 * 7919, 10, 36)), " ")
+    docs = spark.range(900).select(F.col("id").alias("doc_id"), text.alias("text")).coalesce(1)
+    sentencepiece_codec.codec(docs.limit(1), path).collect()
+    before = largest_worker()
+    assert sentencepiece_codec.codec(docs, path).where("n_tokens > 2").count() == 900
+    assert largest_worker() - before < 40
+
+
 def test_codec_returns_ids(edge):
     row = sentencepiece_codec.codec(edge, sentencepiece_codec.default_model(), keep_ids=True).where("doc_id = 4").first()
     assert row["ids"][0] == 1 and row["ids"][-1] == 2 and row["decoded"] == "Word"
