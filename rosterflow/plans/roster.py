@@ -27,6 +27,8 @@ from rosterflow.sources.contracts import WHOLE, Contract, Field, operation_digit
 _RAW, _OF_FILE = "_raw_", "_of_file_"
 # Amounts that a footer may sum, besides the whole-number columns.
 _AMOUNTS = ("Prima_Ces", "Prima_Bruta_PPI", "Monto_Asegurado")
+# Rows of a file of the settled scan: a compressed scan is small, and one file of it is one task of the typing.
+SCANNED_ROWS = 1 << 16
 
 
 @dataclass
@@ -204,9 +206,9 @@ def load_roster(scanned: DataFrame, contract: Contract, *, strict: bool = True)
     compile_split_code(scanned.sparkSession)
     if "cells" in scanned.columns:
         words = rows.FOOTER_WORDS if contract.footer else ()
-        df, removed = extract_cells(settle(facts.told_rows(scanned, contract.columns, words), "scanned"), contract)
+        df, removed = extract_cells(settle(facts.told_rows(scanned, contract.columns, words), "scanned", rows_per_file=SCANNED_ROWS), contract)
     else:
-        df = extract_named(settle(scanned, "scanned"), contract)
+        df = extract_named(settle(scanned, "scanned", rows_per_file=SCANNED_ROWS), contract)
     df, audit = _clean(df, contract, removed)
     sources = _typed(_named(df, contract), contract, strict)
     return RosterLoad(contract, sources.select(*contract.load_columns), removed, audit, sources)

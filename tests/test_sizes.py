@@ -2,6 +2,7 @@
 
 from types import SimpleNamespace
 
+from rosterflow.plans import roster
 from rosterflow.plans.roster import load_into_history, load_roster
 from rosterflow.queries import rosters
 from rosterflow.session import DEFAULTS, compile_split_code
@@ -41,3 +42,13 @@ def test_a_history_loaded_twice_is_typed_once(spark, tmp_path, monkeypatch):
     monkeypatch.setattr(rosters, "load_into_history", lambda x, path: seen.append(x.rows) or load_into_history(x, path))
     assert rosters._through_history(load, spark, f"{tmp_path}/h").count() == wanted
     assert len(seen) == 2 and not any("rlike" in x._jdf.queryExecution().optimizedPlan().toString().lower() for x in seen)
+
+
+def test_a_scan_written_by_one_task_is_typed_by_several(spark, monkeypatch):
+    monkeypatch.setattr(roster, "SCANNED_ROWS", 200)
+    case = next(c for c in rosters.CASES if c.source == "servihabit")
+    whole, one = case.scanned(spark, SF), case.scanned(spark, SF).coalesce(1)
+    load = load_roster(one, CONTRACTS["servihabit"])
+    assert sum("/scanned-" in x for x in load.rows.inputFiles()) > 5
+    wanted, found = (sorted(map(repr, x.collect())) for x in (load_roster(whole, CONTRACTS["servihabit"]).rows, load.rows))
+    assert wanted and found == wanted
