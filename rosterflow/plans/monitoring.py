@@ -8,7 +8,7 @@ the dimension rows of that kind in one left join.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from rosterflow.functions.dates import next_day
 from rosterflow.functions.numbers import in_units
 from rosterflow.operators.relational import join_dimension
+from rosterflow.session import compile_split_code
 
 # The policies reported.
 POLICIES = (4780715, 4780716, 4780717, 4780718, 4780719, 4659577, 4668266, 5698774, 6354562, 7561166)
@@ -95,8 +96,7 @@ def monitoring(
     ``period_map`` has MES_REF, PER, PER_ANT; ``fx_daily`` has fecha, TC_UF.
     ``partner``, when given, overwrites both partner columns of every row.
     """
-    a = _both_kinds(emitted, kinds, policies, dedupe_total)
-    dimension = a.select(*[F.col(c).alias(f"a_{c}") for c in a.columns])
+    compile_split_code(total.sparkSession)
     premiums = total.select(
         F.explode(F.array(*[F.lit(k) for k in kinds])).alias("_kind"),
         "MES_Recaudacion", "POLIZA", "foliocredito", "rutafiliado", "PrimaNeta", "Comision",
@@ -105,27 +105,37 @@ def monitoring(
     periods = period_map.select("MES_REF", F.col("PER").cast("date").alias("PER"), F.col("PER_ANT").cast("date").alias("PER_ANT"))
     # One row per month and one per day: resolved once, before the premiums are touched.
     calendar = periods.join(rates, F.col("PER") == F.col("_day"), "left")
-    rows = join_dimension(premiums, dimension, (F.col("POLIZA") == F.col("a_NNUMDOCU")) & (F.col("_kind") == F.col("a__kind")))
-    rows = join_dimension(rows, calendar, F.col("MES_Recaudacion") == F.col("MES_REF"))
-    return _monitoring_columns(rows, partner)
+    # A premium has many coverages: what does not depend on them is computed before they are joined.
+    rows = join_dimension(premiums, _with_early(calendar, _of_month()), F.col("MES_Recaudacion") == F.col("MES_REF"))
+    rows = rows.select("_kind", "POLIZA", *[c.cast(MONITORING_SCHEMA[n]).alias(n) for n, c in _of_premium().items()])
+    a = _both_kinds(emitted, kinds, policies, dedupe_total)
+    dimension = a.select(*[F.col(c).alias(f"a_{c}") for c in a.columns])
+    own = {n: F.col(f"a_{n}") for n in ATTRIBUTES if dict(a.dtypes)[n] != MONITORING_SCHEMA[n]}
+    rows = join_dimension(
+        rows, _with_early(dimension, own), (F.col("POLIZA") == F.col("a_NNUMDOCU")) & (F.col("_kind") == F.col("a__kind"))
+    )
+    return _monitoring_columns(rows, own, partner)
 
 
-def _monitoring_columns(rows: DataFrame, partner: str | None) -> DataFrame:
-    is_total = F.col("_kind") == TOTAL
-    negative = F.col("Comision") * -1
-    folio = F.col("foliocredito").cast("bigint")
+def _with_early(df: DataFrame, columns: Mapping[str, Column]) -> DataFrame:
+    """``df`` with ``columns`` in the table's types where they fit: converted once per row of a dimension."""
+    return df.withColumns({f"_early_{n}": c.try_cast(MONITORING_SCHEMA[n]) for n, c in columns.items()})
+
+
+def _typed(name: str, c: Column) -> Column:
+    """The early value; what has none is converted per row, where a value that does not fit stops the job."""
+    return F.coalesce(F.col(f"_early_{name}"), c.cast(MONITORING_SCHEMA[name]))
 
-    def attribute(name: str) -> Column:
-        if partner is not None and name in ("PARTNER_SUCURSAL", "PARTNER_GOL"):
-            return F.lit(partner)
-        own = F.col(f"a_{name}").cast(MONITORING_SCHEMA[name])
-        if name in TOTAL_CONSTANTS:
-            return F.when(is_total, F.lit(TOTAL_CONSTANTS[name]).cast(MONITORING_SCHEMA[name])).otherwise(own)
-        return own
 
-    columns: dict[str, Column] = {
-        "NANOPROC": F.year("PER_ANT"),
-        "NMESPROC": F.month("PER_ANT"),
+def _of_month() -> dict[str, Column]:
+    return {"NANOPROC": F.year("PER_ANT"), "NMESPROC": F.month("PER_ANT")}
+
+
+def _of_premium() -> dict[str, Column]:
+    negative = F.col("Comision") * -1
+    folio = F.col("foliocredito").cast("bigint")
+    return {
+        **{n: _typed(n, c) for n, c in _of_month().items()},
         "NNUMDOCU": F.col("POLIZA"),
         "NNUMENDO": F.lit(0),
         "NNUMITEM": folio,
@@ -139,12 +149,24 @@ def _monitoring_columns(rows: DataFrame, partner: str | None) -> DataFrame:
         "TC_UF": F.col("TC_UF"),
         "PRIMA": F.col("PrimaNeta"),
         # Kept as reported: the total rows carry the commission with its own sign here.
-        "COMISION": F.when(is_total, F.col("Comision")).otherwise(negative),
+        "COMISION": F.when(F.col("_kind") == TOTAL, F.col("Comision")).otherwise(negative),
         "PRIMA_CLP": F.col("PrimaNeta"),
         "COMISION_CLP": negative,
         "PRIMA_UF": in_units(F.col("PrimaNeta"), F.col("TC_UF")),
         "COMISION_UF": in_units(negative, F.col("TC_UF")),
     }
-    return rows.select(
-        *[(columns[n] if n in columns else attribute(n)).cast(t).alias(n) for n, t in MONITORING_SCHEMA.items()]
-    )
+
+
+def _monitoring_columns(rows: DataFrame, early: Mapping[str, Column], partner: str | None) -> DataFrame:
+    is_total = F.col("_kind") == TOTAL
+
+    def attribute(name: str) -> Column:
+        if partner is not None and name in ("PARTNER_SUCURSAL", "PARTNER_GOL"):
+            return F.lit(partner)
+        own = _typed(name, early[name]) if name in early else F.col(f"a_{name}")
+        if name in TOTAL_CONSTANTS:
+            return F.when(is_total, F.lit(TOTAL_CONSTANTS[name]).cast(MONITORING_SCHEMA[name])).otherwise(own)
+        return own
+
+    told = _of_premium()
+    return rows.select(*[(F.col(n) if n in told else attribute(n)).cast(t).alias(n) for n, t in MONITORING_SCHEMA.items()])

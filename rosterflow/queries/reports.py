@@ -126,7 +126,7 @@ def monitoring_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
             if type_ == "double":
                 c = F.floor(c * 10000.0)
             elif type_ == "date":
-                c = F.date_format(c, "yyyy-MM-dd")
+                c = c.cast("string")
             elif type_ != "string":
                 c = c.cast("bigint")
             cells.append(F.coalesce(c.cast("string"), F.lit("~")))

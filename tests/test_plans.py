@@ -155,3 +155,17 @@ def test_the_report_reads_only_the_files_it_can_need(spark, tmp_path):
     assert sorted(r["v"] for r in read["marsh"].collect()) == [0, 2, 3, 4]
     plan = read["marsh"]._jdf.queryExecution().executedPlan().toString()
     assert plan.count("dynamicpruning") >= 2 and "coalesce(Nombre_de_archivo" in plan
+
+
+def test_attributes_are_typed_once_per_policy_not_per_premium(premiums, dimensions):
+    emitted, *rest = dimensions
+    emitted = emitted.withColumn("RUT_INT", F.expr("case CCODCOBE when 'A' then '7' when 'C' then '99999999999' end"))
+    df = mon.monitoring(premiums, emitted, *rest, kinds=(mon.DETAIL,))
+    plan = df.select("NCORASVS")._jdf.queryExecution().optimizedPlan().toString()
+    assert "_early_NCORASVS" in plan
+    known = df.where("CCODCOBE is null or CCODCOBE <> 'C'").select("CCODCOBE", "RUT_INT", "NCORASVS").distinct().collect()
+    assert {(r[0], r[1] and int(r[1]), r[2] and int(r[2])) for r in known} == {("A", 7, 31), ("B", None, 32), (None, None, None)}
+    # What does not fit its column still stops the job, where a premium needs it.
+    with pytest.raises(Exception, match="NUMERIC_VALUE_OUT_OF_RANGE|CAST_INVALID_INPUT"):
+        df.select("RUT_INT").collect()
+    assert df.where("NNUMDOCU <> 4659577").select("RUT_INT").count() == 2
