@@ -8,7 +8,9 @@ as well.  Of the documents that remain, those that share one of their shortest
 inverted lists meet in a group, a bounded block of it per task, and are searched
 there with DivideSkip (Li, Lu and Lu 2008): a heap merges a query's short lists,
 skipping what cannot reach the threshold, and the long ones are only probed for
-the documents found.  The overlaps are exact, so a link needs no other check.
+the documents found.  In a group of near copies nearly every list holds nearly every
+document, and there is nothing to skip: there the lists are counted in one pass.
+The overlaps are exact, so a link needs no other check.
 """
 
 from __future__ import annotations
@@ -215,7 +217,8 @@ class InvertedLists:
         number = np.empty(len(values), np.int64)
         number[order] = np.cumsum(fresh) - 1
         # Stable sorting leaves the documents of a list in ascending order.
-        self.postings = np.repeat(np.arange(len(items)), lengths)[order].tolist()
+        self.entries, self.size_of = np.repeat(np.arange(len(items)), lengths)[order], np.asarray(sizes, np.int64)
+        self.postings = self.entries.tolist()
         self.bounds = [*np.flatnonzero(fresh).tolist(), len(values)]
         self.lists = [x.tolist() for x in np.split(number, np.cumsum(lengths)[:-1])] if items else []
 
@@ -252,10 +255,20 @@ class InvertedLists:
                 if a < b:
                     heapq.heappush(heads, (postings[a], a, b))
 
+    def counted(self, query: int, spans: list[tuple[int, int]]) -> list[int]:
+        """The other documents that are similar to the query, by a pass over all of its lists."""
+        count = np.bincount(np.concatenate([self.entries[a:b] for a, b in spans]), minlength=len(self.sizes))
+        enough = -(-self.percent * (self.sizes[query] + self.size_of) // (100 + self.percent))
+        count[query] = 0
+        return np.flatnonzero(count >= enough).tolist()
+
     def search(self, query: int) -> list[int]:
         """The other documents of the block that are similar to the query."""
         short, long, need = self.divided(query)
         out, postings, mine = [], self.postings, self.sizes[query]
+        # Short lists with more entries than the block has documents, as near copies have them, leave little to skip.
+        if sum(b - a for a, b in short) > len(self.sizes):
+            return self.counted(query, short + long)
         for doc, count in self.merged(short, need):
             if doc == query:
                 continue

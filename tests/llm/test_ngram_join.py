@@ -104,3 +104,21 @@ def test_merging_skips_but_loses_nothing():
         counts = np.bincount(index.postings, minlength=50)
         got = dict(index.merged(list(zip([0, *ends], ends)), need))
         assert got == {int(d): int(counts[d]) for d in np.flatnonzero(counts >= need)}
+
+
+def test_near_copies_are_counted_and_sparse_lists_merged(monkeypatch):
+    draw = np.random.default_rng(11)
+    base = np.arange(100)
+    dense = [np.sort(np.concatenate([draw.choice(base, 88, replace=False), 1000 + 20 * i + np.arange(12)])) for i in range(60)]
+    sparse = [np.sort(draw.choice(50_000, 40, replace=False)) for _ in range(60)]
+    sparse += [np.append(x[:-2], x[-2:] + 100_000) for x in sparse]
+    merged, calls = ngram_join.InvertedLists.merged, []
+    monkeypatch.setattr(ngram_join.InvertedLists, "merged", lambda self, *a: calls.append(a) or merged(self, *a))
+    for items, percent, merges in ((dense, 70, False), (sparse, 85, True)):
+        calls.clear()
+        index = ngram_join.InvertedLists(items, [len(x) for x in items], percent)
+        sets = [set(x.tolist()) for x in items]
+        for q, mine in enumerate(sets):
+            want = [d for d, other in enumerate(sets) if d != q and 100 * len(mine & other) >= percent * len(mine | other)]
+            assert index.search(q) == want
+        assert bool(calls) == merges
