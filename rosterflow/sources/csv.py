@@ -18,6 +18,7 @@ from collections.abc import Iterable, Iterator, Sequence
 from contextlib import contextmanager
 from itertools import chain
 
+import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -34,6 +35,8 @@ SEPARATORS = (";", ",", "\t")
 OTHER_ENCODING = "ISO-8859-1"
 
 BATCH_ROWS = 5000
+# Lines after which the states that the two starts of a range lead to are compared, first and then again.
+FEW_LINES, MANY_LINES = 16, 512
 # Ranges up to this many (some 50 MB) are sent to the tasks; beyond, lines are brought to their range by a sort.
 BROADCAST_RANGES = 500_000
 # Tasks per core where the size of ranges is given.
@@ -107,13 +110,16 @@ class Facts:
                 break
             self._head(line)
         texts = [line.decode("latin-1") for line in lines]
+        # The two starts mostly come to one state within a record or two; from there on lines are parsed once for both.
+        ends = [*range(FEW_LINES, len(texts), MANY_LINES), len(texts)]
         for s, separator in enumerate(self.separators):
-            known = {}
-            for track in (self.tracks[0][s], self.tracks[1][s]):
-                if track[0] not in known:
-                    known[track[0]] = after_lines(texts, separator, track[0])
-                track[0], more = known[track[0]]
-                track[1] += more
+            for a, b in zip([0, *ends], ends):
+                known = {}
+                for track in (self.tracks[0][s], self.tracks[1][s]):
+                    if track[0] not in known:
+                        known[track[0]] = after_lines(texts[a:b], separator, track[0])
+                    track[0], more = known[track[0]]
+                    track[1] += more
 
     def _head(self, line: bytes) -> None:
         """Lines are the header's until its record ends; blank ones before it are none."""
@@ -134,12 +140,14 @@ class Facts:
 
 def _runs(batch: pa.RecordBatch, names: Sequence[str]) -> Iterator[tuple[tuple, list[bytes]]]:
     """The lines of a batch by consecutive values of the columns ``names``."""
-    values, keys = batch.column("value").to_pylist(), list(zip(*[batch.column(n).to_pylist() for n in names]))
-    start = 0
-    for i in range(1, len(keys) + 1):
-        if i == len(keys) or keys[i] != keys[start]:
-            yield keys[start], values[start:i]
-            start = i
+    values, columns = batch.column("value").to_pylist(), [batch.column(n) for n in names]
+    changes = np.zeros(max(0, len(values) - 1), bool)
+    for column in columns:
+        changes |= np.diff(np.asarray(column.dictionary_encode(null_encoding="encode").indices)) != 0
+    bounds = [0, *(np.flatnonzero(changes) + 1).tolist(), len(values)]
+    for a, b in zip(bounds, bounds[1:]):
+        if b > a:
+            yield tuple(c[a].as_py() for c in columns), values[a:b]
 
 
 def _facts(lines: DataFrame, separators: Sequence[str]) -> DataFrame:
@@ -322,19 +330,21 @@ def _scan(spark: SparkSession, paths: str | list[str], separators: Sequence[str]
     if range_bytes:
         # Small ranges share tasks; a task takes them one after the other.
         lines = lines.coalesce(RANGE_TASKS * spark.sparkContext.defaultParallelism)
-    with scratch(), _cut_alike(spark, range_bytes):
-        facts = settle(_facts(lines, known), "csv-facts")
-        ranges = facts.groupBy("file").applyInPandas(lambda x: compose(x, known), _RANGES)
-        ranges = settle(ranges.withColumn("range", F.monotonically_increasing_id()), "csv-ranges", outlives=True)
-        told = ranges.select("file", *_KEY)
-        if ranges.count() <= BROADCAST_RANGES:
-            placed = lines.join(F.broadcast(told), ["file", "start"], "left")
-        else:
-            numbered = lines.withColumn("_at", F.monotonically_increasing_id())
-            placed = numbered.join(told, ["file", "start"], "left").repartition("file", "start").sortWithinPartitions("file", "start", "_at")
-        # A file without a header has no ranges; its lines are blank.
-        placed = placed.where(F.col("range").isNotNull() | (F.length(F.trim(F.translate(F.col("value").cast("string"), "\r", ""))) > 0))
-        rows = settle(_parsed(placed, strict), "csv", outlives=True)
+    with scratch():
+        with _cut_alike(spark, range_bytes):
+            facts = settle(_facts(lines, known), "csv-facts")
+            ranges = facts.groupBy("file").applyInPandas(lambda x: compose(x, known), _RANGES)
+            ranges = settle(ranges.withColumn("range", F.monotonically_increasing_id()), "csv-ranges", outlives=True)
+            told = ranges.select("file", *_KEY)
+            if ranges.count() <= BROADCAST_RANGES:
+                placed = lines.join(F.broadcast(told), ["file", "start"], "left")
+            else:
+                numbered = lines.withColumn("_at", F.monotonically_increasing_id())
+                placed = numbered.join(told, ["file", "start"], "left").repartition("file", "start").sortWithinPartitions("file", "start", "_at")
+            # A file without a header has no ranges; its lines are blank.
+            placed = placed.where(F.col("range").isNotNull() | (F.length(F.trim(F.translate(F.col("value").cast("string"), "\r", ""))) > 0))
+            rows = settle(_parsed(placed, strict), "csv", outlives=True)
+        # Settled rows are read in splits of the usual size, whatever the ranges of the lines.
         pieces = rows.where("open").drop("open").join(ranges.select("file", "start", "range", "separator", "width"), "range")
         joined = settle(_joined(pieces, strict), "csv-joined", outlives=True)
     return rows.where("not open").unionByName(joined).drop("open"), ranges

@@ -175,6 +175,27 @@ def test_states_of_a_line():
     assert csv.after_line("", ";", 0) == (0, 0) and csv.after_line("a\rb", ";", 0) == (0, 2)
 
 
+def test_lines_are_parsed_once_where_both_starts_agree(monkeypatch):
+    parsed, after = [], csv.after_lines
+    monkeypatch.setattr(csv, "after_lines", lambda lines, *a: parsed.append(len(lines)) or after(lines, *a))
+    lines = [x for i in range(2000) for x in (f'"{i}","x;""y"",'.encode(), f'z {i}","{i}"'.encode())]
+    facts = csv.Facts("f", 0, csv.SEPARATORS)
+    facts.take(lines)
+    assert sum(parsed) < 1.1 * len(csv.SEPARATORS) * len(lines)
+    texts = [x.decode() for x in lines]
+    for s, separator in enumerate(csv.SEPARATORS):
+        for start in (csv.OUTSIDE, csv.INSIDE):
+            assert tuple(facts.tracks[start][s]) == after(texts, separator, start)
+
+
+def test_settled_rows_are_not_read_in_the_ranges_of_the_lines(spark, tmp_path, monkeypatch):
+    name, joined, seen = "spark.sql.files.maxPartitionBytes", csv._joined, []
+    monkeypatch.setattr(csv, "_joined", lambda *a: seen.append(spark.conf.get(name)) or joined(*a))
+    (tmp_path / "a.csv").write_bytes(b'a;b\n' + b'1;"x\ny"\n' * 300)
+    assert csv.scan_csv(spark, str(tmp_path), range_bytes=64).count() == 300
+    assert seen == [spark.conf.get(name)] and seen != ["64"]
+
+
 def test_strict_csv_stops_whatever_is_read(spark, tmp_path):
     (tmp_path / "long.csv").write_bytes(b"a;b\n1;2\n3;4;5\n")
     with pytest.raises(Exception, match="more cells than columns in row 2"):
