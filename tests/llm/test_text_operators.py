@@ -498,3 +498,67 @@ def test_warc_repeated_rows_and_other_columns(spark, tmp_path):
     warc_archive.write_archives(df, folder, key="page id").collect()
     got = sorted([(r["page id"] or 0, r["payload_bytes"], r["record_type"], r["refers_to"]) for r in warc_archive.read_archives(spark, folder, key="page id").collect()])
     assert got == [(0, 0, "response", None), (1, 20, "response", None), (1, 20, "response", None), (2, 20, "revisit", 1)]
+
+
+# 14. Links by sketches
+
+def lines_like(draw, n):
+    """Lines of which some are copies with a few characters changed."""
+    lines = []
+    for _ in range(n):
+        line = "".join(draw.choice(list("abcdefgh "), int(draw.integers(3, 200))))
+        lines += [line, line + "x", line.replace("a", "b", 2), line[::-1]]
+    return lines
+
+
+def test_sketches_never_rule_out_similar_lines():
+    lines = [line_dedup.folded(x) or "x" for x in lines_like(np.random.default_rng(6), 40)]
+    measure = line_dedup.SimilarLines(80, 4)
+    _, n, sketch = line_dedup.known(lines, 4, 4, block=500)
+    assert n.tolist() == [len(line_dedup.shingle_set(x, 4)) for x in lines]
+    x = measure.unpack([s.tobytes() for s in sketch])
+    i, j = np.triu_indices(len(lines), 1)
+    possible = measure.possible(n[i], x[i], n[j], x[j])
+    similar = np.array([measure.similar(lines[a], lines[b]) for a, b in zip(i, j)])
+    assert similar.sum() > 40 and not (similar & ~possible).any()
+    assert possible.sum() < 2 * similar.sum()
+
+
+def test_grams_never_rule_out_texts_within_the_distance():
+    lines = lines_like(np.random.default_rng(7), 20)
+    measure = edit_fingerprint.EditSimilarity(90)
+    sketch = measure.unpack([edit_fingerprint.squeeze(np.minimum(edit_fingerprint.grams(x), 255).astype(np.uint8)) for x in lines])
+    n = np.array([len(x) for x in lines])
+    i, j = np.triu_indices(len(lines), 1)
+    possible = measure.possible(n[i], sketch[i], n[j], sketch[j])
+    near = np.array([edit_fingerprint.within(lines[a], lines[b], measure.limit(lines[a], lines[b])) for a, b in zip(i, j)])
+    assert near.sum() > 20 and not (near & ~possible).any()
+    assert near.tolist() == [measure.similar(lines[a], lines[b]) for a, b in zip(i, j)]
+
+
+def test_only_what_sketches_leave_possible_is_read(spark, monkeypatch):
+    """One bucket, dealt in blocks: unlike lines are told apart without their texts, and no link is lost."""
+    monkeypatch.setattr(linking, "BUCKET_ROWS", 50)
+    lines = dict(enumerate(dict.fromkeys(line_dedup.folded(x) or "x" for x in lines_like(np.random.default_rng(8), 60))))
+    _, n, sketch = line_dedup.known(list(lines.values()), 4, 4)
+    frame = spark.createDataFrame(list(lines.items()), "id long, items string")
+    known = spark.createDataFrame([(i, int(n[i]), sketch[i].tobytes()) for i in lines], "id long, size long, sketch binary")
+    members = spark.createDataFrame([(7, 0, i, len(lines)) for i in lines], "bucket long, pivot long, id long, n long")
+    asked = []
+
+    def contents_of(ids):
+        asked.append(ids.count())
+        return frame.join(ids, "id", "left_semi")
+
+    found = linking.link_sketched(members, lambda: known, contents_of, line_dedup.SimilarLines(80, 4), 3).collect()
+    want = brute.jaccard_groups({i: {x[k:k + 4] for k in range(len(x) - 3)} if len(x) >= 4 else {x} for i, x in lines.items()})
+    ids = {r["id"]: r["component"] for r in found}
+    assert len(ids) > 40 and all(ids.get(i, i) == want.find(i) for i in lines)
+    assert asked[-1] < 0.8 * len(lines)
+
+
+def test_keys_meet_where_sizes_are_near():
+    size = linking.size_class(np.arange(1, 3000), 80, 4).astype(int)
+    small = np.arange(1, 2400)
+    assert (size[np.minimum(small * 5 // 4, 2999) - 1] - size[small - 1] <= 4).all()
+    assert size[199] - size[99] > 4
